@@ -23,22 +23,22 @@ from ._text import BASE, BYTE_CODE, mix, slices, span_hashes, utf8
 
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1  # pieces in a string
+SIDE = (LENGTH - GRAM) // 2
 SHARD_BYTES = 4 << 20
 BUSY = 20_000  # segments of one anchor, beyond which its strings are dealt out by their own hashes
-BROADCAST_RANGES = 1_000_000
 _PLACE = np.uint64((1 << 28) - 1)
-_ROW = np.dtype([("a", "<u8"), ("g", "<u8"), ("doc", "<i8"), ("s", "<i4"), ("n", "<i2")])
+_ROW = np.dtype([("a", "<u8"), ("g", "<u8"), ("doc", "<i8"), ("s", "<i4"), ("n", "<i2"), ("l", "<u4"), ("r", "<u4")])
 NULL_ID = -(1 << 63)
 
 
 def segments(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchor hash, content hash, row, start within the row and number of strings of each segment."""
+    """Anchor hash, content hash, row, start within the row, number of strings, and hashes of either side of each segment."""
     n = len(data)
     size = np.diff(off)
     long = np.flatnonzero(size >= LENGTH)
     if not len(long):
         z = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), z, z, z
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), z, z, z, z, z
     h, m = BYTE_CODE[data], 1
     while m < GRAM:
         h = h[:-m] * np.uint64(pow(BASE, m, 1 << 64)) + h[m:]
@@ -67,7 +67,10 @@ def segments(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     at = (low[s] & _PLACE).astype(np.int64)
     g = mix(span_hashes(data, s, stop - 1 + LENGTH) + (at - s).astype(np.uint64))
     row = np.searchsorted(off, s, "right") - 1
-    return h[at], g, row, s - off[row], stop - s
+    #: A string reaches SIDE bytes or more beyond its anchor's left or right end, so segments with a common string agree on one side.
+    begin, end = np.maximum(at - SIDE, off[row]), np.minimum(at + GRAM + SIDE, off[row + 1])
+    sides = [(span_hashes(data, x, y) >> np.uint64(32)).astype(np.uint32) for x, y in ((begin, at + GRAM), (at, end))]
+    return h[at], g, row, s - off[row], stop - s, *sides
 
 
 def merge(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,9 +96,10 @@ def _anchors(docs: DataFrame, buckets: int) -> DataFrame:
         for turn, whole in enumerate(batches):
             parts = []
             for batch in slices(whole, "text"):
-                a, g, row, s, n = segments(*utf8(batch.column("text")))
+                a, g, row, s, n, left, right = segments(*utf8(batch.column("text")))
                 out = np.empty(len(a), _ROW)
                 out["a"], out["g"], out["doc"], out["s"], out["n"] = a, g, batch.column("doc_id").to_numpy(zero_copy_only=False)[row], s, n
+                out["l"], out["r"] = left, right
                 parts.append(out)
             rows = np.concatenate([*parts, np.zeros(0, _ROW)])
             rows, again = _first(rows)
@@ -123,7 +127,7 @@ def _first(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges of repeated starts (kind 0), and segments whose anchor has others (kind 1)."""
+    """Ranges of repeated starts (kind 0), and segments that may share a string with another (kind 1)."""
     parts = []
     for batch in batches:
         for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
@@ -144,8 +148,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     d, a, b = merge(again["doc"].copy(), start, start + again["n"])
     yield _found(0, d, a, b, np.zeros(len(d), np.int64))
     other = np.zeros(len(rows), bool)
-    other[1:] = rows["a"][1:] == rows["a"][:-1]
-    other[:-1] |= other[1:]
+    for side in ("l", "r"):
+        key = mix(rows["a"] + mix(rows[side].astype(np.uint64)))
+        order = np.argsort(key)
+        same = np.append(False, key[order][1:] == key[order][:-1])[: len(key)]
+        same[:-1] |= same[1:]
+        other[order[same]] = True
     rows = rows[other]
     start = rows["s"].astype(np.int64)
     yield _found(1, rows["doc"], start, start + rows["n"], rows["a"].view(np.int64))
@@ -291,24 +299,30 @@ def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
     lists = open_.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b", "key")).alias("to"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = set(busy.tolist())
         for whole in batches:
             for batch in slices(whole, "text"):
                 data, off = utf8(batch.column("text"))
-                out: list[tuple] = []
-                for i, (doc, to) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("to").to_pylist(), strict=True)):
-                    for x in to:
-                        begin, end = off[i] + x["a"], min(off[i] + x["b"] - 1 + LENGTH, off[i + 1])
-                        if x["key"] not in hot:
-                            out.append((x["key"], doc, x["a"], end - begin - LENGTH + 1, data[begin:end].tobytes()))
-                            continue
-                        at = np.arange(begin, end - LENGTH + 1)
-                        for k, h in zip(at, span_hashes(data, at, at + LENGTH).view(np.int64).tolist(), strict=True):
-                            out.append((h, doc, int(k - off[i]), 1, data[k : k + LENGTH].tobytes()))
-                for k in range(0, len(out), 20_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 20_000], strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["key", "doc_id", "s", "n", "part"])
-
-    joined = docs.join(F.broadcast(lists) if n_open <= BROADCAST_RANGES else lists, "doc_id").select("doc_id", "text", "to")
+                to = batch.column("to")
+                flat, count = to.flatten(), pc.list_value_length(to).to_numpy(zero_copy_only=False).astype(np.int64)
+                row = np.repeat(np.arange(len(count)), count)
+                key, a, b = (flat.field(c).to_numpy() for c in ("key", "a", "b"))
+                begin = off[row] + a
+                end = np.minimum(off[row] + b - 1 + LENGTH, off[row + 1])
+                n = end - begin - LENGTH + 1
+                spread = np.isin(key, busy) & (n > 0)
+                if spread.any():  # one string a row
+                    k = n[spread]
+                    at = np.repeat(begin[spread], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+                    key = np.concatenate([key[~spread], span_hashes(data, at, at + LENGTH).view(np.int64)])
+                    row = np.concatenate([row[~spread], np.repeat(row[spread], k)])
+                    begin, end, n = np.concatenate([begin[~spread], at]), np.concatenate([end[~spread], at + LENGTH]), np.concatenate([n[~spread], np.ones(len(at), np.int64)])
+                doc = batch.column("doc_id").to_numpy()[row]
+                for k in range(0, len(n), 20_000):
+                    m = slice(k, k + 20_000)
+                    raw = pa.array([data[x:y].tobytes() for x, y in zip(begin[m].tolist(), end[m].tolist(), strict=True)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(key[m]), pa.array(doc[m]), pa.array((begin - off[row])[m].astype(np.int32)), pa.array(n[m].astype(np.int32)), raw], names=["key", "doc_id", "s", "n", "part"])
+
+    joined = docs.join(lists, "doc_id").select("doc_id", "text", "to")
     sent = joined.mapInArrow(cut, "key long, doc_id long, s int, n int, part binary")
     late = store.put(sent.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_shards, schema), "late")
     return found.where("kind = 0").unionAll(late).select("doc_id", "a", "b")
@@ -324,9 +338,8 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     store = Store(docs.sparkSession)
     ranges = repeated_ranges(docs, store)
     lists = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("to")).withColumnRenamed("doc_id", "k")
-    few = ranges.count() <= BROADCAST_RANGES
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(NULL_ID)).alias("k"))
-    rows = rows.join(F.broadcast(lists) if few else lists, "k", "left").select("doc_id", "text", "to")
+    rows = rows.join(lists, "k", "left").select("doc_id", "text", "to")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
