@@ -3,8 +3,9 @@
 Sets fall into bands of similar size. A band splits the shingle domain into partitions; what a set has in one partition is a signature.
 Two sets of a band with similarity 3/4 or more differ in k partitions at most, k a seventh of their sizes' sum, so among the first k + 1
 non-empty partitions of either, in one order of all signatures, they share one. That order puts signatures of very frequent shingles
-last; it decides what is compared, never what is found. Members of a signature are first compared with the smallest of them, then, where
-they aren't in one component yet, with each other. Every comparison is of whole sets, so the links are exact.
+last; it decides what is compared, never what is found. Members of a signature first meet the smallest of them, then, where they aren't
+in one component yet, each other. Pairs whose parities of shingle counts differ in too many bins can't be linked and go; the others are
+compared by their whole sets, so the links are exact.
 """
 
 from __future__ import annotations
@@ -249,15 +250,60 @@ def _verify(store: Store, docs: DataFrame, pairs: DataFrame, name: str) -> DataF
     return store.put(sent.repartition(int(n), "a", "salt").sortWithinPartitions("a", "salt", "part").mapInArrow(compare, "a long, b long"), f"{name}links")
 
 
+def parities(h: np.ndarray, row: np.ndarray, n_rows: int) -> list[bytes]:
+    """For each row a bit a bin: whether an odd number of its shingles falls there. Bins that differ between two sets are at most as many
+    as the shingles that do, so this bounds the difference from below."""
+    n = np.bincount(row, minlength=n_rows)
+    band = np.zeros(n_rows, np.int64)
+    for j in range(1, 31):
+        band += n >= 4**j
+    size = np.maximum(1, 4**band // 2)
+    begin = np.cumsum(size) - size
+    bit = begin[row] * 8 + (h & (size[row] * 8 - 1).astype(np.uint64)).astype(np.int64)
+    bits = np.packbits((np.bincount(bit, minlength=int(size.sum()) * 8) & 1).astype(np.uint8), bitorder="little")
+    return [bits[a : a + k].tobytes() for a, k in zip(begin, size, strict=True)]
+
+
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    """The same parities with fewer bins, for each row of x."""
+    return np.bitwise_xor.reduce(x.reshape(len(x), -1, size), axis=1)
+
+
+def _bounds(docs: DataFrame, by: DataFrame) -> DataFrame:
+    """doc, n and p, the parities, for the doc_ids of ``by``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                h, row = shingle_sets(*utf8(batch.column("text")))
+                n = np.bincount(row, minlength=batch.num_rows)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(parities(h, row, batch.num_rows), pa.binary())], names=["doc", "n", "p"])
+
+    return _wide(docs, by).select("doc_id", "text").mapInArrow(run, "doc long, n long, p binary")
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose parities differ in no more bins than linked sets may."""
+    for batch in batches:
+        keep = np.zeros(batch.num_rows, bool)
+        for i, (n, m, p, q) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("n", "m", "p", "q")), strict=True)):
+            x, y = np.frombuffer(p, np.uint8)[None], np.frombuffer(q, np.uint8)[None]
+            size = min(x.shape[1], y.shape[1])
+            keep[i] = 7 * int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()) <= n + m
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a group's members in different components and of fitting sizes; the first member has met the others."""
+    """Pairs of a group's members in different components that may be linked; the first member has met the others."""
     for batch in batches:
         for m in batch.column("m").to_pylist():
+            m.sort(key=lambda x: (x["doc"], x["n"], x["p"]))
             doc, n, c = (np.array([x[k] for x in m], np.int64) for k in ("doc", "n", "c"))
-            order = np.argsort(doc)
-            doc, n, c = doc[order], n[order], c[order]
+            size = min(len(x["p"]) for x in m)
+            p = np.concatenate([_folded(np.frombuffer(x["p"], np.uint8)[None], size) for x in m])
             for i in range(1, len(doc) - 1):
                 fit = np.flatnonzero((c[i + 1 :] != c[i]) & (4 * np.minimum(n[i + 1 :], n[i]) >= 3 * np.maximum(n[i + 1 :], n[i]))) + i + 1
+                fit = fit[7 * np.bitwise_count(p[fit] ^ p[i]).sum(1) <= n[fit] + n[i]]
                 if len(fit):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fit), doc[i])), pa.array(doc[fit])], names=["a", "b"])
 
@@ -274,7 +320,11 @@ def links(docs: DataFrame, store: Store) -> DataFrame:
     star = groups.select(F.col("docs")[0].alias("a"), F.col("sizes")[0].alias("n"), F.explode(F.slice(F.arrays_zip("docs", "sizes"), 2, 1 << 30)).alias("m"))
     star = star.where("4 * least(n, m.sizes) >= 3 * greatest(n, m.sizes)").select("a", F.col("m.docs").alias("b")).distinct()
     star = store.put(star, "star")
-    near = _verify(store, docs, star, "star")
+    named = groups.where("size(docs) > 2").select(F.explode("docs").alias("doc_id")).unionAll(star.select(F.explode(F.array("a", "b")))).distinct()
+    bounds = store.put(_bounds(docs, store.put(named, "named")), "bounds")
+    met = star.join(bounds.select(F.col("doc").alias("a"), "n", "p"), "a").join(bounds.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("p").alias("q")), "b")
+    met = store.put(met.select("a", "b", "n", "m", "p", "q").mapInArrow(_possible, "a long, b long").distinct(), "met")
+    near = _verify(store, docs, met, "star")
     large = groups.where("size(docs) > 2")
     if large.isEmpty():
         return equal.unionAll(near)
@@ -282,7 +332,8 @@ def links(docs: DataFrame, store: Store) -> DataFrame:
     member = large.select(F.xxhash64("docs").alias("g"), F.size("docs").alias("k"), F.explode(F.arrays_zip("docs", "sizes")).alias("m")).select("g", "k", F.col("m.docs").alias("doc"), F.col("m.sizes").alias("n")).distinct()
     member = member.join(root, "doc", "left").withColumn("c", F.coalesce("root", "doc"))
     mixed = member.groupBy("g", "k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    open_ = member.join(mixed.select("g", "k"), ["g", "k"]).groupBy("g", "k").agg(F.collect_list(F.struct("doc", "n", "c")).alias("m"))
+    member = member.select("g", "k", "doc", "c").join(mixed.select("g", "k"), ["g", "k"]).join(bounds, "doc")
+    open_ = member.groupBy("g", "k").agg(F.collect_list(F.struct("doc", "n", "c", "p")).alias("m"))
     more = open_.select("m").mapInArrow(_cross, "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
     more = store.put(more, "cross")
     if more.isEmpty():

@@ -41,10 +41,10 @@ def ratios(docs: DataFrame, trusted: DataFrame, store: Store) -> DataFrame:
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b"))
     dense = every.join(F.broadcast(store.put(counts, "counts")), "b", "left").select("b", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("own", F.lit(0)).alias("own"))
     total = dense.agg(F.sum("raw").alias("n_raw"), F.sum("own").alias("n_own"))
-    p = (F.col("raw") + 1) / (F.col("n_raw") + BUCKETS)
-    row = F.log((F.col("own") + BUCKETS * p) / (F.col("n_own") + BUCKETS) / p)
-    joined = dense.join(F.broadcast(total))  # one row
-    return store.put(joined.select("b", row.alias("r")).agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "r"))), lambda s: s["r"]).alias("r")), "ratios")
+    n_raw, n_own = total.select("n_raw").scalar(), total.select("n_own").scalar()
+    p = (F.col("raw") + 1) / (n_raw + BUCKETS)
+    row = F.log((F.col("own") + BUCKETS * p) / (n_own + BUCKETS) / p)
+    return store.put(dense.select("b", row.alias("r")).agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "r"))), lambda s: s["r"]).alias("r")), "ratios")
 
 
 def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
