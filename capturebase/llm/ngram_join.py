@@ -22,7 +22,7 @@ from ._text import LOWER_CODE, SPACE_WORD, mix, slices, span_hashes, utf8, word_
 from .components import components
 
 WORDS = 5
-FREQUENT = 1000  # a shingle in more than one of so many documents is frequent
+FREQUENT = 4000  # a shingle in more than one of so many documents is frequent
 SALT_ROWS = 256
 BROADCAST_ROWS = 400_000
 _C = [np.uint64(c | 1) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -101,20 +101,28 @@ def signatures(h: np.ndarray, row: np.ndarray, frequent: np.ndarray) -> tuple[np
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
-    """Hashes of frequent shingles, counted over all texts; FREQUENT times the mean set size at most, whatever the input."""
+    """Hashes of frequent shingles, counted over all texts, equal sets of a batch once; shingles that a batch hardly has aren't counted.
+    Their number is at most FREQUENT times the mean set size, whatever the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            parts = []
             for batch in slices(whole, "text"):
-                h, _ = shingle_sets(*utf8(batch.column("text")))
-                h.sort()
-                at = _starts(h)
-                count = np.diff(np.append(at, len(h)))
-                some = count >= max(3, batch.num_rows // (2 * FREQUENT))
-                yield pa.RecordBatch.from_arrays([pa.array(h[at][some].view(np.int64)), pa.array(count[some])], names=["h", "c"])
+                h, row = shingle_sets(*utf8(batch.column("text")))
+                if len(h):
+                    at = _starts(row)
+                    _, first = np.unique(np.add.reduceat(mix(h), at), return_index=True)
+                    size = np.diff(np.append(at, len(h)))
+                    parts.append(h[np.repeat(np.isin(np.arange(len(at)), first), size)])
+            h = np.concatenate([*parts, np.zeros(0, np.uint64)])
+            h.sort()
+            at = _starts(h) if len(h) else np.zeros(0, np.int64)
+            count = np.diff(np.append(at, len(h)))
+            some = count >= max(3, whole.num_rows // (2 * FREQUENT))
+            yield pa.RecordBatch.from_arrays([pa.array(h[at][some].view(np.int64)), pa.array(count[some])], names=["h", "c"])
 
     counts = docs.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-    kept = counts.where((F.col("c") >= 20) & (F.col("c") > docs.count() / FREQUENT)).select("h")
+    kept = counts.where((F.col("c") >= 12) & (F.col("c") > docs.count() / FREQUENT)).select("h")
     return np.sort(np.array([r.h for r in kept.collect()], np.int64).view(np.uint64))
 
 
@@ -294,18 +302,42 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a group's members in different components that may be linked; the first member has met the others."""
+    """Pairs of a group's members in different components that may be linked; the first member has met the others.
+
+    Rows come by the group's smallest document and by group, so what similar groups repeat is told once.
+    """
+    last: tuple = (None, None)
+    held: list[tuple] = []
+    told: set[int] = set()
+
+    def done() -> pa.RecordBatch | None:
+        m = sorted(held)
+        doc, n, c = (np.array([x[k] for x in m], np.int64) for k in (0, 1, 2))
+        size = min(len(x[3]) for x in m)
+        p = np.concatenate([_folded(np.frombuffer(x[3], np.uint8)[None], size) for x in m])
+        a, b = [], []
+        for i in range(1, len(doc) - 1):
+            fit = np.flatnonzero((c[i + 1 :] != c[i]) & (4 * np.minimum(n[i + 1 :], n[i]) >= 3 * np.maximum(n[i + 1 :], n[i]))) + i + 1
+            fit = fit[7 * np.bitwise_count(p[fit] ^ p[i]).sum(1) <= n[fit] + n[i]]
+            for j in fit:
+                key = hash((m[i][0], m[j][0]))
+                if key not in told or len(told) > 5_000_000:
+                    told.add(key)
+                    a.append(m[i][0])
+                    b.append(m[j][0])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]) if a else None
+
     for batch in batches:
-        for m in batch.column("m").to_pylist():
-            m.sort(key=lambda x: (x["doc"], x["n"], x["p"]))
-            doc, n, c = (np.array([x[k] for x in m], np.int64) for k in ("doc", "n", "c"))
-            size = min(len(x["p"]) for x in m)
-            p = np.concatenate([_folded(np.frombuffer(x["p"], np.uint8)[None], size) for x in m])
-            for i in range(1, len(doc) - 1):
-                fit = np.flatnonzero((c[i + 1 :] != c[i]) & (4 * np.minimum(n[i + 1 :], n[i]) >= 3 * np.maximum(n[i + 1 :], n[i]))) + i + 1
-                fit = fit[7 * np.bitwise_count(p[fit] ^ p[i]).sum(1) <= n[fit] + n[i]]
-                if len(fit):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fit), doc[i])), pa.array(doc[fit])], names=["a", "b"])
+        for center, g, *row in zip(*(batch.column(x).to_pylist() for x in ("center", "g", "doc", "n", "c", "p")), strict=True):
+            if (center, g) != last:
+                if held and (out := done()):
+                    yield out
+                if center != last[0]:
+                    told.clear()
+                held, last = [], (center, g)
+            held.append(tuple(row))
+    if held and (out := done()):
+        yield out
 
 
 def links(docs: DataFrame, store: Store) -> DataFrame:
@@ -331,10 +363,9 @@ def links(docs: DataFrame, store: Store) -> DataFrame:
     root = components(store, near.unionAll(equal), "first")
     member = large.select(F.xxhash64("docs").alias("g"), F.size("docs").alias("k"), F.explode(F.arrays_zip("docs", "sizes")).alias("m")).select("g", "k", F.col("m.docs").alias("doc"), F.col("m.sizes").alias("n")).distinct()
     member = member.join(root, "doc", "left").withColumn("c", F.coalesce("root", "doc"))
-    mixed = member.groupBy("g", "k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    member = member.select("g", "k", "doc", "c").join(mixed.select("g", "k"), ["g", "k"]).join(bounds, "doc")
-    open_ = member.groupBy("g", "k").agg(F.collect_list(F.struct("doc", "n", "c", "p")).alias("m"))
-    more = open_.select("m").mapInArrow(_cross, "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
+    mixed = member.groupBy("g", "k").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("doc").alias("center")).where("lo < hi")
+    open_ = member.select("g", "k", "doc", "c").join(mixed.select("g", "k", "center"), ["g", "k"]).join(bounds, "doc").select("center", F.xxhash64("g", "k").alias("g"), "doc", "n", "c", "p")
+    more = open_.repartition(parts, "center").sortWithinPartitions("center", "g").mapInArrow(_cross, "a long, b long").distinct().join(met, ["a", "b"], "left_anti")
     more = store.put(more, "cross")
     if more.isEmpty():
         return equal.unionAll(near)
