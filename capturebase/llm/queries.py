@@ -69,8 +69,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_suffix_dedup, op3_ngram_join, op4_pii, op5_decontamination, op6_mixing, op7_language, op8_toxicity, op9_licenses, op10_quality, pipeline)}
 
 _URL = """
-with at as (select page_id, case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) else '' end as rest from pages),
-split as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from at),
+with cut as (select page_id, case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) else '' end as rest from pages),
+split as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from cut),
 rules(own, rhost, rpath) as (values %s),
 ranked as (select s.*, r.*, row_number() over (partition by page_id order by length(rhost) + length(rpath) desc nulls last, length(rhost) desc) as k
   from split s left join rules r on (s.host = r.rhost or ends_with(s.host, '.' || r.rhost)) and starts_with(s.path, r.rpath)),
