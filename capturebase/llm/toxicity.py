@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ._text import ALNUM_WORD, LOWER_CODE, slices, span_hashes, utf8, word_bounds
 
 SAMPLE_DOCS = 12_000
-SAMPLE_BYTES = 24 << 20
+SAMPLE_CHARS = 4000  # longer texts aren't learnt from
+SAMPLE_BYTES = 12 << 20
 VOTERS = 256
 SURE = 0.6  # share of a voter's labelled documents that are toxic
 FEATURES = 4096
@@ -73,11 +74,17 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
     prior = float(np.clip(toxic.mean() if len(toxic) else 0.0, 1e-3, 0.5))
     if not len(toxic) or toxic.min() == toxic.max():
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
-    data, off = utf8(pa.array(texts, pa.large_string()))
-    f, r = features(data, off)
-    kinds, which = np.unique(f, return_inverse=True)
-    pairs = np.unique(which.astype(np.int64) * len(texts) + r)
-    which, r = pairs // len(texts), pairs % len(texts)
+    fs, rs = [], []
+    for k in range(0, len(texts), 500):
+        f, r = features(*utf8(pa.array(texts[k : k + 500], pa.large_string())))
+        order = np.lexsort((f, r))
+        f, r = f[order], r[order]
+        new = np.append(True, (f[1:] != f[:-1]) | (r[1:] != r[:-1]))[: len(f)]
+        fs.append(f[new])
+        rs.append((r[new] + k).astype(np.int32))
+    kinds, which = np.unique(np.concatenate(fs), return_inverse=True)
+    which, r = which.astype(np.int32), np.concatenate(rs)
+    del fs, rs
     n, n1 = np.bincount(which, minlength=len(kinds)), np.bincount(which, toxic[r], len(kinds))
     lift = (n1 + 0.5 * prior) / (n + 0.5) / prior
     gain = np.where((n1 >= 3) & (n1 >= SURE * n), n1 * np.log(lift), 0)
@@ -116,10 +123,12 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, limit: int = SAMPLE_BYTES) -> Model:
-    """From labelled rows that aren't held out: ``sample`` of them and ``limit`` bytes of text at most, the first by a hash of doc_id."""
+    """From labelled rows that aren't held out: ``sample`` of them at most, the first by a hash of doc_id, without texts beyond
+    SAMPLE_CHARS, up to ``limit`` characters in all."""
     own = labels.where("toxic is not null and doc_id is not null and crc32(cast(doc_id as string)) % 5 != 0")
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample)
-    rows = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, limit // sample * 8).alias("text")).join(F.broadcast(own), "doc_id").select("text", "toxic", F.xxhash64("doc_id", F.lit(11)).alias("h")).collect()
+    short = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
+    rows = short.join(F.broadcast(own), "doc_id").select("text", "toxic", F.xxhash64("doc_id", F.lit(11)).alias("h")).collect()
     rows.sort(key=lambda x: (x.h, x.text))
     size, kept = 0, []
     for x in rows:
