@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,3 +31,12 @@ class Store:
     def drop(self, name: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def first_by_hash(rows: DataFrame, key: str, seed: int, n: int) -> list:
+    """About the first ``n`` rows by a hash of ``key``, in that order: only hashes meet before the texts of the chosen are fetched."""
+    hashed = rows.withColumn("h", F.xxhash64(key, F.lit(seed)))
+    last = hashed.select("h").orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    return sorted(hashed.where(F.col("h") <= last).limit(n).collect(), key=lambda r: (r.h, str(r)))

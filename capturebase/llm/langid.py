@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._store import first_by_hash
 from ._text import SPACE_WORD, slices, span_hashes, utf8, word_bounds
 from .recurrent import Adam, gru, gru_back
 
@@ -101,7 +102,7 @@ class Model:
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, steps: int = STEPS) -> Model:
     """Trained on text and lang of ``sample`` rows at most, the first by a hash of doc_id, with a lang and not held out."""
     own = docs.where("lang is not null and text is not null and not coalesce(crc32(cast(doc_id as string)) % 3 = 1, false)")
-    rows = own.select(F.substring("text", 1, 4000).alias("text"), "lang", F.xxhash64("doc_id", F.lit(3)).alias("h")).orderBy("h", "text").limit(sample).collect()
+    rows = first_by_hash(own.select("doc_id", F.substring("text", 1, 4000).alias("text"), "lang"), "doc_id", 3, sample)
     classes = sorted({r.lang for r in rows})
     model = Model(classes)
     if not classes:

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._store import first_by_hash
 from ._text import slices, utf8
 from .recurrent import Adam, lstm, lstm_back
 
@@ -195,9 +196,9 @@ def train(texts: list[str], steps: int = STEPS, seed: int = 9) -> Model:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, steps: int = STEPS) -> Model:
-    """From the beginnings of ``sample`` texts at most with a digit or @, the first by a hash of the text."""
-    rows = docs.where("text is not null").select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).where(F.rlike("t", F.lit("[0-9]{2}|@"))).orderBy(F.xxhash64("t"), "t").limit(sample)
-    return train([r.t for r in rows.collect()], steps)
+    """From the beginnings of ``sample`` texts at most with two digits or @, the first by a hash of doc_id."""
+    rows = docs.where("text is not null").select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("t")).where(F.rlike("t", F.lit("[0-9]{2}|@")))
+    return train([r.t for r in first_by_hash(rows, "doc_id", 13, sample)], steps)
 
 
 def _plausible(kind: int, found: str) -> bool:
