@@ -6,12 +6,14 @@ the length of single texts; a text is never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
+_libc = ctypes.CDLL(None)
 
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _N = np.uint64(0xC4CEB9FE1A85EC53)
@@ -66,6 +68,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+def trim() -> None:
+    """Gives freed memory back to the system, as Python workers stay while other stages run."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts have about ``limit`` bytes, or one longer text."""
     _, off = utf8(batch.column(column))
@@ -74,6 +83,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         end = max(begin + 1, int(np.searchsorted(off, off[begin] + limit, "right")) - 1)
         yield batch.slice(begin, end - begin)
         begin = end
+    trim()
 
 
 def word_bounds(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -158,7 +158,7 @@ def _emit(docs: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
             order = np.argsort(to, kind="stable")
             rows, to = rows[order], to[order]
             at = _starts(to) if len(to) else np.zeros(0, np.int64)
-            ends = np.append(at[1:], len(to)).astype(np.int64)
+            ends = np.append(at[1:], len(to)).astype(np.int64)[: len(at)]
             blobs = [b"".join(np.ascontiguousarray(rows[c][a:b]).tobytes() for c in _ROW.names) for a, b in zip(at, ends, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(np.append(to[at], -1)), pa.array([*blobs, np.array(links, np.int64).tobytes()], pa.binary())], names=["bucket", "blob"])
 

@@ -107,7 +107,7 @@ def _anchors(docs: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(to, kind="stable")
             rows, to = rows[order], to[order]
             at = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, np.int64)
-            ends = np.append(at[1:], len(to)).astype(np.int64)
+            ends = np.append(at[1:], len(to)).astype(np.int64)[: len(at)]
             blobs = [b"".join(np.ascontiguousarray(rows[c][x:y]).tobytes() for c in _ROW.names) for x, y in zip(at, ends, strict=True)]
             dead = np.stack(merge(again["doc"].copy(), again["s"].astype(np.int64), again["s"].astype(np.int64) + again["n"])).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.append(to[at], -1 - turn % buckets)), pa.array([*blobs, dead.tobytes()], pa.binary())], names=["bucket", "blob"])
