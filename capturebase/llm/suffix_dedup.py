@@ -24,7 +24,7 @@ from ._text import BASE, BYTE_CODE, mix, slices, span_hashes, utf8
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1  # pieces in a string
 SIDE = (LENGTH - GRAM) // 2
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 BUSY = 20_000  # segments of one anchor, beyond which its strings are dealt out by their own hashes
 _PLACE = np.uint64((1 << 28) - 1)
 _ROW = np.dtype([("a", "<u8"), ("g", "<u8"), ("doc", "<i8"), ("s", "<i4"), ("n", "<i2"), ("l", "<u4"), ("r", "<u4")])

@@ -102,9 +102,9 @@ def test_null_and_repeated_ids(spark):
 
 
 def test_pii_base_spans_match_the_patterns():
-    t = "x a.b+c@d-e.fg.h, 10.0.0.255 1.2.3.256 4539 1488 0343 6467 4539148803436468 +1 (988) 555-2485 +12 @ a@b @x.y"
+    t = "x a.b+c@d-e.fg.h, 10.0.0.255; 1.2.3.256; 4539 1488 0343 6467; 4539148803436468; +1 (988) 555-2485; +12 @ a@b @x.y"
     got = [(pii.KINDS[k], t[a:b]) for k, a, b in pii.base_spans(t)]
-    assert got == [("email", "a.b+c@d-e.fg.h"), ("ip", "10.0.0.255"), ("card", "4539 1488 0343 6467"), ("phone", "+1 (988) 555-2485")] or ("email", "a.b+c@d-e.fg.h") in got
+    assert got == [("email", "a.b+c@d-e.fg.h"), ("ip", "10.0.0.255"), ("card", "4539 1488 0343 6467"), ("phone", "+1 (988) 555-2485")]
 
 
 def test_pii_learns_and_masks(spark):
