@@ -43,3 +43,11 @@ def notice_date(raw: Column) -> Column:
     """A date written YYYYMMDD, or YYYY-MM-DD at the start; null if blank or no such day."""
     t = F.trim(raw)
     return F.when(t.rlike(r"^[0-9]{8}\z"), F.try_to_date(t, "yyyyMMdd")).when(t.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd"))
+
+
+def country(raw: Column, codes: dict[str, str]) -> Column:
+    """buyer_country, its two-letter code and a status: two letters are their own code, others have that of ``codes`` or none."""
+    c = F.nullif(F.upper(F.trim(raw)), F.lit(""))
+    known = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
+    iso = F.when(c.rlike(r"^[A-Z]{2}\z"), c).otherwise(F.try_element_at(known, c))
+    return F.struct(c.alias("buyer_country"), iso.alias("buyer_country_iso"), F.when(c.isNull(), "absent").otherwise("present").alias("buyer_country_status"))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from capturebase.functions import columns
 from capturebase.operators import relational, validators
+from capturebase.sources.archives import COUNTRIES
 
+from . import views
 from . import workloads as w
 from .surfaces import ADAPTER_SQL, Tables, distinct_notices, from_star_schema, notices
 
@@ -55,6 +57,24 @@ _named: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "parsed_identities": (_read("events", lambda e: e.select("event_id", columns.identity(F.concat(F.lit("000"), F.col("user_id"), F.lit("_"), F.col("event_id") % 3000)).alias("k")).select("event_id", "k.publication_number", "k.publication_year")), "select event_id, case when event_id % 3000 >= 1000 and user_id > 0 then user_id end as publication_number, case when event_id % 3000 >= 1000 and user_id > 0 then cast(event_id % 3000 as integer) end as publication_year from events"),
     "rejected_runs": (_over(lambda t: validators.run_violations(t.run)), "select run_id, case when phase = 'failed' then 'failed without a reason' end as violation from run where phase = 'failed'"),
 }
-_PLAIN = {"parsed_identities"}
+# The same values as codes of the archives' countries.
+_countries = ", ".join(f"('{a}', '{b}')" for a, b in COUNTRIES.items())
+_named |= {
+    "sql_cutoff_state": (lambda spark, d: views.sql(spark, from_star_schema(spark, d), "select publication_ref, capture_id, capture_status, contract_version, source_coverage_verified from (select *, row_number() over (partition by publication_year, publication_number order by acquisition_ordinal desc, capture_id desc) as k from notice_history where acquisition_ordinal <= :cutoff) where k = 1", cutoff=CUTOFF), f"select publication_ref, h.capture_id, capture_status, contract_version, coverage_verified as source_coverage_verified from (select * from history where acquisition_ordinal <= {CUTOFF} {_last}) h join capture using (capture_id)"),
+    "notice_change_reference_history": (_over(lambda t: views.views(t)["notice_change_reference_history"]), "select c.source_package_id, capture_id, acquisition_ordinal, status as capture_status, publication_number || '-' || publication_year as publication_ref, publication_year, publication_number, ordinal, value, 'notice-id-ref' as scheme_name from reference join capture c using (capture_id) where status in ('published', 'superseded')"),
+    "capture_status": (_over(lambda t: views.views(t)["capture_status"].select("capture_id", "status", "is_published", "artifact_sha256", "member_count", "source_coverage_verified", "verification_attempt_id", "verification_state")), "select c.capture_id, status, p.capture_id is not null as is_published, c.artifact_sha256, member_count, coverage_verified as source_coverage_verified, attempt_id as verification_attempt_id, state as verification_state from capture c left join published p on p.capture_id = c.capture_id left join (select * from attempt qualify row_number() over (partition by capture_id order by attempt_id desc) = 1) a on a.capture_id = c.capture_id"),
+    "verification_attempt": (_over(lambda t: views.views(t)["verification_attempt"].select("attempt_id", "capture_id", "source_package_id", "acquisition_ordinal", "state", "announced_total")), "select attempt_id, capture_id, c.source_package_id, acquisition_ordinal, state, announced_total from attempt join capture c using (capture_id)"),
+    "ingest_run": (_over(lambda t: views.views(t)["ingest_run"].select("run_id", "phase", "capture_id", "capture_status", "verification_attempt_id", "verification_state")), "select run_id, phase, r.capture_id, c.status as capture_status, verification_attempt_id, state as verification_state from run r left join capture c on c.capture_id = r.capture_id left join attempt a on a.attempt_id = verification_attempt_id"),
+    "package_ingest_status": (_over(lambda t: views.views(t)["package_ingest_status"].select("source_package_id", "has_checkpoint", "checkpoint_run_id", "checkpoint_attempt_id", "checkpoint_artifact_sha256", "checkpoint_is_current", "open_run_id", "checkpoint_contract_version", "published_contract_version")), "select s.source_package_id, has_checkpoint, cp.run_id as checkpoint_run_id, cp.verification_attempt_id as checkpoint_attempt_id, cp.artifact_sha256 as checkpoint_artifact_sha256, checkpoint_is_current, open_run_id, cp.contract_version as checkpoint_contract_version, c.contract_version as published_contract_version from package_status s left join checkpoint cp using (source_package_id) left join capture c on c.capture_id = published_capture_id"),
+    "changed_states": (_over(w.changed_states), "select capture_id, attempt_id, previous_state, state from (select *, lag(state) over (partition by capture_id order by attempt_id) as previous_state from attempt) where state is distinct from previous_state"),
+    "current_attempts": (_over(w.current_attempts), "select a.capture_id, a.attempt_id, a.state from attempt a join capture c using (capture_id) where coverage_verified and state = 'verified' and attempt_id = (select max(b.attempt_id) from attempt b where b.capture_id = a.capture_id)"),
+    "duplicate_identities": (_read("lineitem", lambda x: validators.duplicate_identities(x.select(F.col("l_suppkey").alias("capture_id"), F.col("l_linenumber").alias("publication_year"), F.col("l_orderkey").alias("publication_number")))), "select l_suppkey as capture_id, l_linenumber as publication_year, l_orderkey as publication_number, count(*) as n from lineitem group by all having count(*) > 1"),
+    "rejected_captures": (_over(lambda t: validators.capture_violations(t.capture.withColumn("member_count", F.col("member_count") - 600))), "select capture_id, 'counts' as violation from capture where coalesce(member_count - 600 < 0, true) or coalesce(distinct_notice_count < 0, true)"),
+    "blank_references": (_over(lambda t: validators.blank_references(t.reference.withColumn("value", F.when(F.col("publication_number") % 3 == 0, F.col("value")).when(F.col("publication_number") % 3 == 1, " "))).select("capture_id", "publication_year", "publication_number", "value")), "select capture_id, publication_year, publication_number, case publication_number % 3 when 1 then ' ' end as value from reference where publication_number % 3 <> 0"),
+    "country_codes": (_read("nation", lambda x: x.select("n_nationkey", columns.country(F.when(F.col("n_nationkey") % 5 > 0, F.concat(F.lit(" "), F.substring("n_name", 1, 2), F.when(F.col("n_nationkey") % 2 == 0, F.substring("n_name", 3, 1)).otherwise(""))), COUNTRIES).alias("c")).select("n_nationkey", "c.*")), f"with codes(a, b) as (values {_countries}), named as (select n_nationkey, case when n_nationkey % 5 > 0 then upper(substr(n_name, 1, case when n_nationkey % 2 = 0 then 3 else 2 end)) end as c from nation) select n_nationkey, c as buyer_country, case when length(c) = 2 and regexp_full_match(c, '[A-Z]+') then c else b end as buyer_country_iso, case when c is null then 'absent' else 'present' end as buyer_country_status from named left join codes on a = c"),
+    "notice_dates": (_read("orders", lambda x: x.select("o_orderkey", columns.notice_date(F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyyMMdd")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "yyyy-MM-dd'+01:00'"))).alias("day"))), "select o_orderkey, case when o_orderkey % 3 < 2 then cast(o_orderdate as date) end as day from orders"),
+    "json_fields": (_read("events", lambda x: x.select("event_id", F.from_json("props", "k long")["k"].alias("k"))), "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events"),
+}
+_PLAIN = {"parsed_identities", "duplicate_identities", "country_codes", "notice_dates", "json_fields"}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for k, (f, _) in _named.items()}
 ORACLE_SQL: dict[str, str] = {k: q if k in _PLAIN else f"with {ADAPTER_SQL} {q}" for k, (_, q) in _named.items()}

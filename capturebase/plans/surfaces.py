@@ -30,9 +30,14 @@ def _ref() -> object:
     return F.concat_ws("-", "publication_number", "publication_year").alias("publication_ref")
 
 
+def _times(t: Tables) -> list[str]:
+    """When a capture was made and published, where that is known."""
+    return [c for c in ("acquired_at", "published_at") if c in t.capture.columns]
+
+
 def history(t: Tables) -> DataFrame:
     """Notices of all complete captures, superseded ones included."""
-    c = t.capture.where(F.col("status").isin(*COMPLETE)).select("capture_id", "source_package_id", "acquisition_ordinal", F.col("status").alias("capture_status"), "contract_version")
+    c = t.capture.where(F.col("status").isin(*COMPLETE)).select("capture_id", "source_package_id", "acquisition_ordinal", F.col("status").alias("capture_status"), "contract_version", "coverage_verified", *_times(t))
     return t.notice.join(c, "capture_id").select("*", _ref())
 
 
@@ -43,7 +48,7 @@ def reference_history(t: Tables) -> DataFrame:
 
 def notices(t: Tables) -> DataFrame:
     """Notices of published captures: one row for each notice and package."""
-    c = t.published.select("capture_id").join(t.capture.select("capture_id", "source_package_id", "acquisition_ordinal", "coverage_verified"), "capture_id")
+    c = t.published.select("capture_id").join(t.capture.select("capture_id", "source_package_id", "acquisition_ordinal", "coverage_verified", *_times(t)), "capture_id")
     return t.notice.join(c, "capture_id").select("*", _ref())
 
 

@@ -133,3 +133,15 @@ def composition(t: Tables) -> DataFrame:
 def verified_distinct(t: Tables) -> DataFrame:
     """The gate: distinct identities of packages whose checkpoint is current."""
     return notices(t).join(package_status(t).where("checkpoint_is_current").select("source_package_id"), "source_package_id").select(*IDENTITY).distinct().agg(F.count("*").alias("verified_distinct"))
+
+
+def changed_states(t: Tables) -> DataFrame:
+    """Attempt whose state is not that of the one before it; the first of a capture has none before it, and counts."""
+    before = F.lag("state").over(Window.partitionBy("capture_id").orderBy("attempt_id"))
+    return t.attempt.select("capture_id", "attempt_id", before.alias("previous_state"), "state").where(~F.col("state").eqNullSafe(F.col("previous_state")))
+
+
+def current_attempts(t: Tables) -> DataFrame:
+    """Capture that is covered, with its newest attempt if that verified it: what a checkpoint may cite."""
+    newest = t.attempt.groupBy("capture_id").agg(F.max_by(F.struct("attempt_id", "state"), "attempt_id").alias("a")).select("capture_id", "a.*")
+    return newest.join(t.capture.where("coverage_verified").select("capture_id"), "capture_id").where("state = 'verified'")

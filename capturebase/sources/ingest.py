@@ -74,7 +74,7 @@ def ingest(ledger: Ledger, name: str, data: str, fetch: Callable[[Package, str],
             sha = remote.sha256(path)
             run = ledger.row(ledger.state(), "run", run_id)
             if run["phase"] == "starting" or run.get("artifact_sha256") != sha:
-                ledger.advance(run_id, phase="artifact_ready", artifact_path=path, artifact_sha256=sha, capture_id=None, verification_attempt_id=None)
+                ledger.advance(run_id, phase="artifact_ready", artifact_path=path, artifact_sha256=sha, artifact_bytes=os.path.getsize(path), capture_id=None, verification_attempt_id=None)
             capture_id = ledger.load(name, sha, path)
             state = ledger.state()
             run, capture = ledger.row(state, "run", run_id), ledger.row(state, "capture", capture_id)

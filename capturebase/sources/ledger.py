@@ -29,11 +29,12 @@ from .remote import VERSION, Listing, Unavailable
 LAYOUT = 1
 OPEN = ("starting", "artifact_ready", "capture_published", "source_verified")
 SHOWN, REASON = 20, 2000
+RECIPE = "sha256 of year:number of all keys, sorted, one a line"
 SCHEMAS = {
-    "capture": "capture_id long, source_package_id string, acquisition_ordinal long, artifact_sha256 string, contract_version string, status string, coverage_verified boolean, member_count long, distinct_notice_count long, loaded_row_count long, folder string, failure string, acquired_at timestamp, published_at timestamp",
+    "capture": "capture_id long, source_package_id string, acquisition_ordinal long, artifact_sha256 string, contract_version string, status string, coverage_verified boolean, member_count long, distinct_notice_count long, loaded_row_count long, folder string, artifact_bytes long, failure_reason string, acquired_at timestamp, published_at timestamp",
     "published": "source_package_id string, capture_id long",
-    "attempt": "attempt_id long, capture_id long, artifact_sha256 string, contract_version string, verifier_version string, query_text string, state string, reason string, started_at timestamp, finished_at timestamp, announced_total long, api_record_count long, api_distinct_count long, api_duplicate_count long, local_distinct_count long, only_local_count long, only_api_count long, only_local_sample array<string>, only_api_sample array<string>, pages_fetched long, http_attempts long, api_keys_sha256 string",
-    "run": "run_id long, source_package_id string, attempt_ordinal long, phase string, artifact_path string, artifact_sha256 string, capture_id long, verification_attempt_id long, started_at timestamp, updated_at timestamp, completed_at timestamp, last_error string",
+    "attempt": "attempt_id long, capture_id long, artifact_sha256 string, contract_version string, verifier_version string, query_text string, query_scope string, state string, reason string, started_at timestamp, finished_at timestamp, announced_total long, api_record_count long, api_distinct_count long, api_duplicate_count long, local_distinct_count long, only_local_count long, only_api_count long, only_local_sample array<string>, only_api_sample array<string>, pages_fetched long, http_attempts long, api_keys_sha256 string, key_digest_recipe string",
+    "run": "run_id long, source_package_id string, attempt_ordinal long, phase string, artifact_path string, artifact_sha256 string, artifact_bytes long, capture_id long, verification_attempt_id long, started_at timestamp, updated_at timestamp, completed_at timestamp, last_error string",
     "checkpoint": "source_package_id string, run_id long, capture_id long, verification_attempt_id long, artifact_sha256 string, contract_version string, notice_count long, sealed_at timestamp",
 }
 KEYS = {"capture": "capture_id", "published": "source_package_id", "attempt": "attempt_id", "run": "run_id", "checkpoint": "source_package_id"}
@@ -149,7 +150,7 @@ class Ledger:
             if old and not force and (old["artifact_sha256"], old["contract_version"]) == (sha, contract):
                 return old["capture_id"]
             same = [c["capture_id"] for c in state["capture"] if c["status"] == "loading" and (c["source_package_id"], c["artifact_sha256"], c["contract_version"]) == (name, sha, contract)]
-            new = max(same) if same and not force else self.add(state, "capture", source_package_id=name, artifact_sha256=sha, contract_version=contract, status="loading", coverage_verified=False, acquired_at=_now(), acquisition_ordinal=max((c["acquisition_ordinal"] for c in state["capture"]), default=0) + 1)
+            new = max(same) if same and not force else self.add(state, "capture", source_package_id=name, artifact_sha256=sha, contract_version=contract, artifact_bytes=os.path.getsize(rows) if isinstance(rows, str) else None, status="loading", coverage_verified=False, acquired_at=_now(), acquisition_ordinal=max((c["acquisition_ordinal"] for c in state["capture"]), default=0) + 1)
             row = self.row(state, "capture", new)
             row["tries"] = row.get("tries", 0) + 1
             #: What an earlier try has left behind, or still writes, is in another folder.
@@ -164,7 +165,7 @@ class Ledger:
                 raise Refused(f"{name}: the capture doesn't reconcile")
         except Exception as e:
             with self.change() as state:
-                self.row(state, "capture", new).update(failure=str(e)[:REASON], **({} if passing(e) else {"status": "failed"}))
+                self.row(state, "capture", new).update(failure_reason=str(e)[:REASON], **({} if passing(e) else {"status": "failed"}))
             raise
         with self.change() as state:
             row = self.row(state, "capture", new)
@@ -188,7 +189,7 @@ class Ledger:
         p = package(capture["source_package_id"])
         local = self.spark.read.parquet(os.path.join(self.root, capture["folder"]))
         with self.change() as state:
-            attempt_id = self.add(state, "attempt", capture_id=capture_id, artifact_sha256=capture["artifact_sha256"], contract_version=capture["contract_version"], verifier_version=VERSION, query_text=p.search, state="in_progress", started_at=_now(), local_distinct_count=capture["distinct_notice_count"])
+            attempt_id = self.add(state, "attempt", capture_id=capture_id, artifact_sha256=capture["artifact_sha256"], contract_version=capture["contract_version"], verifier_version=VERSION, query_text=p.search, query_scope="ALL", state="in_progress", started_at=_now(), local_distinct_count=capture["distinct_notice_count"])
             self.row(state, "capture", capture_id)["coverage_verified"] = False
         found = self._compare(local, p, listed)
         with self.change() as state:
@@ -218,7 +219,7 @@ class Ledger:
             out[f"only_{k}_count"] = counts.get(k, 0)
             some = both.where(F.col("side") == k).orderBy("publication_year", "publication_number").limit(SHOWN).collect() if k in counts else []
             out[f"only_{k}_sample"] = [f"{r.publication_number}-{r.publication_year}" for r in some]
-        out["api_keys_sha256"] = seen.digest()
+        out["api_keys_sha256"], out["key_digest_recipe"] = seen.digest(), RECIPE
         if counts:
             return out | {"state": "mismatch", "reason": f"{out['only_local_count']} only in the capture, {out['only_api_count']} only at the publisher"}
         if seen.total == 0:

@@ -6,7 +6,7 @@ import tarfile
 
 import pytest
 
-from capturebase.plans import surfaces
+from capturebase.plans import surfaces, views
 from capturebase.sources import archives, ingest, remote
 from capturebase.sources.archives import BadArchive, BadMember, project, read_archives, survey
 from capturebase.sources.ledger import Ledger, Refused
@@ -226,6 +226,11 @@ def test_ingest(spark, tmp_path):
     assert ingest.ingest(ledger, MONTH, data, listed=down).outcome == "replayed"
     assert [a["state"] for a in ledger.state()["attempt"]] == ["mismatch", "unavailable", "verified"] and ledger.violations().isEmpty()
     assert [(x.ordinal, x.value) for x in ledger.tables().reference.collect()] == [(0, "1-2023")]
+    t = ledger.tables()
+    for name, df in views.views(t).items():
+        assert df.count() == {"notice_change_reference_history": 1, "capture_status": 1, "verification_attempt": 3, "ingest_run": 1, "package_ingest_status": 1}.get(name, 2)
+    assert views.sql(spark, t, "select publication_ref from distinct_notice where source_coverage_verified and buyer_country_iso = :c", c="DE").collect() == [("2-2023",)]
+    assert views.sql(spark, t, "select verification_state, open_run_id from ingest_run join package_ingest_status using (source_package_id)").collect() == [("verified", None)]
     #: A later check that fails retires the checkpoint; a new run seals it again.
     assert ledger.verify(r.capture_id, down)["state"] == "unavailable" and not ingest.status(ledger, MONTH)["checkpoint_is_current"]
     again = ingest.ingest(ledger, MONTH, data, listed=listed(1, 2))
