@@ -80,7 +80,8 @@ def signatures(h: np.ndarray, row: np.ndarray, frequent: np.ndarray) -> tuple[np
         if not mine.any():
             continue
         r, x = row[mine], h[mine]
-        parts = (6 * 4 ** j[r]).astype(np.uint64)
+        #: Small sets could fall into k partitions or fewer, and share none; nearly every shingle of theirs is a partition of its own.
+        parts = np.where(j[r] < 2, 1 << 31, 6 * 4 ** j[r]).astype(np.uint64)
         p = ((x >> np.uint64(32)) * np.minimum(parts, np.uint64(1 << 31))) >> np.uint64(32)
         new = np.ones(len(x), bool)
         new[1:] = (p[1:] != p[:-1]) | (r[1:] != r[:-1])

@@ -4,10 +4,12 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from capturebase.llm import decontaminate, langid, licenses, mixing, ngram_join, pii, quality, suffix_dedup, toxicity, url_cascade
+from capturebase.llm._text import utf8
 from capturebase.llm.queries import RULES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, path string, rule string"
@@ -94,6 +96,17 @@ def test_ngram_join_matches_brute_force(spark):
     assert ngram_join.drop_near_duplicates(make(spark, texts)).count() == len(set(root))
 
 
+def test_small_sets_share_a_signature():
+    g = random.Random(1)
+    whole = [[f"{g.randrange(1 << 30):x}" for _ in range(n)] for n in range(8, 20) for _ in range(400)]
+    texts = [" ".join(w[:k]) for w in whole for k in (len(w), len(w) - 1)]
+    h, row = ngram_join.shingle_sets(*utf8(pa.array(texts, pa.large_string())))
+    sets = defaultdict(set)
+    for sig, r in zip(*(x.tolist() for x in ngram_join.signatures(h, row, np.zeros(0, np.uint64))), strict=True):
+        sets[r].add(sig)
+    assert all(sets[i] & sets[i + 1] for i in range(0, len(texts), 2))
+
+
 def test_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string")
     assert sorted((str(r.doc_id), str(r.component_id)) for r in ngram_join.near_duplicates(df).collect()) == [("1", "1"), ("1", "1"), ("2", "2"), ("None", "None")]
