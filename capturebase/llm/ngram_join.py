@@ -24,6 +24,7 @@ from .components import components
 WORDS = 5
 FREQUENT = 4000  # a shingle in more than one of so many documents is frequent
 SALT_ROWS = 256
+CENTER_ROWS = 4000  # members of groups with one smallest document that a task gets together
 BROADCAST_ROWS = 400_000
 _C = [np.uint64(c | 1) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 _ROW = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("n", "<i4")])
@@ -365,8 +366,11 @@ def links(docs: DataFrame, store: Store) -> DataFrame:
     member = large.select(F.xxhash64("docs").alias("g"), F.size("docs").alias("k"), F.explode(F.arrays_zip("docs", "sizes")).alias("m")).select("g", "k", F.col("m.docs").alias("doc"), F.col("m.sizes").alias("n")).distinct()
     member = member.join(root, "doc", "left").withColumn("c", F.coalesce("root", "doc"))
     mixed = member.groupBy("g", "k").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("doc").alias("center")).where("lo < hi")
-    open_ = member.select("g", "k", "doc", "c").join(mixed.select("g", "k", "center"), ["g", "k"]).join(bounds, "doc").select("center", F.xxhash64("g", "k").alias("g"), "doc", "n", "c", "p")
-    more = open_.repartition(parts, "center").sortWithinPartitions("center", "g").mapInArrow(_cross, "a long, b long").distinct().join(met, ["a", "b"], "left_anti")
+    mixed = store.put(mixed.select("g", "k", "center"), "mixed")
+    busy = mixed.groupBy("center").agg(F.ceil(F.sum("k") / CENTER_ROWS).alias("salts"))
+    mixed = mixed.join(busy, "center").select("g", "k", "center", F.pmod(F.xxhash64("g", "k"), "salts").alias("salt"))
+    open_ = member.select("g", "k", "doc", "c").join(mixed, ["g", "k"]).join(bounds, "doc").select("center", "salt", F.xxhash64("g", "k").alias("g"), "doc", "n", "c", "p")
+    more = open_.repartition(parts, "center", "salt").sortWithinPartitions("center", "salt", "g").mapInArrow(_cross, "a long, b long").distinct().join(met, ["a", "b"], "left_anti")
     more = store.put(more, "cross")
     if more.isEmpty():
         return equal.unionAll(near)
