@@ -128,10 +128,12 @@ def _frequent(docs: DataFrame) -> np.ndarray:
 
 
 def _emit(docs: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """Blocks of signature rows by bucket, and links between equal sets of a batch, which have bucket -1."""
+    """Blocks of signature rows by bucket, and links between equal sets of a batch, which have negative buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            #: Copies can be a third of all rows, so their links are dealt out too.
+            spare = -1 - int(whole.column("doc_id")[0].as_py() if whole.num_rows else 0) % buckets
             seen: dict[tuple, int] = {}
             parts, links = [], []
             for batch in slices(whole, "text"):
@@ -161,7 +163,7 @@ def _emit(docs: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
             at = _starts(to) if len(to) else np.zeros(0, np.int64)
             ends = np.append(at[1:], len(to)).astype(np.int64)[: len(at)]
             blobs = [b"".join(np.ascontiguousarray(rows[c][a:b]).tobytes() for c in _ROW.names) for a, b in zip(at, ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(to[at], -1)), pa.array([*blobs, np.array(links, np.int64).tobytes()], pa.binary())], names=["bucket", "blob"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(to[at], spare)), pa.array([*blobs, np.array(links, np.int64).tobytes()], pa.binary())], names=["bucket", "blob"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "bucket long, blob binary")
 
@@ -393,7 +395,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component stays, that with the smallest doc_id; columns as they are. Rows without doc_id stay."""
+    """One document of each component stays, that with the smallest doc_id; columns as they are. Rows without doc_id stay, and so
+    do all rows that state the doc_id which stays."""
     store = Store(docs.sparkSession)
     root = components(store, links(docs, store), "all").select(F.col("doc").alias("doc_id"))
     return docs.join(root, "doc_id", "left_anti").select(*docs.columns)
