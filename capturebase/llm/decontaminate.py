@@ -90,6 +90,18 @@ def find(data: np.ndarray, off: np.ndarray, tests: Tests) -> tuple[np.ndarray, .
     return n_words, np.cumsum(hit[:-1]) > 0, rows, pairs
 
 
+def prepare(benchmark: DataFrame, max_words: int = MAX_TEST_WORDS) -> Tests:
+    """The benchmark as every task holds it, refused beyond ``max_words``. Items without item_id or words match nothing."""
+    n = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
+    if n > 2 * max_words:
+        raise ValueError("the benchmark is too large for one pass: split it")
+    return Tests([(r[0], r[1]) for r in benchmark.select("item_id", "text").collect() if r[0] is not None])
+
+
+def is_contaminated(n_words: np.ndarray, n_hit: np.ndarray) -> np.ndarray:
+    return (n_hit > 0) & (SHARE * n_hit >= n_words)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TEST_WORDS) -> DataFrame:
     """The columns of ``docs`` but the text, plus n_words, n_hit, n_items, items_sha256 and contaminated.
 
@@ -98,10 +110,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TE
     one beyond ``max_words`` is refused, and is to be split and run in parts.
     """
     names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    n = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
-    if n > 2 * max_words:
-        raise ValueError("the benchmark is too large for one pass: split it")
-    tests = Tests([(r[0], r[1]) for r in benchmark.select("item_id", "text").collect() if r[0] is not None])
+    tests = prepare(benchmark, max_words)
     kept = [c for c in docs.columns if c not in names]
     out = docs.select(*kept)
     schema = f"{out.drop('text')._jdf.schema().toDDL()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -116,16 +125,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TE
                 digest = [sha256(b"").hexdigest()] * batch.num_rows
                 for r in np.flatnonzero(n_items):
                     digest[r] = sha256(",".join(tests.names[i] for i in pairs[pairs[:, 0] == r, 1]).encode()).hexdigest()
-                flag = (n_hit > 0) & (SHARE * n_hit >= n_words)
+                flag = is_contaminated(n_words, n_hit)
                 rest = batch.drop_columns(["text"])
                 yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest), pa.array(flag)], names=[*rest.schema.names, *names])
 
     return out.mapInArrow(run, schema)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that aren't contaminated, with their columns; the text is judged where it lies."""
-    copy = docs.select("*", F.col("text").alias("__text")) if "text" in docs.columns else docs
-    judged = contamination(copy, benchmark)
-    own = [F.col("__text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return judged.where(~F.col("contaminated")).select(*own)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TEST_WORDS) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated, with all their columns as they are; nulls and repeats are as in ``contamination``."""
+    tests = prepare(benchmark, max_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                n_words, hit, rows, _ = find(*utf8(batch.column("text")), tests)
+                yield batch.filter(pa.array(~is_contaminated(n_words, np.bincount(rows[hit], minlength=batch.num_rows))))
+
+    return docs.mapInArrow(run, docs.schema)
