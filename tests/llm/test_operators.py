@@ -209,3 +209,11 @@ def test_quality_base_rules_match_brute_force(spark):
 @pytest.mark.parametrize("f", [lambda d: pii.find_spans(d), lambda d: ngram_join.near_duplicates(d), lambda d: quality.judge(d, d), lambda d: langid.identify(d)])
 def test_empty_tables(spark, f):
     assert f(make(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    out = toxicity.classify(spark.read.parquet(f"{sf}/documents.parquet"), labels).where("held_out").join(labels, "doc_id")
+    r = out.agg(F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))), F.avg(F.when(F.col("toxic") == 0, F.col("predicted")))).first()
+    assert r[0] > 0.85 and r[1] < 0.01
