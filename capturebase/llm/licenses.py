@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .license_forms import forms
+
 # Spellings that count as the same, after lower-casing.
 SPELLINGS = [
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"), ("authorisation", "authorization"),
@@ -51,13 +53,19 @@ def canonical_sql(text: str) -> str:
     return f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 
 
-def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] = LICENSES) -> DataFrame:
+def known_licenses() -> list[tuple[str, str]]:
+    """LICENSES, and the usual forms of these and of the full texts beside this module."""
+    return [*LICENSES, *forms(LICENSES, COPYRIGHT_LINE)]
+
+
+def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """doc_id, canonical_sha256 and license_id, which is null for a text that is no known licence.
 
     A null or blank text has the digest of the empty text and no licence. Repeated rows stay; an empty table gives no rows. The known
-    digests are a fixed list in this module or the caller's, a few hundred at most, so their side of the hash join is broadcast.
+    digests are a fixed list, ``known_licenses()`` or the caller's, a few hundred, so their side of the hash join is broadcast.
     """
     spark = docs.sparkSession
+    known = known_licenses() if known is None else known
     if len(known) > 10_000:
         raise ValueError("known is meant for a list of licences, at most 10,000")
     names = spark.createDataFrame(known, "license_id string, text string").select("license_id", F.sha2(canonical(F.col("text")), 256).alias("canonical_sha256")).groupBy("canonical_sha256").agg(F.min("license_id").alias("license_id"))
