@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._store import Store
@@ -25,9 +25,14 @@ BUCKET_ROWS = 4096
 FAN_IN = 64
 
 
+def size_of(text: str) -> Column:
+    """Words of the column, 0 for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size."""
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"))
+    return docs.select("doc_id", "source", size_of("text").alias("size"))
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -130,3 +135,24 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         every = every.unionByName(part)
     copies = F.col("whole") + F.round("p").cast("long")
     return every.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def draw(docs: DataFrame, **options: object) -> DataFrame:
+    """The columns of ``docs`` plus size, source_size, target, copies and taken for every row; ``options`` are those of ``mix``.
+
+    Rows that agree in doc_id, source and size are alike to ``mix``; their copies are dealt to them in order of a hash of the text. Columns
+    of ``docs`` named as a result are replaced. Each row moves once, to meet its copies.
+    """
+    names = ("size", "source_size", "target", "copies", "taken")
+    kept = [c for c in docs.columns if c.lower() not in names]
+    own = [f"__{c}" for c in ("id", "no_id", "source", "no_source", "size")]
+
+    def keyed(df: DataFrame, size: Column) -> DataFrame:
+        parts = (F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), F.coalesce("source", F.lit("")), F.col("source").isNull(), size)
+        return df.withColumns(dict(zip(own, parts, strict=True)))
+
+    dealt = keyed(mix(docs, **options), F.col("size")).groupBy(*own).agg(F.sort_array(F.collect_list("copies")).alias("__copies"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+    rows = keyed(docs.select(*kept), size_of("text")).join(dealt, own)
+    alone = Window.partitionBy(*own).orderBy(F.xxhash64("text"))
+    copies = F.get("__copies", F.row_number().over(alone) - 1)
+    return rows.select(*kept, F.col("__size").alias("size"), "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))

@@ -26,7 +26,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    """All that reach it, text included, with the copies of each: 0 for those that the mixture leaves out."""
+    return mixing.draw(docs)
 
 
 STAGES = [("toxicity", toxic), ("near_duplicates", near_duplicates), ("decontamination", contaminated), ("personal_data", personal_data), ("mixing", mixed)]
@@ -36,10 +37,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the last stage returns; every stage is written as Parquet and read again by the next."""
+    """The training corpus: the chosen documents with their columns and copies; every stage is written as Parquet and read by the next."""
     store, docs = Store(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = store.put(stage(spark, docs, sf_dir), name)
         if k:
             store.drop(STAGES[k - 1][0])
-    return docs
+    return docs.where("copies > 0")
