@@ -2,12 +2,14 @@
 
 Each slice of training texts is a shard. Its suffix array holds the word suffixes, in order of their first WINDOW words, of those places
 where a match can begin: a run of words of the benchmark as long as its shortest window. Every suffix of every test item is
-binary-searched in each shard; neighbouring hits join to the longest verbatim matches. Nothing is shuffled.
+binary-searched in each shard; neighbouring hits join to the longest verbatim matches. Nothing is shuffled. A benchmark beyond what a
+task should hold is searched for block by block, and the hits of a text are merged.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from hashlib import sha256
 
 import numpy as np
@@ -20,6 +22,7 @@ from ._text import ALNUM_WORD, LOWER_CODE, slices, span_hashes, utf8, word_bound
 WINDOW = 13
 MAX_TEST_WORDS = 4_000_000
 SHARE = 20
+_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")  # ALNUM_WORD over characters
 _D = 3  # bytes of a word's id in a key; none of them is zero
 
 
@@ -90,12 +93,60 @@ def find(data: np.ndarray, off: np.ndarray, tests: Tests) -> tuple[np.ndarray, .
     return n_words, np.cumsum(hit[:-1]) > 0, rows, pairs
 
 
-def prepare(benchmark: DataFrame, max_words: int = MAX_TEST_WORDS) -> Tests:
-    """The benchmark as every task holds it, refused beyond ``max_words``. Items without item_id or words match nothing."""
-    n = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
-    if n > 2 * max_words:
-        raise ValueError("the benchmark is too large for one pass: split it")
-    return Tests([(r[0], r[1]) for r in benchmark.select("item_id", "text").collect() if r[0] is not None])
+def blocks(items: Iterable[tuple[object, str | None]], limit: int) -> Iterator[list[tuple[object, str | None]]]:
+    """Items by blocks of ``limit`` characters about; a longer one in parts that overlap by WINDOW - 1 words, so that no window is lost."""
+    block, size = [], 0
+    for name, text in items:
+        parts, n = [text], len(text or "")
+        if n > limit:
+            at = [m.span() for m in _WORD.finditer(text)]
+            step = max(1, limit * len(at) // n - WINDOW + 1)
+            last = max(1, len(at) - WINDOW + 1)  # windows begin before this word
+            parts = [text[at[i][0] : at[min(i + step + WINDOW - 1, len(at)) - 1][1]] for i in range(0, last, step)] if at else [""]
+        for part in parts:
+            if block and size + len(part or "") > limit:
+                yield block
+                block, size = [], 0
+            block.append((name, part))
+            size += len(part or "")
+    if block:
+        yield block
+
+
+class Benchmark:
+    """The benchmark's blocks: one goes with the task, several lie in broadcast files of which a task holds one at a time."""
+
+    def __init__(self, benchmark: DataFrame, max_words: int):
+        rows, limit = benchmark.select("item_id", "text").where("item_id is not null"), 2 * max_words
+        n = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
+        if n <= limit:
+            self.one, self.files = Tests([(r[0], r[1]) for r in rows.collect()]), []
+        else:
+            context = benchmark.sparkSession.sparkContext
+            self.one, self.files = None, [context.broadcast(Tests(x)) for x in blocks(((r[0], r[1]) for r in rows.toLocalIterator()), limit)]
+
+    def __iter__(self) -> Iterator[Tests]:
+        if self.one is not None:
+            yield self.one
+        for file in self.files:
+            yield file.value
+            if getattr(file, "_path", None):
+                vars(file).pop("_value", None)  # else every block stays in memory
+
+    def find(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[set[str]]]:
+        """Words of each row, whether each word is hit, its row, and the names of the items that each row matches."""
+        n_words, hit, rows, names = np.zeros(len(off) - 1, np.int64), np.zeros(0, bool), np.zeros(0, np.int64), [set() for _ in off[1:]]
+        for k, tests in enumerate(self):
+            n_words, own, rows, pairs = find(data, off, tests)
+            hit = hit | own if k else own
+            for r, i in pairs.tolist():
+                names[r].add(tests.names[i])
+        return n_words, hit, rows, names
+
+
+def prepare(benchmark: DataFrame, max_words: int = MAX_TEST_WORDS) -> Benchmark:
+    """The benchmark for all tasks, in blocks of 2 * ``max_words`` characters. Items without item_id or words match nothing."""
+    return Benchmark(benchmark, max_words)
 
 
 def is_contaminated(n_words: np.ndarray, n_hit: np.ndarray) -> np.ndarray:
@@ -106,8 +157,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TE
     """The columns of ``docs`` but the text, plus n_words, n_hit, n_items, items_sha256 and contaminated.
 
     A null or wordless text has no words and is clean; an item without words matches nothing; items with one item_id count as one.
-    Repeated rows stay; an empty benchmark leaves all clean. The benchmark is held by every task, so its words are counted first;
-    one beyond ``max_words`` is refused, and is to be split and run in parts.
+    Repeated rows stay; an empty benchmark leaves all clean. A task holds 2 * ``max_words`` characters of the benchmark at a time; a larger
+    one is read in blocks for every batch of texts, which takes time but loses nothing.
     """
     names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     tests = prepare(benchmark, max_words)
@@ -119,12 +170,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TE
         for whole in batches:
             for batch in slices(whole, "text"):
                 data, off = utf8(batch.column("text"))
-                n_words, hit, rows, pairs = find(data, off, tests)
+                n_words, hit, rows, found = tests.find(data, off)
                 n_hit = np.bincount(rows[hit], minlength=batch.num_rows)
-                n_items = np.bincount(pairs[:, 0], minlength=batch.num_rows)
-                digest = [sha256(b"").hexdigest()] * batch.num_rows
-                for r in np.flatnonzero(n_items):
-                    digest[r] = sha256(",".join(tests.names[i] for i in pairs[pairs[:, 0] == r, 1]).encode()).hexdigest()
+                n_items = np.array([len(x) for x in found], np.int64)
+                digest = [sha256(",".join(sorted(x)).encode()).hexdigest() for x in found]
                 flag = is_contaminated(n_words, n_hit)
                 rest = batch.drop_columns(["text"])
                 yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest), pa.array(flag)], names=[*rest.schema.names, *names])
@@ -139,7 +188,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                n_words, hit, rows, _ = find(*utf8(batch.column("text")), tests)
+                n_words, hit, rows, _ = tests.find(*utf8(batch.column("text")))
                 yield batch.filter(pa.array(~is_contaminated(n_words, np.bincount(rows[hit], minlength=batch.num_rows))))
 
     return docs.mapInArrow(run, docs.schema)
