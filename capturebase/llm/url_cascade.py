@@ -16,6 +16,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_FILTER_BYTES = 64 << 20
 LEVEL0 = (10, 4)  # bits a key, probes
 LATER = (2, 1)
+MOST_LABELS = 127  # of a host name; what is listed with more goes by an equi-join
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -83,6 +84,14 @@ class Cascade:
         return key.isNotNull() & out
 
 
+def _deep_hits(split: DataFrame, names: DataFrame) -> DataFrame:
+    """host: those of ``split`` that are, or lie under, one of ``names`` with more than MOST_LABELS labels."""
+    n = F.size(F.split("host", "\\."))
+    ends = F.transform(F.sequence(F.lit(MOST_LABELS + 1), n), lambda k: F.call_function("substring_index", F.col("host"), F.lit("."), -k))
+    own = split.select("host").distinct().where(n > MOST_LABELS).select("host", F.explode(ends).alias("end"))
+    return own.join(names.where(n > MOST_LABELS).select(F.col("host").alias("end")), "end").select("host").distinct()
+
+
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: DataFrame | None = None) -> DataFrame:
     """The columns of ``pages`` plus host, path, rule and verdict.
 
@@ -101,14 +110,19 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: Da
     at = {s: F.when(F.length("path") >= s[1], F.concat(F.lit(f"{s[2]}|"), host_suffix(F.col("host"), s[0]), F.substring("path", 1, s[1]))) for s in shapes}
     listed = spark.createDataFrame([(f"{v}|{h}{p}",) for v, h, p in rules] or [("",)], "key string").where("key <> ''")
     depths: list[int] = []
+    deep = None
     if blocked is not None:
         names = blocked.select(F.translate("host", UPPER, LOWER).alias("host")).where("host <> ''").distinct()
         listed = listed.unionAll(names.select(F.concat(F.lit("list|"), "host")))
-        depths = sorted(r[0] for r in names.select((F.size(F.split("host", "\\."))).alias("n")).where("n <= 127").distinct().collect())
+        every = sorted(r[0] for r in names.select((F.size(F.split("host", "\\."))).alias("n")).distinct().collect())
+        depths = [n for n in every if n <= MOST_LABELS]
+        if len(depths) < len(every):
+            deep = _deep_hits(split, names)
     lists = [F.concat(F.lit("list|"), host_suffix(F.col("host"), n)) for n in depths]
     candidates = [*at.values(), *lists]
-    if not candidates:
+    if not candidates and deep is None:
         return split.select("*", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
+    candidates = candidates or [F.lit(None).cast("string")]
     universe = split.select("host", "path").distinct().select(F.explode(F.array(*candidates)).alias("key")).where("key is not null").distinct()
     cascade = Cascade(spark, universe, listed)
     if cascade.listed is not None and not cascade.levels:  # a list beyond the size of a filter
@@ -121,4 +135,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: Da
     hit = F.lit(False)
     for k in lists:
         hit |= member(k)
+    if deep is not None:
+        split = split.join(deep.select("host", F.lit(True).alias("__deep")), "host", "left")
+        hit |= F.coalesce("__deep", F.lit(False))
     return split.select(*kept, "host", "path", fits.alias("fit"), F.when(hit, "block").otherwise("allow").alias("own")).select(*kept, "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", "own").alias("verdict"))
