@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path under spark.checkpoint.dir; where that is unset, as in tests, under a temporary folder."""
+    """A new path under spark.checkpoint.dir. On one machine, as in tests, a temporary folder where that is unset; a cluster must set it, as
+    its executors can't read each other's disks."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="capturebase-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"

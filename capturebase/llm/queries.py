@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, langid, licenses, mixing, ngram_join, pii, quality, suffix_dedup, toxicity, url_cascade
 
-RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("allow", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: Stands for a list of unwanted hosts from outside: those whose MD5 begins with one of three digits.
 LISTED = "substr(md5(host), 1, 1) < '3'"
 

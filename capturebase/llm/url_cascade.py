@@ -2,7 +2,8 @@
 
 Level 0 encodes the listed keys, level 1 those keys of the corpus that level 0 wrongly accepts, level 2 the listed keys that level 1
 wrongly accepts, and so on until a level accepts nothing wrong. Over the corpus's complete key universe membership is exact and needs no
-join: each filter is one array, read as a scalar subquery, whose size is checked. Lists beyond that size go by an equi-join instead.
+join: each filter is one array, read as a scalar subquery. Longer lists are dealt by a hash to several cascades of bounded size, which are
+read one after another.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ._store import Store
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MAX_FILTER_BYTES = 64 << 20
+MAX_FILTER_BYTES = 8 << 20  # of a shard
 LEVEL0 = (10, 4)  # bits a key, probes
 LATER = (2, 1)
 MOST_LABELS = 127  # of a host name; what is listed with more goes by an equi-join
@@ -42,7 +43,7 @@ def _probe(words: Column, n_words: int, key: Column, level: int, probes: int) ->
     return ok
 
 
-def _filter(store: Store, keys: DataFrame, n: int, level: int) -> tuple[DataFrame, int, int]:
+def _filter(store: Store, keys: DataFrame, n: int, level: int, name: str) -> tuple[DataFrame, int, int]:
     """One row with the filter's words; how many words and probes it has."""
     bits, probes = LATER if level else LEVEL0
     n_words = max(1, -(-n * bits // 64))
@@ -50,38 +51,60 @@ def _filter(store: Store, keys: DataFrame, n: int, level: int) -> tuple[DataFram
     put = keys.select(at.alias("bit")).select(F.shiftright("bit", 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int")).alias("v"))
     dense = put.unionAll(keys.sparkSession.range(n_words).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("v")))
     words = dense.groupBy("w").agg(F.bit_or("v").alias("v")).agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "v"))), lambda s: s["v"]).alias("words"))
-    return store.put(words, f"level{level}"), n_words, probes
+    return store.put(words, name), n_words, probes
 
 
 class Cascade:
-    """Exact membership in ``listed`` (column key) for every key of ``universe`` (column key)."""
+    """Exact membership in ``listed`` (column key) for every key of ``universe`` (column key).
+
+    Keys are dealt by a hash to as many shards as keep the filters of one below ``max_bytes`` about; each shard is a cascade of its own,
+    and only one shard's filters are in a plan at a time.
+    """
 
     def __init__(self, spark: SparkSession, universe: DataFrame, listed: DataFrame, max_bytes: int = MAX_FILTER_BYTES):
-        store = Store(spark)
+        self.store = store = Store(spark)
         keys = universe.select("key", F.lit(False).alias("on")).unionAll(listed.select("key", F.lit(True).alias("on")))
         keys = store.put(keys.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("on").alias("on")), "keys")
-        self.levels: list[tuple[DataFrame, int, int]] = []
-        self.listed = keys.where("on").select("key")
-        take, against = self.listed, keys.where(~F.col("on")).select("key")
-        n, size = take.count(), 0
+        n_on, n_off = keys.agg(F.count_if("on"), F.count_if(~F.col("on"))).first()
+        #: Level 0 and, for the hundredth of the others that it wrongly accepts, level 1.
+        self.n_shards = max(1, -(-(n_on * LEVEL0[0] + n_off * LATER[0] // 50) // (8 * max_bytes)))
+        self.shards = [self._levels(keys.where(self._mine(F.col("key"), s)), f"shard{s}") for s in range(self.n_shards)]
+        self.levels = self.shards[0]
+
+    def _mine(self, key: Column, shard: int) -> Column:
+        return F.lit(True) if self.n_shards == 1 else F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(self.n_shards)) == shard
+
+    def _levels(self, keys: DataFrame, name: str) -> list[tuple[DataFrame, int, int]]:
+        out: list[tuple[DataFrame, int, int]] = []
+        take, against = keys.where("on").select("key"), keys.where(~F.col("on")).select("key")
+        n = take.count()
         while n:
-            if (size := size + n * (LATER if self.levels else LEVEL0)[0] // 8) > max_bytes:
-                self.levels = []
-                return
-            level = len(self.levels)
-            words, n_words, probes = _filter(store, take, n, level)
-            self.levels.append((words, n_words, probes))
-            wrong = store.put(against.where(_probe(words.scalar(), n_words, F.col("key"), level, probes)), f"wrong{level}")
+            level = len(out)
+            words, n_words, probes = _filter(self.store, take, n, level, f"{name}level{level}")
+            out.append((words, n_words, probes))
+            wrong = self.store.put(against.where(_probe(words.scalar(), n_words, F.col("key"), level, probes)), f"{name}wrong{level}")
             take, against, n = wrong, take, wrong.count()
-        self.listed = self.listed if self.levels else None
-
-    def contains(self, key: Column) -> Column:
-        """True for listed keys: the first level that rejects a key decides."""
-        out = F.lit(len(self.levels) % 2 == 1)
-        for level in reversed(range(len(self.levels))):
-            words, n_words, probes = self.levels[level]
+        return out
+
+    def contains(self, key: Column, shard: int = 0) -> Column:
+        """True for listed keys of the shard: the first level that rejects a key decides."""
+        levels = self.shards[shard]
+        out = F.lit(len(levels) % 2 == 1)
+        for level in reversed(range(len(levels))):
+            words, n_words, probes = levels[level]
             out = F.when(_probe(words.scalar(), n_words, key, level, probes), out).otherwise(F.lit(level % 2 == 1))
-        return key.isNotNull() & out
+        return key.isNotNull() & self._mine(key, shard) & out
+
+    def mark(self, df: DataFrame, keys: dict[str, Column]) -> DataFrame:
+        """``df`` with a flag for each of ``keys``; one pass over ``df`` for each shard."""
+        for shard in range(self.n_shards):
+            old = (lambda c: F.col(c)) if shard else (lambda c: F.lit(False))
+            df = df.withColumns({c: old(c) | self.contains(k, shard) for c, k in keys.items()})
+            if self.n_shards > 1:
+                df = self.store.put(df, f"marked{shard}")
+                if shard:
+                    self.store.drop(f"marked{shard - 1}")
+        return df
 
 
 def _deep_hits(split: DataFrame, names: DataFrame) -> DataFrame:
@@ -92,7 +115,7 @@ def _deep_hits(split: DataFrame, names: DataFrame) -> DataFrame:
     return own.join(names.where(n > MOST_LABELS).select(F.col("host").alias("end")), "end").select("host").distinct()
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: DataFrame | None = None) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: DataFrame | None = None, max_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """The columns of ``pages`` plus host, path, rule and verdict.
 
     rules: (verdict, host, path); a rule fits its host and subdomains if the path starts with the rule's; the longest wins, of equally long
@@ -124,17 +147,13 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: Da
         return split.select("*", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
     candidates = candidates or [F.lit(None).cast("string")]
     universe = split.select("host", "path").distinct().select(F.explode(F.array(*candidates)).alias("key")).where("key is not null").distinct()
-    cascade = Cascade(spark, universe, listed)
-    if cascade.listed is not None and not cascade.levels:  # a list beyond the size of a filter
-        hits = split.select("host", "path", F.explode(F.array(*candidates)).alias("key")).distinct().join(cascade.listed, "key").groupBy("host", "path").agg(F.collect_set("key").alias("hits"))
-        split = split.join(hits, ["host", "path"], "left")
-        member = lambda key: F.coalesce(F.array_contains("hits", key), F.lit(False))
-    else:
-        member = cascade.contains
-    fits = F.coalesce(*(F.when(member(k), F.struct(F.substring(k, len(s[2]) + 2, 1 << 20).alias("rule"), F.lit(s[2]).alias("verdict"))) for s, k in at.items()), F.lit(None).cast("struct<rule:string,verdict:string>"))
+    flags = {f"__hit{j}": k for j, k in enumerate(candidates)}
+    split = Cascade(spark, universe, listed, max_bytes).mark(split, flags)
+    hits = [F.col(c) for c in flags]
+    fits = F.coalesce(*(F.when(h, F.struct(F.substring(k, len(s[2]) + 2, 1 << 20).alias("rule"), F.lit(s[2]).alias("verdict"))) for h, (s, k) in zip(hits, at.items(), strict=False)), F.lit(None).cast("struct<rule:string,verdict:string>"))
     hit = F.lit(False)
-    for k in lists:
-        hit |= member(k)
+    for h in hits[len(at) :]:
+        hit |= h
     if deep is not None:
         split = split.join(deep.select("host", F.lit(True).alias("__deep")), "host", "left")
         hit |= F.coalesce("__deep", F.lit(False))

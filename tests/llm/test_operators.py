@@ -35,7 +35,7 @@ def test_url_rules(spark):
     urls = ["http://A.example.ORG/es/1?x", "https://example.org/en/1", "http://org", "x", None, "ftp://com/de/", "http://blog.x.com/fr/a#b", "http://bad.net/", "http://www.bad.net", "http://..", "http://notbad.net/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     r = {x.page_id: (x.rule, x.verdict) for x in url_cascade.filter_urls(pages, RULES, spark.createDataFrame([("bad.net",)], "host string")).collect()}
-    assert [r[i] for i in range(len(urls))] == [("example.org/es/", "block"), ("example.org/en/1", "allow"), (None, "allow"), (None, "allow"), (None, "allow"), ("com/de/", "block"), ("com/fr/", "allow"), (None, "block"), (None, "block"), (None, "allow"), (None, "allow")]
+    assert [r[i] for i in range(len(urls))] == [("example.org/es/", "block"), ("example.org/en/1", "block"), (None, "allow"), (None, "allow"), (None, "allow"), ("com/de/", "block"), ("com/fr/", "allow"), (None, "block"), (None, "block"), (None, "allow"), (None, "allow")]
     assert url_cascade.filter_urls(pages.limit(0), RULES).count() == 0
 
 
@@ -44,6 +44,20 @@ def test_cascade_is_exact(spark):
     c = url_cascade.Cascade(spark, keys, keys.where("key like '%7'"))
     assert len(c.levels) > 1
     assert keys.where(c.contains(F.col("key")) != F.col("key").endswith("7")).count() == 0
+    small = url_cascade.Cascade(spark, keys, keys.where("key like '%7'"), 200)
+    assert small.n_shards > 3
+    assert small.mark(keys, {"on": F.col("key")}).where(F.col("on") != F.col("key").endswith("7")).count() == 0
+    assert url_cascade.Cascade(spark, keys.limit(0), keys.limit(0)).mark(keys, {"on": F.col("key")}).where("on").count() == 0
+
+
+def test_url_rules_of_equal_length_and_sharded_lists(spark):
+    urls = ["http://a.bc.d/ef", "http://a.bc.d/e", "http://x.y/", None, "http://l7.com", "http://l8.com", "http://www.l17.com/q"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [("allow", "a.bc.d", "/e"), ("block", "bc.d", "/ef"), ("block", "c.d", "/"), ("allow", "y", "/"), ("block", "x.y", "")]
+    listed = spark.range(50).where("id % 10 = 7").select(F.concat(F.lit("l"), "id", F.lit(".com")).alias("host"))
+    for size in (20, 1 << 20):
+        r = {x.page_id: (x.rule, x.verdict) for x in url_cascade.filter_urls(pages, rules, listed, max_bytes=size).collect()}
+        assert [r[i] for i in range(len(urls))] == [("a.bc.d/e", "allow"), ("a.bc.d/e", "allow"), ("x.y", "block"), (None, "allow"), (None, "block"), (None, "allow"), (None, "block")]
 
 
 def test_suffix_dedup_matches_brute_force(spark):
