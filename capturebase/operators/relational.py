@@ -18,10 +18,11 @@ def join_latest(outer: DataFrame, inner: DataFrame, key: str, by: str) -> DataFr
     return outer.join(top, key, "left").select(outer["*"], *[F.col(f"_top.{c}").alias(c) for c in inner.columns if c != key])
 
 
-def key_digest(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Number of distinct keys and the SHA-256 of their sorted list, one a line, for a set that one task can hold."""
-    listed = df.select(*keys).distinct().agg(F.count("*").alias("n_keys"), F.array_sort(F.collect_list(F.struct(*keys))).alias("k"))
-    return listed.select("n_keys", F.sha2(F.array_join(F.transform("k", lambda s: F.concat_ws(":", *[s[k].cast("string") for k in keys])), "\n"), 256).alias("keys_sha256"))
+def key_digest(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """For each group: the number of its distinct keys and the SHA-256 of their sorted list, one a line. A group is what one package may
+    hold, which its ceiling bounds; a digest of everything at once would need one task for all keys."""
+    listed = df.select(*by, *keys).distinct().groupBy(*by).agg(F.count("*").alias("n_keys"), F.array_sort(F.collect_list(F.struct(*keys))).alias("k"))
+    return listed.select(*by, "n_keys", F.sha2(F.array_join(F.transform("k", lambda s: F.concat_ws(":", *[s[k].cast("string") for k in keys])), "\n"), 256).alias("keys_sha256"))
 
 
 def replace_rows(current: DataFrame, changed: DataFrame, keys: list[str]) -> DataFrame:

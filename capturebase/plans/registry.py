@@ -13,15 +13,26 @@ from capturebase.sources.archives import COUNTRIES
 
 from . import views
 from . import workloads as w
-from .surfaces import ADAPTER_SQL, Tables, distinct_notices, from_star_schema, notices
+from .adapter import ADAPTER_SQL, tables
+from .surfaces import Tables, notices
 
 A, B = "monthly/2019-03", "monthly/2019-07"
 WANTED = [f"monthly/2019-{m:02d}" for m in range(1, 13)]
 CUTOFF = 40
 
 
+def _shown(df: DataFrame) -> DataFrame:
+    """Arrays joined by | and times written out, so that two engines write them alike; the workloads themselves return the values."""
+    form = {"array<string>": lambda c: F.array_join(c, "|"), "timestamp": lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")}
+    return df.select(*[form[kind](c).alias(c) if kind in form else F.col(c) for c, kind in df.dtypes])
+
+
 def _over(f: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: f(from_star_schema(spark, sf_dir))
+    return lambda spark, sf_dir: _shown(f(tables(spark, sf_dir)))
+
+
+def _times(*columns: str) -> str:
+    return ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') as {c.rpartition('.')[2]}" for c in columns)
 
 
 def _read(name: str, f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -35,32 +46,34 @@ _named: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "monthly_notice_counts": (_over(w.monthly_notice_counts), "select cast(date_trunc('month', publication_date) as date) as publication_month, coalesce(buyer_country_iso, buyer_country, '(absent)') as buyer_country, case when primary_cpv_status = 'present' then left(primary_cpv, 2) || '000000' else '(absent)' end as cpv_division, count(*) as notice_count from distinct_notice group by 1, 2, 3"),
     "latest_capture_per_publication": (_over(w.latest_capture_per_publication), f"select {_state} from history {_last}"),
     "acquisition_cutoff_state": (_over(lambda t: w.latest_capture_per_publication(t, CUTOFF)), f"select {_state} from (select * from history where acquisition_ordinal <= {CUTOFF}) {_last}"),
-    "official_change_references": (_over(lambda t: w.official_change_references(t, 2000)), "select h.source_package_id, h.capture_id, h.capture_status, h.publication_ref, h.change_reference_status, r.ordinal, r.value, case when r.value is null then null when regexp_full_match(r.value, '[0-9]{1,8}-[1-9][0-9]{3}') then 'publication_reference' else 'unresolved_shape' end as value_shape, d.publication_ref as resolved_target, case when r.value is null or not regexp_full_match(r.value, '[0-9]{1,8}-[1-9][0-9]{3}') then null else d.publication_ref is not null end as target_loaded from history h left join reference r using (capture_id, publication_year, publication_number) left join distinct_notice d on try_cast(nullif(regexp_extract(r.value, '^([0-9]{1,8})-([1-9][0-9]{3})$', 1), '') as bigint) = d.publication_number and try_cast(nullif(regexp_extract(r.value, '^([0-9]{1,8})-([1-9][0-9]{3})$', 2), '') as bigint) - 2000 = d.publication_year"),
-    "monthly_coverage_calendar": (lambda spark, d: w.monthly_coverage_calendar(spark, from_star_schema(spark, d), "2018-11-01", "2024-02-01"), "select m.month, 'monthly/' || strftime(m.month, '%Y-%m') as source_package_id, case when p.source_package_id is null then 'no package record' when checkpoint_is_current then 'processed' when latest_verification_state = 'empty_unconfirmed' then 'empty source, unconfirmed' when latest_verification_state = 'unavailable' then 'verification unavailable' when latest_verification_state = 'in_progress' then 'verification in progress' when latest_verification_state = 'mismatch' then 'discrepancy' when has_checkpoint then 'retired checkpoint' when latest_verification_state = 'verified' then 'verified, no checkpoint' else 'verification not yet run' end as calendar_state, checkpoint_notice_count, coverage_verified from (select cast(unnest(generate_series(date '2018-11-01', date '2024-02-01', interval 1 month)) as date) as month) m left join package_status p on p.source_package_id = 'monthly/' || strftime(m.month, '%Y-%m')"),
+    "official_change_references": (_over(lambda t: w.official_change_references(t)), "select h.source_package_id, h.capture_id, h.capture_status, h.publication_ref, h.change_reference_status, r.ordinal, r.value, r.scheme_name, case when r.value is null then null when regexp_full_match(r.value, '[0-9]{1,8}-[1-9][0-9]{3}') then 'publication_reference' else 'unresolved_shape' end as value_shape, d.publication_ref as resolved_target, case when r.value is null or not regexp_full_match(r.value, '[0-9]{1,8}-[1-9][0-9]{3}') then null else d.publication_ref is not null end as target_loaded from history h left join reference r using (capture_id, publication_year, publication_number) left join distinct_notice d on try_cast(nullif(regexp_extract(r.value, '^([0-9]{1,8})-([1-9][0-9]{3})$', 1), '') as bigint) = d.publication_number and try_cast(nullif(regexp_extract(r.value, '^([0-9]{1,8})-([1-9][0-9]{3})$', 2), '') as bigint) = d.publication_year"),
+    "monthly_coverage_calendar": (lambda spark, d: _shown(w.monthly_coverage_calendar(spark, tables(spark, d), "2018-11-01", "2024-02-01")), "select m.month, 'monthly/' || strftime(m.month, '%Y-%m') as source_package_id, case when p.source_package_id is null then 'no package record' when checkpoint_is_current then 'processed' when latest_verification_state = 'empty_unconfirmed' then 'empty source, unconfirmed' when latest_verification_state = 'unavailable' then 'verification unavailable' when latest_verification_state = 'in_progress' then 'verification in progress' when latest_verification_state = 'mismatch' then 'discrepancy' when has_checkpoint then 'retired checkpoint' when latest_verification_state = 'verified' then 'verified, no checkpoint' else 'verification not yet run' end as calendar_state, checkpoint_notice_count, coverage_verified, " + _times("checkpoint_sealed_at") + " from (select cast(unnest(generate_series(date '2018-11-01', date '2024-02-01', interval 1 month)) as date) as month) m left join package_status p on p.source_package_id = 'monthly/' || strftime(m.month, '%Y-%m')"),
     "cross_package_overlap_audit": (_over(lambda t: w.cross_package_overlap_audit(t, A, B)), f"select 'only_in_a' as finding, publication_ref, null as detail from notice where source_package_id = '{A}' and publication_ref not in (select publication_ref from notice where source_package_id = '{B}') union all select 'only_in_b', publication_ref, null from notice where source_package_id = '{B}' and publication_ref not in (select publication_ref from notice where source_package_id = '{A}') union all select 'content_differs', publication_ref, 'a: format=' || source_format || ' date=' || publication_date || ' country=' || coalesce(buyer_country_iso, buyer_country, '') || ' cpv=' || coalesce(primary_cpv, '') || ' refs=' || coalesce(change_reference_status, '') from (select {_content} from notice where source_package_id = '{A}' and publication_ref in (select publication_ref from notice where source_package_id = '{B}') except select {_content} from notice where source_package_id = '{B}')"),
     "load_reconciliation": (_over(w.load_reconciliation), "select c.source_package_id, c.capture_id, acquisition_ordinal, status, p.capture_id is not null as is_published, member_count, distinct_notice_count, loaded_row_count, member_count = distinct_notice_count and distinct_notice_count = loaded_row_count as reconciles, coverage_verified as source_coverage_verified from capture c left join published p on p.capture_id = c.capture_id"),
     "overlapping_identities": (_over(w.overlapping_identities), "select publication_ref, count(*) as package_count, string_agg(source_package_id, '|' order by source_package_id) as packages from notice group by 1 having count(*) > 1"),
     "field_completeness": (_over(w.field_completeness), "select count(*) as notices, count(*) filter (where buyer_country_status = 'present') as with_country, count(*) filter (where primary_cpv_status = 'present') as with_primary_cpv, count(*) filter (where dispatch_date is not null) as with_dispatch_date from distinct_notice"),
-    "coverage_status": (_over(w.coverage_status), "select c.source_package_id, c.capture_id, acquisition_ordinal, distinct_notice_count as capture_notices, case state when 'verified' then 'verified' when 'mismatch' then 'mismatch' when 'unavailable' then 'source unavailable' when 'empty_unconfirmed' then 'unconfirmed empty' when 'in_progress' then 'verification in progress' else 'never verified' end as coverage_state, attempt_id, announced_total from published p join capture c using (capture_id) left join lateral (select * from attempt a where a.capture_id = c.capture_id order by attempt_id desc limit 1) on true"),
-    "verification_history": (_over(w.verification_history), "select capture_id, attempt_id, row_number() over k as attempt_ordinal, lag(state) over k as previous_state, state, epoch_us(finished_at) / 1000000 - epoch_us(started_at) / 1000000 as duration_s from attempt window k as (partition by capture_id order by attempt_id)"),
-    "ingest_status": (_over(w.ingest_status), "select source_package_id, case when not has_checkpoint then 'never checkpointed' when checkpoint_is_current then 'processed' when not capture_still_published then 'retired by a later acquisition' else 'retired by a later coverage check' end as checkpoint_state, checkpoint_notice_count, published_capture_id, coalesce(latest_verification_state, 'never verified') as latest_verification_state, coverage_verified, open_run_id, open_run_phase from package_status"),
-    "ingest_history": (_over(w.ingest_history), "select source_package_id, run_id, phase, case phase when 'completed' then 'checkpoint sealed' when 'failed' then 'terminal failure, not resumable' when 'source_verified' then 'interrupted before the checkpoint' when 'capture_published' then 'interrupted before coverage was confirmed' when 'artifact_ready' then 'interrupted before the capture was published' else 'interrupted before an artifact was accepted' end as reached, capture_id, cast(case when phase = 'completed' then 60 else updated_s - started_s end as double) as elapsed_s from run"),
+    "coverage_status": (_over(w.coverage_status), "select c.source_package_id, c.capture_id, acquisition_ordinal, distinct_notice_count as capture_notices, case state when 'verified' then 'verified' when 'mismatch' then 'mismatch' when 'unavailable' then 'source unavailable' when 'empty_unconfirmed' then 'unconfirmed empty' when 'in_progress' then 'verification in progress' else 'never verified' end as coverage_state, attempt_id, coverage_verified as source_coverage_verified, strftime(started_at, '%Y-%m-%d %H:%M:%S') as verification_started_at, strftime(finished_at, '%Y-%m-%d %H:%M:%S') as verification_finished_at, announced_total as source_announced_total, api_distinct_count as source_distinct_notices, only_local_count, only_api_count, reason from published p join capture c using (capture_id) left join lateral (select * from attempt a where a.capture_id = c.capture_id order by attempt_id desc limit 1) on true"),
+    "verification_history": (_over(w.verification_history), "select source_package_id, capture_id, attempt_id, row_number() over k as attempt_ordinal, lag(state) over k as previous_state, state, reason, " + _times("started_at", "finished_at") + ", epoch_us(finished_at) / 1000000 - epoch_us(started_at) / 1000000 as duration_s, " + ", ".join(w.ATTEMPT[3:]) + " from attempt join capture using (capture_id) window k as (partition by capture_id order by attempt_id)"),
+    "ingest_status": (_over(w.ingest_status), "select source_package_id, checkpoint_capture_id, checkpoint_attempt_id, latest_attempt_id, checkpoint_artifact_sha256, open_run_last_error, " + _times("checkpoint_sealed_at", "open_run_started_at") + ", case when not has_checkpoint then 'never checkpointed' when checkpoint_is_current then 'processed' when not capture_still_published then 'retired by a later acquisition' else 'retired by a later coverage check' end as checkpoint_state, checkpoint_notice_count, published_capture_id, coalesce(latest_verification_state, 'never verified') as latest_verification_state, coverage_verified, open_run_id, open_run_phase from package_status"),
+    "ingest_history": (_over(w.ingest_history), "select r.source_package_id, run_id, phase, case phase when 'completed' then 'checkpoint sealed' when 'failed' then 'terminal failure, not resumable' when 'source_verified' then 'interrupted before the checkpoint' when 'capture_published' then 'interrupted before coverage was confirmed' when 'artifact_ready' then 'interrupted before the capture was published' else 'interrupted before an artifact was accepted' end as reached, artifact_path, artifact_bytes, r.artifact_sha256, r.capture_id, attempt_ordinal, c.acquisition_ordinal as capture_acquisition_ordinal, c.status as capture_status, verification_attempt_id, a.state as verification_state, last_error, " + _times("r.started_at", "r.updated_at", "r.completed_at") + ", cast(case when phase = 'completed' then 60 else updated_s - started_s end as double) as elapsed_s from run r left join (select capture_id, acquisition_ordinal, status from capture) c on c.capture_id = r.capture_id left join (select attempt_id, state from attempt) a on a.attempt_id = verification_attempt_id"),
     "checkpoint_summary": (_over(lambda t: w.checkpoint_summary(t, WANTED)), f"select count(*) as known, count(*) filter (where checkpoint_is_current) as current, cast(sum(checkpoint_notice_count) as bigint) as notices from package_status where source_package_id in ({', '.join(map(repr, WANTED))})"),
     "capture_composition": (_over(w.composition), "select capture_id, count(*) as n, count(buyer_country) as with_country, min(publication_date) filter (where primary_cpv_status = 'present') as first_date, max(publication_date) filter (where primary_cpv_status = 'present') as last_date from notice_capture group by 1"),
     "verified_distinct": (_over(w.verified_distinct), "select count(*) as verified_distinct from (select distinct publication_year, publication_number from notice join package_status using (source_package_id) where checkpoint_is_current)"),
     "published_count": (_over(lambda t: notices(t).agg(F.count("*").alias("observations"), F.countDistinct("publication_year", "publication_number").alias("identities"))), "select count(*) as observations, count(distinct (publication_year, publication_number)) as identities from notice"),
-    "distinct_key_digest": (_over(lambda t: relational.key_digest(distinct_notices(t), ["publication_year", "publication_number"])), "select count(*) as n_keys, sha256(string_agg(publication_year || ':' || publication_number, chr(10) order by publication_year, publication_number)) as keys_sha256 from distinct_notice"),
+    "distinct_key_digest": (_over(lambda t: relational.key_digest(notices(t), w.IDENTITY, ["source_package_id"])), "select source_package_id, count(*) as n_keys, sha256(string_agg(publication_year || ':' || publication_number, chr(10) order by publication_year, publication_number)) as keys_sha256 from notice group by 1"),
     "capture_key_difference": (_over(lambda t: t.notice.where("capture_id = 2").select(*w.IDENTITY).subtract(t.notice.where("capture_id = 3").select(*w.IDENTITY)).orderBy(*w.IDENTITY).limit(20)), "select publication_year, publication_number from notice_capture where capture_id = 2 except select publication_year, publication_number from notice_capture where capture_id = 3 order by 1, 2 limit 20"),
+    "capture_key_difference_back": (_over(lambda t: t.notice.where("capture_id = 3").select(*w.IDENTITY).subtract(t.notice.where("capture_id = 2").select(*w.IDENTITY)).orderBy(*w.IDENTITY).limit(20)), "select publication_year, publication_number from notice_capture where capture_id = 3 except select publication_year, publication_number from notice_capture where capture_id = 2 order by 1, 2 limit 20"),
+    "code_counts": (_over(lambda t: t.notice.select("capture_id", *w.IDENTITY, F.coalesce(F.size("additional_cpv"), F.lit(0)).alias("n_codes"), (F.col("additional_cpv") == F.array("primary_cpv")).alias("only_primary"))), "select capture_id, publication_year, publication_number, coalesce(cast(len(additional_cpv) as integer), 0) as n_codes, case when primary_cpv is not null or len(additional_cpv) <> 1 then additional_cpv = [primary_cpv] else false end as only_primary from notice_capture"),
     "top_packages": (_over(lambda t: relational.top_categories(notices(t), "source_package_id")), "select source_package_id, count(*) as n from notice group by 1 order by n desc, source_package_id limit 20"),
     "next_attempt_ordinal": (_over(lambda t: t.run.groupBy("source_package_id").agg((F.coalesce(F.max("run_id"), F.lit(0)) + 1).alias("next_ordinal"))), "select source_package_id, coalesce(max(run_id), 0) + 1 as next_ordinal from run group by 1"),
     "replaced_checkpoints": (_over(lambda t: relational.replace_rows(t.checkpoint.select("source_package_id", "notice_count"), t.checkpoint.where("capture_id % 2 = 0").select("source_package_id", (F.col("notice_count") + 1).alias("notice_count")), ["source_package_id"])), "select source_package_id, case when capture_id % 2 = 0 then notice_count + 1 else notice_count end as notice_count from checkpoint"),
     "parsed_identities": (_read("events", lambda e: e.select("event_id", columns.identity(F.concat(F.lit("000"), F.col("user_id"), F.lit("_"), F.col("event_id") % 3000)).alias("k")).select("event_id", "k.publication_number", "k.publication_year")), "select event_id, case when event_id % 3000 >= 1000 and user_id > 0 then user_id end as publication_number, case when event_id % 3000 >= 1000 and user_id > 0 then cast(event_id % 3000 as integer) end as publication_year from events"),
-    "rejected_runs": (_over(lambda t: validators.run_violations(t.run)), "select run_id, case when phase = 'failed' then 'failed without a reason' end as violation from run where phase = 'failed'"),
+    "rejected_runs": (_over(lambda t: validators.run_violations(t.run)), "select run_id, case when phase = 'failed' then 'failed without a reason' end as violation from run where phase = 'failed' and last_error is null"),
 }
 # The same values as codes of the archives' countries.
 _countries = ", ".join(f"('{a}', '{b}')" for a, b in COUNTRIES.items())
 _named |= {
-    "sql_cutoff_state": (lambda spark, d: views.sql(spark, from_star_schema(spark, d), "select publication_ref, capture_id, capture_status, contract_version, source_coverage_verified from (select *, row_number() over (partition by publication_year, publication_number order by acquisition_ordinal desc, capture_id desc) as k from notice_history where acquisition_ordinal <= :cutoff) where k = 1", cutoff=CUTOFF), f"select publication_ref, h.capture_id, capture_status, contract_version, coverage_verified as source_coverage_verified from (select * from history where acquisition_ordinal <= {CUTOFF} {_last}) h join capture using (capture_id)"),
+    "sql_cutoff_state": (lambda spark, d: views.sql(spark, tables(spark, d), "select publication_ref, capture_id, capture_status, contract_version, source_coverage_verified from (select *, row_number() over (partition by publication_year, publication_number order by acquisition_ordinal desc, capture_id desc) as k from notice_history where acquisition_ordinal <= :cutoff) where k = 1", cutoff=CUTOFF), f"select publication_ref, h.capture_id, capture_status, h.contract_version, coverage_verified as source_coverage_verified from (select * from history where acquisition_ordinal <= {CUTOFF} {_last}) h join capture using (capture_id)"),
     "notice_change_reference_history": (_over(lambda t: views.views(t)["notice_change_reference_history"]), "select c.source_package_id, capture_id, acquisition_ordinal, status as capture_status, publication_number || '-' || publication_year as publication_ref, publication_year, publication_number, ordinal, value, 'notice-id-ref' as scheme_name from reference join capture c using (capture_id) where status in ('published', 'superseded')"),
     "capture_status": (_over(lambda t: views.views(t)["capture_status"].select("capture_id", "status", "is_published", "artifact_sha256", "member_count", "source_coverage_verified", "verification_attempt_id", "verification_state")), "select c.capture_id, status, p.capture_id is not null as is_published, c.artifact_sha256, member_count, coverage_verified as source_coverage_verified, attempt_id as verification_attempt_id, state as verification_state from capture c left join published p on p.capture_id = c.capture_id left join (select * from attempt qualify row_number() over (partition by capture_id order by attempt_id desc) = 1) a on a.capture_id = c.capture_id"),
     "verification_attempt": (_over(lambda t: views.views(t)["verification_attempt"].select("attempt_id", "capture_id", "source_package_id", "acquisition_ordinal", "state", "announced_total")), "select attempt_id, capture_id, c.source_package_id, acquisition_ordinal, state, announced_total from attempt join capture c using (capture_id)"),

@@ -1,10 +1,10 @@
-"""The read surfaces over captures, and an adapter that lays the test tables out as captures."""
+"""The read surfaces over captures."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capturebase.operators.relational import join_latest, latest_per_key
@@ -30,14 +30,9 @@ def _ref() -> object:
     return F.concat_ws("-", "publication_number", "publication_year").alias("publication_ref")
 
 
-def _times(t: Tables) -> list[str]:
-    """When a capture was made and published, where that is known."""
-    return [c for c in ("acquired_at", "published_at") if c in t.capture.columns]
-
-
 def history(t: Tables) -> DataFrame:
     """Notices of all complete captures, superseded ones included."""
-    c = t.capture.where(F.col("status").isin(*COMPLETE)).select("capture_id", "source_package_id", "acquisition_ordinal", F.col("status").alias("capture_status"), "contract_version", "coverage_verified", *_times(t))
+    c = t.capture.where(F.col("status").isin(*COMPLETE)).select("capture_id", "source_package_id", "acquisition_ordinal", F.col("status").alias("capture_status"), "contract_version", "coverage_verified", "acquired_at", "published_at")
     return t.notice.join(c, "capture_id").select("*", _ref())
 
 
@@ -48,10 +43,22 @@ def reference_history(t: Tables) -> DataFrame:
 
 def notices(t: Tables) -> DataFrame:
     """Notices of published captures: one row for each notice and package."""
-    c = t.published.select("capture_id").join(t.capture.select("capture_id", "source_package_id", "acquisition_ordinal", "coverage_verified", *_times(t)), "capture_id")
+    c = t.published.select("capture_id").join(t.capture.select("capture_id", "source_package_id", "acquisition_ordinal", "coverage_verified", "acquired_at", "published_at"), "capture_id")
     return t.notice.join(c, "capture_id").select("*", _ref())
 
 
+def attempts(t: Tables) -> DataFrame:
+    """Attempts with the package and ordinal of their captures."""
+    return t.attempt.join(t.capture.select("capture_id", "source_package_id", "acquisition_ordinal"), "capture_id")
+
+
+def runs(t: Tables) -> DataFrame:
+    """Runs with what is known of their captures and attempts."""
+    c = t.capture.select("capture_id", "acquisition_ordinal", F.col("status").alias("capture_status"))
+    a = t.attempt.select(F.col("attempt_id").alias("verification_attempt_id"), F.col("state").alias("verification_state"))
+    return t.run.join(c, "capture_id", "left").join(a, "verification_attempt_id", "left")
+
+
 def distinct_notices(t: Tables) -> DataFrame:
     """One row for each published identity, of its newest acquisition."""
     return latest_per_key(notices(t), ["publication_year", "publication_number"], [F.desc("acquisition_ordinal"), F.desc("capture_id")])
@@ -69,7 +76,7 @@ def package_status(t: Tables) -> DataFrame:
     cap = t.capture.select(F.col("capture_id").alias("published_capture_id"), *[F.col(c).alias(f"cap_{c}") for c in ("status", "coverage_verified", "artifact_sha256", "contract_version", "member_count", "distinct_notice_count", "loaded_row_count")])
     run = t.run.select(F.col("run_id").alias("cp_run_id"), *[F.col(c).alias(f"run_{c}") for c in ("phase", "source_package_id", "capture_id", "verification_attempt_id", "artifact_sha256")])
     last = t.attempt.select(F.col("capture_id").alias("published_capture_id"), F.col("attempt_id").alias("latest_attempt_id"), F.col("state").alias("latest_verification_state"), F.col("artifact_sha256").alias("latest_sha"), F.col("contract_version").alias("latest_contract"))
-    going = t.run.where(~F.col("phase").isin(*OPEN)).select("source_package_id", F.col("run_id").alias("open_run_id"), F.col("phase").alias("open_run_phase"))
+    going = t.run.where(~F.col("phase").isin(*OPEN)).select("source_package_id", F.col("run_id").alias("open_run_id"), F.col("phase").alias("open_run_phase"), F.col("started_at").alias("open_run_started_at"), F.col("last_error").alias("open_run_last_error"))
     df = ids.join(cp, "source_package_id", "left").join(pub, "source_package_id", "left").join(cap, "published_capture_id", "left").join(run, "cp_run_id", "left")
     df = join_latest(join_latest(df, last, "published_capture_id", "latest_attempt_id"), going, "source_package_id", "open_run_id")
     same = [
@@ -81,92 +88,8 @@ def package_status(t: Tables) -> DataFrame:
     for a, b in same:
         holds &= F.col(a) == F.col(b)
     return df.select(
-        "source_package_id", F.col("cp_run_id").isNotNull().alias("has_checkpoint"), F.col("cp_capture_id").alias("checkpoint_capture_id"), F.col("cp_notice_count").alias("checkpoint_notice_count"), "published_capture_id",
+        "source_package_id", F.col("cp_run_id").isNotNull().alias("has_checkpoint"), F.col("cp_run_id").alias("checkpoint_run_id"), F.col("cp_capture_id").alias("checkpoint_capture_id"), F.col("cp_verification_attempt_id").alias("checkpoint_attempt_id"),
+        F.col("cp_artifact_sha256").alias("checkpoint_artifact_sha256"), F.col("cp_sealed_at").alias("checkpoint_sealed_at"), F.col("cp_contract_version").alias("checkpoint_contract_version"), F.col("cp_notice_count").alias("checkpoint_notice_count"), "published_capture_id",
         F.coalesce(F.col("cp_capture_id") == F.col("published_capture_id"), F.lit(False)).alias("capture_still_published"), F.coalesce("cap_coverage_verified", F.lit(False)).alias("coverage_verified"),
-        "latest_attempt_id", "latest_verification_state", F.coalesce(holds, F.lit(False)).alias("checkpoint_is_current"), "open_run_id", "open_run_phase",
-    )
-
-
-def from_star_schema(spark: SparkSession, sf_dir: str) -> Tables:
-    """The star-schema test tables as captures: a supplier is a capture of one of 60 monthly packages, a line item an observed notice."""
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    sup = read("supplier").select("s_suppkey", F.concat(F.lit("monthly/"), F.date_format(F.add_months(F.lit("2019-01-01").cast("date"), (F.col("s_suppkey") % 60).cast("int")), "yyyy-MM")).alias("source_package_id"))
-    pub = sup.where("s_suppkey % 4 >= 2").groupBy("source_package_id").agg(F.max("s_suppkey").alias("capture_id"))
-    li = read("lineitem").select("l_suppkey", "l_linenumber", "l_orderkey", "l_partkey", "l_shipdate", "l_returnflag", "l_tax")
-    one = latest_per_key(li, ["l_suppkey", "l_linenumber", "l_orderkey"], [F.desc("l_partkey"), F.desc("l_shipdate")])
-    people = read("orders").select("o_orderkey", "o_custkey").join(read("customer").select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
-    people = people.join(F.broadcast(read("nation")), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 rows at any scale
-    buyer, parts = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("n_name")), read("part").select("p_partkey", "p_type", "p_size")
-    has_cpv = F.col("p_size") % 10 != 0
-    notice = one.join(people, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
-        F.col("l_suppkey").alias("capture_id"), F.col("l_linenumber").alias("publication_year"), F.col("l_orderkey").alias("publication_number"), F.col("l_shipdate").cast("date").alias("publication_date"),
-        F.col("l_returnflag").alias("source_format"), F.when(F.col("l_tax") > 0.02, F.date_sub(F.col("l_shipdate").cast("date"), 3)).alias("dispatch_date"),
-        buyer.alias("buyer_country"), F.when(buyer.isNotNull() & (F.col("n_regionkey") != 0), F.concat(F.lit("I"), "n_nationkey")).alias("buyer_country_iso"),
-        F.when(buyer.isNotNull(), "present").otherwise("absent").alias("buyer_country_status"), F.when(has_cpv, F.col("p_type")).alias("primary_cpv"), F.when(has_cpv, "present").otherwise("absent").alias("primary_cpv_status"),
-        F.when(F.col("l_partkey") % 7 == 0, "present").when(F.col("l_partkey") % 7 == 1, "absent").when(F.col("l_partkey") % 7 == 2, F.lit(None)).otherwise("not_applicable").alias("change_reference_status"),
-    )
-    target, year = F.col("publication_number") + 1, F.col("publication_year")
-    value = F.when(F.col("publication_number") % 3 == 0, F.concat_ws("-", target, year + 2000)).when(F.col("publication_number") % 3 == 1, F.concat(F.lit("00"), target, F.lit("-"), year + 2000)).otherwise(F.concat(F.lit("OJ "), target))
-    reference = notice.where("change_reference_status = 'present'").select("capture_id", "publication_year", "publication_number", F.lit(0).alias("ordinal"), value.alias("value"), F.lit("notice-id-ref").alias("scheme_name"))
-    counts = notice.groupBy("capture_id").agg(F.count("*").alias("loaded")).join(li.groupBy(F.col("l_suppkey").alias("capture_id")).agg(F.count("*").alias("members")), "capture_id")
-    key, mark = F.col("s_suppkey"), F.col("pointer") == F.col("s_suppkey")
-    capture = sup.join(pub.withColumnRenamed("capture_id", "pointer"), "source_package_id", "left").join(counts, key == F.col("capture_id"), "left").select(
-        key.alias("capture_id"), "source_package_id", key.alias("acquisition_ordinal"), F.when(key % 4 == 0, "loading").when(mark, "published").otherwise("superseded").alias("status"), F.lit("3").alias("contract_version"),
-        F.concat(F.lit("sha"), key).alias("artifact_sha256"), (key % 3 != 0).alias("coverage_verified"), F.when(key % 5 == 0, F.col("members")).otherwise(F.col("loaded")).alias("member_count"), F.col("loaded").alias("distinct_notice_count"), F.col("loaded").alias("loaded_row_count"),
-    )
-    e = read("events")
-    state = F.element_at(F.array(*map(F.lit, ("verified", "mismatch", "verified", "unavailable", "empty_unconfirmed", "in_progress"))), (F.col("event_id") % 6 + 1).cast("int"))
-    attempt = e.select(
-        F.col("event_id").alias("attempt_id"), F.col("user_id").alias("capture_id"), state.alias("state"), F.col("ts").alias("started_at"), F.when(state != "in_progress", F.timestamp_add("SECOND", (F.col("event_id") % 97).cast("int"), F.col("ts"))).alias("finished_at"),
-        F.concat(F.lit("sha"), "user_id").alias("artifact_sha256"), F.lit("3").alias("contract_version"), F.when(~state.isin("unavailable", "in_progress"), F.col("event_id") % 1000).alias("announced_total"),
-    )
-    last = attempt.groupBy("capture_id").agg(F.max("attempt_id").alias("verification_attempt_id"))
-    phase = F.element_at(F.array(*map(F.lit, ("completed", "failed", "source_verified", "capture_published", "artifact_ready", "starting"))), F.when(mark, F.lit(1)).otherwise((key % 6 + 1).cast("int")))
-    run = sup.join(pub.withColumnRenamed("capture_id", "pointer"), "source_package_id", "left").join(last, key == F.col("capture_id"), "left").select(
-        key.alias("run_id"), "source_package_id", phase.alias("phase"), key.alias("capture_id"), "verification_attempt_id", F.concat(F.lit("sha"), key).alias("artifact_sha256"),
-        F.timestamp_seconds(key * 3600).alias("started_at"), F.timestamp_seconds(key * 3600 + key % 50).alias("updated_at"), F.when(phase == "completed", F.timestamp_seconds(key * 3600 + 60)).alias("completed_at"),
-    )
-    sealed = pub.where("capture_id % 7 <> 0").join(last, "capture_id", "left").join(counts, "capture_id", "left").select(
-        "source_package_id", F.col("capture_id").alias("run_id"), "capture_id", "verification_attempt_id", F.concat(F.lit("sha"), "capture_id").alias("artifact_sha256"), F.lit("3").alias("contract_version"), F.col("loaded").alias("notice_count"),
+        "latest_attempt_id", "latest_verification_state", F.coalesce(holds, F.lit(False)).alias("checkpoint_is_current"), "open_run_id", "open_run_phase", "open_run_started_at", "open_run_last_error",
     )
-    return Tables(capture, notice, reference, pub, attempt, run, sealed)
-
-
-#: The same in DuckDB SQL.
-ADAPTER_SQL = """
-sup as (select s_suppkey, 'monthly/' || strftime(date '2019-01-01' + to_months(cast(s_suppkey % 60 as integer)), '%Y-%m') as source_package_id from supplier),
-published as (select source_package_id, max(s_suppkey) as capture_id from sup where s_suppkey % 4 >= 2 group by 1),
-one as (select * from lineitem qualify row_number() over (partition by l_suppkey, l_linenumber, l_orderkey order by l_partkey desc, l_shipdate desc) = 1),
-notice_capture as (select l_suppkey as capture_id, l_linenumber as publication_year, l_orderkey as publication_number, cast(l_shipdate as date) as publication_date, l_returnflag as source_format,
-  case when l_tax > 0.02 then cast(cast(l_shipdate as date) - 3 as date) end as dispatch_date, case when c_mktsegment <> 'MACHINERY' then n_name end as buyer_country,
-  case when c_mktsegment <> 'MACHINERY' and n_regionkey <> 0 then 'I' || n_nationkey end as buyer_country_iso, case when c_mktsegment <> 'MACHINERY' then 'present' else 'absent' end as buyer_country_status,
-  case when p_size % 10 <> 0 then p_type end as primary_cpv, case when p_size % 10 <> 0 then 'present' else 'absent' end as primary_cpv_status,
-  case l_partkey % 7 when 0 then 'present' when 1 then 'absent' when 2 then null else 'not_applicable' end as change_reference_status
-  from one left join (orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey) on l_orderkey = o_orderkey left join part on l_partkey = p_partkey),
-reference as (select capture_id, publication_year, publication_number, 0 as ordinal, case publication_number % 3 when 0 then (publication_number + 1) || '-' || (publication_year + 2000)
-  when 1 then '00' || (publication_number + 1) || '-' || (publication_year + 2000) else 'OJ ' || (publication_number + 1) end as value from notice_capture where change_reference_status = 'present'),
-counts as (select capture_id, count(*) as loaded, (select count(*) from lineitem where l_suppkey = capture_id) as members from notice_capture group by 1),
-capture as (select s_suppkey as capture_id, sup.source_package_id, s_suppkey as acquisition_ordinal, case when s_suppkey % 4 = 0 then 'loading' when published.capture_id = s_suppkey then 'published' else 'superseded' end as status,
-  '3' as contract_version, 'sha' || s_suppkey as artifact_sha256, s_suppkey % 3 <> 0 as coverage_verified, case when s_suppkey % 5 = 0 then members else loaded end as member_count, loaded as distinct_notice_count, loaded as loaded_row_count
-  from sup left join published using (source_package_id) left join counts on counts.capture_id = s_suppkey),
-attempt as (select *, case when state not in ('unavailable', 'in_progress') then attempt_id % 1000 end as announced_total, case when state <> 'in_progress' then started_at + to_seconds(attempt_id % 97) end as finished_at from
-  (select event_id as attempt_id, user_id as capture_id, ['verified','mismatch','verified','unavailable','empty_unconfirmed','in_progress'][event_id % 6 + 1] as state, ts as started_at, 'sha' || user_id as artifact_sha256, '3' as contract_version from events)),
-latest as (select capture_id, max(attempt_id) as verification_attempt_id from attempt group by 1),
-run as (select s_suppkey as run_id, sup.source_package_id, ['completed','failed','source_verified','capture_published','artifact_ready','starting'][case when published.capture_id = s_suppkey then 1 else s_suppkey % 6 + 1 end] as phase,
-  s_suppkey as capture_id, verification_attempt_id, 'sha' || s_suppkey as artifact_sha256, s_suppkey * 3600 as started_s, s_suppkey * 3600 + s_suppkey % 50 as updated_s from sup left join published using (source_package_id) left join latest on latest.capture_id = s_suppkey),
-checkpoint as (select source_package_id, p.capture_id as run_id, p.capture_id, verification_attempt_id, 'sha' || p.capture_id as artifact_sha256, '3' as contract_version, loaded as notice_count
-  from published p left join latest using (capture_id) left join counts using (capture_id) where p.capture_id % 7 <> 0),
-history as (select n.*, c.source_package_id, c.acquisition_ordinal, c.status as capture_status, n.publication_number || '-' || n.publication_year as publication_ref from capture c join notice_capture n using (capture_id) where c.status in ('published', 'superseded')),
-notice as (select n.*, c.source_package_id, c.acquisition_ordinal, n.publication_number || '-' || n.publication_year as publication_ref from published p join capture c using (capture_id) join notice_capture n using (capture_id)),
-distinct_notice as (select * from notice qualify row_number() over (partition by publication_year, publication_number order by acquisition_ordinal desc, capture_id desc) = 1),
-package_status as (select k.source_package_id, cp.source_package_id is not null as has_checkpoint, cp.capture_id as checkpoint_capture_id, cp.notice_count as checkpoint_notice_count, pub.capture_id as published_capture_id,
-  coalesce(cp.capture_id = pub.capture_id, false) as capture_still_published, coalesce(cap.coverage_verified, false) as coverage_verified, l.attempt_id as latest_attempt_id, l.state as latest_verification_state,
-  coalesce(cp.capture_id = pub.capture_id and cap.status = 'published' and cap.coverage_verified and cap.artifact_sha256 = cp.artifact_sha256 and cap.contract_version = cp.contract_version and cap.member_count = cp.notice_count
-    and cap.distinct_notice_count = cp.notice_count and cap.loaded_row_count = cp.notice_count and r.phase = 'completed' and r.source_package_id = cp.source_package_id and r.capture_id = cp.capture_id
-    and r.verification_attempt_id = cp.verification_attempt_id and r.artifact_sha256 = cp.artifact_sha256 and l.attempt_id = cp.verification_attempt_id and l.state = 'verified' and l.artifact_sha256 = cp.artifact_sha256
-    and l.contract_version = cp.contract_version, false) as checkpoint_is_current, o.run_id as open_run_id, o.phase as open_run_phase
-  from (select source_package_id from capture union select source_package_id from run union select source_package_id from checkpoint) k left join checkpoint cp using (source_package_id) left join run r on r.run_id = cp.run_id
-  left join published pub on pub.source_package_id = k.source_package_id left join capture cap on cap.capture_id = pub.capture_id
-  left join (select * from attempt qualify row_number() over (partition by capture_id order by attempt_id desc) = 1) l on l.capture_id = pub.capture_id
-  left join (select * from run where phase not in ('completed', 'failed') qualify row_number() over (partition by source_package_id order by run_id desc) = 1) o on o.source_package_id = k.source_package_id)
-"""

@@ -1,4 +1,4 @@
-"""The analytical workloads over the read surfaces. Each has a documented grain; callers sort where they need an order."""
+"""The analytical workloads over the read surfaces. Each has a documented grain and a total order, nulls last."""
 
 from __future__ import annotations
 
@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 from capturebase.functions.columns import REFERENCE, matched, month_of, seconds, text
 from capturebase.operators.relational import join_latest, latest_per_key
 
-from .surfaces import Tables, capture_status, distinct_notices, history, notices, package_status
+from .surfaces import Tables, attempts, capture_status, distinct_notices, history, notices, package_status, runs
 
 IDENTITY = ["publication_year", "publication_number"]
-STATE = ["publication_ref", *IDENTITY, "source_package_id", "capture_id", "acquisition_ordinal", "capture_status", "publication_date", "buyer_country", "buyer_country_iso", "primary_cpv", "change_reference_status"]
+# The columns of each report, in order.
+STATE = [
+    "publication_ref", *IDENTITY, "source_package_id", "capture_id", "acquisition_ordinal", "capture_status", "contract_version", "source_format", "schema_version", "notice_version",
+    "publication_date", "buyer_country", "buyer_country_iso", "buyer_country_status", "primary_cpv", "primary_cpv_status", "change_reference_status",
+]
 #: Nine columns that decide whether two observations of a notice differ.
-CONTENT = ["publication_ref", "source_format", "publication_date", "dispatch_date", "buyer_country_iso", "buyer_country", "primary_cpv", "primary_cpv_status", "change_reference_status"]
+CONTENT = ["publication_ref", "source_format", "publication_date", "dispatch_date", "buyer_country_iso", "buyer_country", "primary_cpv", "additional_cpv", "change_reference_status"]
+ATTEMPT = [
+    "reason", "started_at", "finished_at", "query_text", "query_scope", "verifier_version", "announced_total", "api_record_count", "api_distinct_count", "api_duplicate_count",
+    "local_distinct_count", "only_local_count", "only_api_count", "only_local_sample", "only_api_sample", "pages_fetched", "http_attempts", "api_keys_sha256",
+]
 COVERAGE = {"verified": "verified", "mismatch": "mismatch", "unavailable": "source unavailable", "empty_unconfirmed": "unconfirmed empty", "in_progress": "verification in progress"}
 REACHED = {"completed": "checkpoint sealed", "failed": "terminal failure, not resumable", "source_verified": "interrupted before the checkpoint", "capture_published": "interrupted before coverage was confirmed", "artifact_ready": "interrupted before the capture was published"}
 
@@ -25,31 +33,48 @@ def _label(column: str, labels: dict[str, str], otherwise: str):
     return out.otherwise(otherwise)
 
 
+def ordered(df: DataFrame, *columns: str) -> DataFrame:
+    """Sorted by ``columns``, nulls last, whatever the engine's habit."""
+    return df.orderBy(*[F.asc_nulls_last(c) for c in columns])
+
+
 def monthly_notice_counts(t: Tables) -> DataFrame:
     """Month x country x division."""
-    return distinct_notices(t).groupBy(
+    counts = distinct_notices(t).groupBy(
         F.trunc("publication_date", "MONTH").alias("publication_month"), F.coalesce("buyer_country_iso", "buyer_country", F.lit("(absent)")).alias("buyer_country"),
         F.when(F.col("primary_cpv_status") == "present", F.concat(F.left("primary_cpv", F.lit(2)), F.lit("000000"))).otherwise("(absent)").alias("cpv_division"),
     ).agg(F.count("*").alias("notice_count"))
+    return ordered(counts, "publication_month", "buyer_country", "cpv_division")
 
 
 def latest_capture_per_publication(t: Tables, cutoff: int | None = None) -> DataFrame:
     """Identity: its newest complete observation; with ``cutoff``, the newest up to that ordinal."""
     h = history(t)
     h = h if cutoff is None else h.where(F.col("acquisition_ordinal") <= cutoff)
-    return latest_per_key(h, IDENTITY, [F.desc("acquisition_ordinal"), F.desc("capture_id")]).select(*STATE)
+    return ordered(latest_per_key(h, IDENTITY, [F.desc("acquisition_ordinal"), F.desc("capture_id")]).select(*STATE), *IDENTITY)
+
+
+def resolved_references(t: Tables) -> DataFrame:
+    """Reference, with the published notice that its value names, if it has that shape and the notice is there. Values of another shape, which
+    have no key to join by, don't take part in the join."""
+    r = t.reference.select("capture_id", *IDENTITY, "ordinal", "value", "scheme_name", matched(F.col("value"), REFERENCE, 1).try_cast("long").alias("_n"), matched(F.col("value"), REFERENCE, 2).try_cast("int").alias("_y"))
+    named = F.col("_n").isNotNull() & F.col("_y").isNotNull()
+    target = notices(t).select(F.col("publication_number").alias("_n"), F.col("publication_year").alias("_y"), F.lit(True).alias("_there")).distinct()
+    found = r.where(named).join(target, ["_n", "_y"], "left").withColumn("resolved_target", F.when(F.col("_there"), F.concat_ws("-", "_n", "_y")))
+    rest = r.where(~named).select("*", F.lit(None).cast("string").alias("resolved_target"))
+    kept = ["capture_id", *IDENTITY, "ordinal", "value", "scheme_name", "resolved_target"]
+    return found.select(*kept).unionAll(rest.select(*kept))
 
 
-def official_change_references(t: Tables, base_year: int = 0) -> DataFrame:
-    """Notice x reference, one row at least for each notice; ``base_year`` is what years in references have besides the stored ones."""
-    shape = F.col("value").rlike(REFERENCE)
-    r = t.reference.select("capture_id", *IDENTITY, "ordinal", "value", matched(F.col("value"), REFERENCE, 1).try_cast("long").alias("_n"), (matched(F.col("value"), REFERENCE, 2).try_cast("int") - base_year).alias("_y"))
-    target = distinct_notices(t).select(F.col("publication_number").alias("_n"), F.col("publication_year").alias("_y"), F.col("publication_ref").alias("resolved_target"))
+def official_change_references(t: Tables) -> DataFrame:
+    """Notice x reference, one row at least for each notice."""
+    shape, value = F.col("value").rlike(REFERENCE), F.col("value")
     h = history(t).select("source_package_id", "capture_id", "capture_status", "publication_ref", *IDENTITY, "change_reference_status")
-    return h.join(r, ["capture_id", *IDENTITY], "left").join(target, ["_n", "_y"], "left").select(
-        "source_package_id", "capture_id", "capture_status", "publication_ref", "change_reference_status", "ordinal", "value",
-        F.when(F.col("value").isNull(), None).when(shape, "publication_reference").otherwise("unresolved_shape").alias("value_shape"), "resolved_target",
-        F.when(F.col("value").isNull() | ~shape, None).otherwise(F.col("resolved_target").isNotNull()).alias("target_loaded"),
+    joined = h.join(resolved_references(t), ["capture_id", *IDENTITY], "left")
+    return ordered(joined, "source_package_id", "capture_id", *IDENTITY, "ordinal").select(
+        "source_package_id", "capture_id", "capture_status", "publication_ref", "change_reference_status", "ordinal", "value", "scheme_name",
+        F.when(value.isNull(), None).when(shape, "publication_reference").otherwise("unresolved_shape").alias("value_shape"), "resolved_target",
+        F.when(value.isNull() | ~shape, None).otherwise(F.col("resolved_target").isNotNull()).alias("target_loaded"),
     )
 
 
@@ -60,7 +85,7 @@ def monthly_coverage_calendar(spark: SparkSession, t: Tables, first: str, last:
     is_ = lambda state: F.col("latest_verification_state") == state
     state = F.when(F.col("_id").isNull(), "no package record").when(F.col("checkpoint_is_current"), "processed").when(is_("empty_unconfirmed"), "empty source, unconfirmed").when(is_("unavailable"), "verification unavailable")
     state = state.when(is_("in_progress"), "verification in progress").when(is_("mismatch"), "discrepancy").when(F.col("has_checkpoint"), "retired checkpoint").when(is_("verified"), "verified, no checkpoint").otherwise("verification not yet run")
-    return months.join(p, "month", "left").select("month", F.concat(F.lit("monthly/"), F.date_format("month", "yyyy-MM")).alias("source_package_id"), state.alias("calendar_state"), "checkpoint_notice_count", "coverage_verified")
+    return ordered(months.join(p, "month", "left").select("month", F.concat(F.lit("monthly/"), F.date_format("month", "yyyy-MM")).alias("source_package_id"), state.alias("calendar_state"), "checkpoint_notice_count", "coverage_verified", "checkpoint_sealed_at"), "month")
 
 
 def overlap_audit(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -70,7 +95,8 @@ def overlap_audit(left: DataFrame, right: DataFrame) -> DataFrame:
     differs = a.join(b.select("publication_ref"), "publication_ref", "left_semi").subtract(b.join(a.select("publication_ref"), "publication_ref", "left_semi"))
     c = F.col
     detail = F.concat(F.lit("a: format="), text(c("source_format")), F.lit(" date="), text(c("publication_date")), F.lit(" country="), text(F.coalesce("buyer_country_iso", "buyer_country")), F.lit(" cpv="), text(c("primary_cpv")), F.lit(" refs="), text(c("change_reference_status")))
-    return only(a, b, "only_in_a").unionByName(only(b, a, "only_in_b")).unionByName(differs.select(F.lit("content_differs").alias("finding"), "publication_ref", detail.alias("detail")))
+    found = only(a, b, "only_in_a").unionByName(only(b, a, "only_in_b")).unionByName(differs.select(F.lit("content_differs").alias("finding"), "publication_ref", detail.alias("detail")))
+    return ordered(found, "finding", "publication_ref")
 
 
 def cross_package_overlap_audit(t: Tables, package_a: str, package_b: str) -> DataFrame:
@@ -82,12 +108,13 @@ def load_reconciliation(t: Tables) -> DataFrame:
     """Capture."""
     c = F.col
     reconciles = (c("member_count") == c("distinct_notice_count")) & (c("distinct_notice_count") == c("loaded_row_count"))
-    return capture_status(t).select("source_package_id", "capture_id", "acquisition_ordinal", "status", "is_published", "member_count", "distinct_notice_count", "loaded_row_count", reconciles.alias("reconciles"), c("coverage_verified").alias("source_coverage_verified"))
+    return ordered(capture_status(t), "source_package_id", "acquisition_ordinal").select("source_package_id", "capture_id", "acquisition_ordinal", "status", "is_published", "member_count", "distinct_notice_count", "loaded_row_count", reconciles.alias("reconciles"), c("coverage_verified").alias("source_coverage_verified"))
 
 
 def overlapping_identities(t: Tables) -> DataFrame:
-    """Identity in more than one package; the packages joined by |."""
-    return notices(t).groupBy("publication_ref").agg(F.count("*").alias("package_count"), F.array_join(F.array_sort(F.collect_list("source_package_id")), "|").alias("packages")).where("package_count > 1")
+    """Identity in more than one package, and the ordered array of these."""
+    many = notices(t).groupBy("publication_ref").agg(F.count("*").alias("package_count"), F.array_sort(F.collect_list("source_package_id")).alias("packages")).where("package_count > 1")
+    return ordered(many, "publication_ref")
 
 
 def field_completeness(t: Tables) -> DataFrame:
@@ -98,24 +125,36 @@ def field_completeness(t: Tables) -> DataFrame:
 def coverage_status(t: Tables) -> DataFrame:
     """Published capture, with its newest attempt if there is one."""
     df = join_latest(capture_status(t).where("is_published").drop("artifact_sha256", "contract_version"), t.attempt, "capture_id", "attempt_id")
-    return df.select("source_package_id", "capture_id", "acquisition_ordinal", F.col("distinct_notice_count").alias("capture_notices"), _label("state", COVERAGE, "never verified").alias("coverage_state"), "attempt_id", "announced_total")
+    as_ = lambda old, new: F.col(old).alias(new)
+    return ordered(df, "source_package_id").select(
+        "source_package_id", "capture_id", "acquisition_ordinal", as_("distinct_notice_count", "capture_notices"), as_("coverage_verified", "source_coverage_verified"), _label("state", COVERAGE, "never verified").alias("coverage_state"), "attempt_id",
+        as_("started_at", "verification_started_at"), as_("finished_at", "verification_finished_at"), as_("announced_total", "source_announced_total"), as_("api_distinct_count", "source_distinct_notices"), "only_local_count", "only_api_count", "reason",
+    )
 
 
 def verification_history(t: Tables) -> DataFrame:
     """Attempt, numbered within its capture, with the state before it and its seconds."""
     w = Window.partitionBy("capture_id").orderBy("attempt_id")
-    return t.attempt.select("capture_id", "attempt_id", F.row_number().over(w).alias("attempt_ordinal"), F.lag("state").over(w).alias("previous_state"), "state", seconds(F.col("started_at"), F.col("finished_at")).alias("duration_s"))
+    numbered = attempts(t).select("source_package_id", "capture_id", "attempt_id", F.row_number().over(w).alias("attempt_ordinal"), F.lag("state").over(w).alias("previous_state"), "state", *ATTEMPT[:3], seconds(F.col("started_at"), F.col("finished_at")).alias("duration_s"), *ATTEMPT[3:])
+    return ordered(numbered, "capture_id", "attempt_id")
 
 
 def ingest_status(t: Tables) -> DataFrame:
     """Package."""
     state = F.when(~F.col("has_checkpoint"), "never checkpointed").when(F.col("checkpoint_is_current"), "processed").when(~F.col("capture_still_published"), "retired by a later acquisition").otherwise("retired by a later coverage check")
-    return package_status(t).select("source_package_id", state.alias("checkpoint_state"), "checkpoint_notice_count", "published_capture_id", F.coalesce("latest_verification_state", F.lit("never verified")).alias("latest_verification_state"), "coverage_verified", "open_run_id", "open_run_phase")
+    return ordered(package_status(t), "source_package_id").select(
+        "source_package_id", state.alias("checkpoint_state"), "checkpoint_notice_count", "checkpoint_sealed_at", "checkpoint_capture_id", "published_capture_id", "checkpoint_attempt_id", "latest_attempt_id",
+        F.coalesce("latest_verification_state", F.lit("never verified")).alias("latest_verification_state"), "coverage_verified", "checkpoint_artifact_sha256", "open_run_id", "open_run_phase", "open_run_started_at", "open_run_last_error",
+    )
 
 
 def ingest_history(t: Tables) -> DataFrame:
-    """Run."""
-    return t.run.select("source_package_id", "run_id", "phase", _label("phase", REACHED, "interrupted before an artifact was accepted").alias("reached"), "capture_id", seconds(F.col("started_at"), F.coalesce("completed_at", "updated_at")).alias("elapsed_s"))
+    """Run, with the seconds that it took so far."""
+    return ordered(runs(t), "source_package_id", "attempt_ordinal").select(
+        "source_package_id", "run_id", "attempt_ordinal", "phase", _label("phase", REACHED, "interrupted before an artifact was accepted").alias("reached"), "artifact_path", "artifact_bytes", "artifact_sha256", "capture_id",
+        F.col("acquisition_ordinal").alias("capture_acquisition_ordinal"), "capture_status", "verification_attempt_id", "verification_state", "last_error", "started_at", "updated_at", "completed_at",
+        seconds(F.col("started_at"), F.coalesce("completed_at", "updated_at")).alias("elapsed_s"),
+    )
 
 
 def checkpoint_summary(t: Tables, wanted: list[str]) -> DataFrame:

@@ -35,11 +35,11 @@ def test_matches_sql(spark, duck, name):
     assert got == sorted((tuple(_norm(row[names.index(c)]) for c in cols) for row in r.fetchall()), key=repr)
 
 
-NOTICE = "publication_ref string, source_format string, publication_date date, dispatch_date date, buyer_country_iso string, buyer_country string, primary_cpv string, primary_cpv_status string, change_reference_status string"
+NOTICE = "publication_ref string, source_format string, publication_date date, dispatch_date date, buyer_country_iso string, buyer_country string, primary_cpv string, additional_cpv array<string>, change_reference_status string"
 
 
-def _n(ref, country="PL"):
-    return (ref, "x", dt.date(2023, 11, 15), None, None, country, None, "absent", None)
+def _n(ref, country="PL", more=()):
+    return (ref, "x", dt.date(2023, 11, 15), None, None, country, None, list(more), None)
 
 
 def test_overlap_audit_is_symmetric_and_null_safe(spark):
@@ -49,6 +49,9 @@ def test_overlap_audit_is_symmetric_and_null_safe(spark):
     assert rows(a, b) == [("content_differs", "3-2023"), ("only_in_a", "1-2023"), ("only_in_b", "4-2023")]
     assert rows(b, a) == [("content_differs", "3-2023"), ("only_in_a", "4-2023"), ("only_in_b", "1-2023")]
     assert rows(a, a) == []
+    c = spark.createDataFrame([_n("2-2023", more=["45000000"])], NOTICE)
+    d = spark.createDataFrame([_n("2-2023", more=["45000000", "72000000"])], NOTICE)
+    assert rows(c, d) == [("content_differs", "2-2023")] and rows(c, c) == []
 
 
 def test_identity_and_dates(spark):
@@ -71,6 +74,30 @@ def test_unknown_breaks_a_constraint(spark):
 
 
 def test_empty_calendar(spark):
-    from capturebase.plans.surfaces import from_star_schema
+    from capturebase.plans.adapter import from_star_schema
 
     assert workloads.monthly_coverage_calendar(spark, from_star_schema(spark, SF), "2024-02-01", "2024-01-01").count() == 0
+
+
+def test_orders_are_total_with_nulls_last(spark):
+    from capturebase.plans.adapter import tables
+
+    t = tables(spark, SF)
+    rows = workloads.official_change_references(t).collect()
+    refs = [(r.source_package_id, r.capture_id, *(int(x) for x in reversed(r.publication_ref.split("-"))), r.ordinal is None, r.ordinal or 0) for r in rows]
+    assert refs == sorted(refs) and len(refs) > 100
+    rows = workloads.latest_capture_per_publication(t).collect()
+    keys = [(r.publication_year, r.publication_number) for r in rows]
+    assert keys == sorted(set(keys)) and len(rows[0]) == 18
+    up = spark.createDataFrame([(1, None), (2, 3), (3, 1)], "a long, b long")
+    assert [r.a for r in workloads.ordered(up, "b").collect()] == [3, 2, 1]
+    assert [type(r.packages) for r in workloads.overlapping_identities(t).limit(1).collect()] == [list]
+
+
+def test_built_tables_need_no_shuffle_for_the_newest_observation(spark):
+    from capturebase.operators.relational import latest_per_key
+    from capturebase.plans.adapter import tables
+
+    t = tables(spark, SF)
+    plan = latest_per_key(t.notice, workloads.IDENTITY, [F.desc("capture_id")])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
