@@ -43,10 +43,11 @@ def run(spark: SparkSession, a: argparse.Namespace) -> tuple[object, bool]:
     """What to print, and whether the work is done."""
     if a.command in ("inspect", "survey"):
         raw = archives.read_archives(spark, a.paths, "strict" if a.command == "inspect" else "survey").cache()
-        rows = [r.asDict() for r in archives.inspection(raw).collect()]  # one an archive
+        rows = [r.asDict() for r in archives.inspection(raw).join(archives.facts(spark, a.paths), "archive").collect()]  # one an archive
         if a.command == "survey":
             rejects = [r.asDict() for r in archives.survey(raw).collect()]
-            return {"archives": rows, "members": rejects}, all(r["loadable"] for r in rows)
+            more = {"categories": archives.categories(raw), "samples": archives.samples(raw)}
+            return {"archives": rows, "members": rejects} | {k: [r.asDict() for r in df.collect()] for k, df in more.items()}, all(r["loadable"] for r in rows)
         return rows, all(r["loadable"] for r in rows)
     ledger = Ledger(spark, a.ledger)
     if a.command == "load":

@@ -30,6 +30,19 @@ def replace_rows(current: DataFrame, changed: DataFrame, keys: list[str]) -> Dat
     return current.join(changed, keys, "left_anti").unionByName(changed)
 
 
+def uncommitted(rows: DataFrame, committed: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` no entry of ``committed`` has, null keys included: what a loader that goes on deletes first."""
+    return rows.join(committed.select(key).distinct(), key, "left_anti")
+
+
+def without_uncommitted(rows: DataFrame, committed: DataFrame, key: str, parts: dict[str, tuple[DataFrame, list[str]]] | None = None) -> dict[str, DataFrame]:
+    """``rows`` without the uncommitted ones, and each of ``parts`` (rows of another table, and the keys of what they belong to) without
+    those of rows that go."""
+    gone = uncommitted(rows, committed, key)
+    kept = {"rows": rows.join(committed.select(key).distinct(), key, "left_semi").select(*rows.columns)}
+    return kept | {name: part.join(gone.select(*keys).distinct(), keys, "left_anti") for name, (part, keys) in (parts or {}).items()}
+
+
 def top_categories(df: DataFrame, column: str, n: int = 20) -> DataFrame:
     """The most frequent values, ties by name."""
     return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc(column)).limit(n)

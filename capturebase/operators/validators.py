@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from capturebase.functions.columns import is_true
 
 
+SHOWN = 20  # entries of a sample
+
+
 def _violations(df: DataFrame, key: list[str], rules: dict[str, Column]) -> DataFrame:
     """One row for each broken rule; a rule that comes out unknown is broken."""
     broken = F.filter(F.array(*(F.when(~is_true(ok), F.lit(name)) for name, ok in rules.items())), lambda x: x.isNotNull())
@@ -23,7 +26,8 @@ def attempt_violations(attempt: DataFrame) -> DataFrame:
     ended = c("finished_at").isNotNull() == (c("state") != "in_progress")
     equal = (c("announced_total") == c("api_distinct_count")) & (c("api_distinct_count") == c("local_distinct_count")) & (c("only_local_count") == 0) & (c("only_api_count") == 0) & (c("announced_total") > 0) & c("api_keys_sha256").isNotNull()
     nothing = (c("announced_total") == 0) & (c("local_distinct_count") == 0)
-    return _violations(attempt, ["attempt_id"], {"finish time": ended, "verified without equal counts": (c("state") != "verified") | is_true(equal), "empty with counts": (c("state") != "empty_unconfirmed") | is_true(nothing)})
+    rules = {f"more than {SHOWN} in {k}": F.coalesce(F.size(k), F.lit(0)) <= SHOWN for k in ("only_local_sample", "only_api_sample") if k in attempt.columns}
+    return _violations(attempt, ["attempt_id"], rules | {"finish time": ended, "verified without equal counts": (c("state") != "verified") | is_true(equal), "empty with counts": (c("state") != "empty_unconfirmed") | is_true(nothing)})
 
 
 def run_violations(run: DataFrame) -> DataFrame:

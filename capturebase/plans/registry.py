@@ -35,6 +35,13 @@ def _times(*columns: str) -> str:
     return ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') as {c.rpartition('.')[2]}" for c in columns)
 
 
+def _resumed(t: Tables) -> dict[str, DataFrame]:
+    """What is left where two of seven batches were never committed."""
+    batched = t.notice.withColumn("batch", F.col("publication_number") % 7)
+    committed = batched.select("batch").distinct().where("batch not in (2, 5)")
+    return relational.without_uncommitted(batched, committed, "batch", {"references": (t.reference, ["capture_id", *w.IDENTITY])})
+
+
 def _read(name: str, f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: f(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
@@ -64,6 +71,8 @@ _named: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "capture_key_difference": (_over(lambda t: t.notice.where("capture_id = 2").select(*w.IDENTITY).subtract(t.notice.where("capture_id = 3").select(*w.IDENTITY)).orderBy(*w.IDENTITY).limit(20)), "select publication_year, publication_number from notice_capture where capture_id = 2 except select publication_year, publication_number from notice_capture where capture_id = 3 order by 1, 2 limit 20"),
     "capture_key_difference_back": (_over(lambda t: t.notice.where("capture_id = 3").select(*w.IDENTITY).subtract(t.notice.where("capture_id = 2").select(*w.IDENTITY)).orderBy(*w.IDENTITY).limit(20)), "select publication_year, publication_number from notice_capture where capture_id = 3 except select publication_year, publication_number from notice_capture where capture_id = 2 order by 1, 2 limit 20"),
     "code_counts": (_over(lambda t: t.notice.select("capture_id", *w.IDENTITY, F.coalesce(F.size("additional_cpv"), F.lit(0)).alias("n_codes"), (F.col("additional_cpv") == F.array("primary_cpv")).alias("only_primary"))), "select capture_id, publication_year, publication_number, coalesce(cast(len(additional_cpv) as integer), 0) as n_codes, case when primary_cpv is not null or len(additional_cpv) <> 1 then additional_cpv = [primary_cpv] else false end as only_primary from notice_capture"),
+    "rows_after_resume": (_over(lambda t: _resumed(t)["rows"].select("capture_id", *w.IDENTITY)), "select capture_id, publication_year, publication_number from notice_capture where publication_number % 7 not in (2, 5)"),
+    "references_after_resume": (_over(lambda t: _resumed(t)["references"].select("capture_id", *w.IDENTITY, "value")), "select capture_id, publication_year, publication_number, value from reference r where not exists (select 1 from notice_capture n where n.capture_id = r.capture_id and n.publication_year = r.publication_year and n.publication_number = r.publication_number and n.publication_number % 7 in (2, 5))"),
     "top_packages": (_over(lambda t: relational.top_categories(notices(t), "source_package_id")), "select source_package_id, count(*) as n from notice group by 1 order by n desc, source_package_id limit 20"),
     "next_attempt_ordinal": (_over(lambda t: t.run.groupBy("source_package_id").agg((F.coalesce(F.max("run_id"), F.lit(0)) + 1).alias("next_ordinal"))), "select source_package_id, coalesce(max(run_id), 0) + 1 as next_ordinal from run group by 1"),
     "replaced_checkpoints": (_over(lambda t: relational.replace_rows(t.checkpoint.select("source_package_id", "notice_count"), t.checkpoint.where("capture_id % 2 = 0").select("source_package_id", (F.col("notice_count") + 1).alias("notice_count")), ["source_package_id"])), "select source_package_id, case when capture_id % 2 = 0 then notice_count + 1 else notice_count end as notice_count from checkpoint"),

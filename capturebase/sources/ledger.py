@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import fcntl
+import hashlib
 import json
 import os
 from collections.abc import Callable
@@ -16,22 +17,23 @@ from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from capturebase.operators.relational import uncommitted
 from capturebase.operators.validators import attempt_violations, capture_violations, duplicate_identities, run_violations
 from capturebase.plans.surfaces import Tables
 
-from .archives import CONTRACT, FIELDS, BadArchive, read_archives
+from .archives import BATCH, CONTRACT, FIELDS, NOT_OF_A_NOTICE, BadArchive, read_archives
 from .packages import Package, package
 from .remote import VERSION, Listing, Unavailable
 
-LAYOUT = 1
+SPAN = 20  # batches that one job writes and commits together
 OPEN = ("starting", "artifact_ready", "capture_published", "source_verified")
 SHOWN, REASON = 20, 2000
 RECIPE = "sha256 of year:number of all keys, sorted, one a line"
 SCHEMAS = {
-    "capture": "capture_id long, source_package_id string, acquisition_ordinal long, artifact_sha256 string, contract_version string, status string, coverage_verified boolean, member_count long, distinct_notice_count long, loaded_row_count long, folder string, artifact_bytes long, failure_reason string, acquired_at timestamp, published_at timestamp",
+    "capture": "capture_id long, source_package_id string, acquisition_ordinal long, artifact_sha256 string, contract_version string, status string, coverage_verified boolean, member_count long, distinct_notice_count long, loaded_row_count long, batch_size long, artifact_bytes long, failure_reason string, acquired_at timestamp, published_at timestamp",
     "published": "source_package_id string, capture_id long",
     "attempt": "attempt_id long, capture_id long, artifact_sha256 string, contract_version string, verifier_version string, query_text string, query_scope string, state string, reason string, started_at timestamp, finished_at timestamp, announced_total long, api_record_count long, api_distinct_count long, api_duplicate_count long, local_distinct_count long, only_local_count long, only_api_count long, only_local_sample array<string>, only_api_sample array<string>, pages_fetched long, http_attempts long, api_keys_sha256 string, key_digest_recipe string",
     "run": "run_id long, source_package_id string, attempt_ordinal long, phase string, artifact_path string, artifact_sha256 string, artifact_bytes long, capture_id long, verification_attempt_id long, started_at timestamp, updated_at timestamp, completed_at timestamp, last_error string",
@@ -41,6 +43,18 @@ KEYS = {"capture": "capture_id", "published": "source_package_id", "attempt": "a
 TIMES = {"acquired_at", "published_at", "started_at", "finished_at", "updated_at", "completed_at", "sealed_at"}
 
 
+def _spans_of_folders(state: dict) -> None:
+    """Captures written before there were batches are one span each, of the folder that they named."""
+    for c in state["capture"]:
+        folder, n = c.pop("folder", None), c.get("loaded_row_count")
+        c.setdefault("spans", [] if folder is None or n is None else [{"first": 0, "last": 0, "folder": folder, "members": n, "references": None, "ends": True}])
+        c.setdefault("batch_size", None)
+
+
+#: Changes of the ledger's layout, in order; each is applied once, in a step of its own, and there is no way back.
+MIGRATIONS = {1: lambda state: None, 2: _spans_of_folders}
+
+
 class Refused(ValueError):
     """What was asked for is not allowed in the ledger's present state, or the rows don't reconcile."""
 
@@ -50,6 +64,11 @@ def passing(e: Exception) -> bool:
     return isinstance(e, (OSError, Unavailable)) or isinstance(e, (PySparkException, Py4JError)) and BadArchive.__name__ not in str(e)
 
 
+def _digest(path: str) -> str:
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
 def _now() -> str:
     return dt.datetime.now(dt.UTC).isoformat()
 
@@ -58,18 +77,49 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root, self.file = spark, root, os.path.join(root, "CURRENT.json")
         os.makedirs(root, exist_ok=True)
+        self.migrate()
 
     # State -------------------------------------------------------------------------------------------------------------------------
 
-    def state(self) -> dict:
+    def _read(self) -> dict:
         if not os.path.exists(self.file):
-            return {"layout": LAYOUT} | {t: [] for t in SCHEMAS}
+            return {"migrations": sorted(MIGRATIONS)} | {t: [] for t in SCHEMAS}
         with open(self.file) as f:
             state = json.load(f)
-        if state.get("layout", 0) > LAYOUT:
-            raise Refused(f"the ledger has layout {state['layout']}, newer than {LAYOUT}")
+        state.setdefault("migrations", list(range(1, state.pop("layout", 1) + 1)))
+        unknown = sorted(set(state["migrations"]) - set(MIGRATIONS))
+        if unknown:
+            raise Refused(f"the ledger has migrations that are not known here: {unknown}")
+        return state
+
+    def state(self) -> dict:
+        state = self._read()
+        if pending := sorted(set(MIGRATIONS) - set(state["migrations"])):
+            raise Refused(f"the ledger lacks migrations {pending}")
         return state
 
+    def migrate(self) -> list[int]:
+        """Applies what the ledger lacks, in order, and returns it. A gap before what it has is refused: it can't be filled any more."""
+        done = []
+        with self.locked("state"):
+            for version in sorted(MIGRATIONS):
+                state = self._read()
+                if version in state["migrations"]:
+                    continue
+                if version < max(state["migrations"], default=0):
+                    raise Refused(f"migration {version} is missing before {max(state['migrations'])}")
+                MIGRATIONS[version](state)
+                self._write(state | {"migrations": [*state["migrations"], version]})
+                done.append(version)
+        return done
+
+    def _write(self, state: dict) -> None:
+        with open(new := self.file + ".new", "w") as f:
+            json.dump(state, f)
+            f.flush()
+            os.fsync(f.fileno())
+        os.replace(new, self.file)
+
     @contextmanager
     def locked(self, name: str, wait: bool = True):
         """One holder at a time for each name; packages don't wait for one another."""
@@ -85,11 +135,7 @@ class Ledger:
         """The state, to be changed in place; all of it takes effect at the end, or nothing."""
         with self.locked("state"):
             yield (state := self.state())
-            with open(new := self.file + ".new", "w") as f:
-                json.dump(state, f)
-                f.flush()
-                os.fsync(f.fileno())
-            os.replace(new, self.file)
+            self._write(state)
 
     @staticmethod
     def row(state: dict, table: str, key: object) -> dict | None:
@@ -122,8 +168,7 @@ class Ledger:
             rows = [tuple(dt.datetime.fromisoformat(v) if (v := r.get(c)) and c in TIMES else v for c in names) for r in state[table]]
             return self.spark.createDataFrame(rows, SCHEMAS[table])
 
-        whole = [c for c in state["capture"] if c["status"] in ("published", "superseded")]
-        notice = self.spark.read.schema(f"{FIELDS}, source_filename string, capture_id long").parquet(*[os.path.join(self.root, c["folder"]) for c in whole]) if whole else self.spark.createDataFrame([], f"{FIELDS}, source_filename string, capture_id long")
+        notice = self._rows([c for c in state["capture"] if c["status"] in ("published", "superseded")])
         exploded = notice.select("capture_id", "publication_year", "publication_number", F.inline("change_references"))
         return Tables(small("capture"), notice.drop("change_references"), exploded, small("published"), small("attempt"), small("run"), small("checkpoint"))
 
@@ -141,42 +186,83 @@ class Ledger:
 
     # Captures -----------------------------------------------------------------------------------------------------------------------
 
+    def _rows(self, captures: list[dict]) -> DataFrame:
+        """Rows of the committed spans of some captures; files that no span names don't exist for a reader."""
+        schema, paths = f"{FIELDS}, source_filename string, batch int, capture_id long", [os.path.join(self.root, x["folder"]) for c in captures for x in c["spans"]]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
     def load(self, name: str, sha: str, rows: Callable[[], DataFrame] | str, contract: str = CONTRACT, force: bool = False) -> int:
         """Publishes a capture of a package and returns its id. ``rows`` gives the rows, or is the archive's path. The same artifact under
-        the same contract again is no work, and an unfinished capture of it is resumed under its number; a bad member, an identity twice,
-        or a count that doesn't reconcile fails the capture, a lost machine leaves it unfinished; both leave what is visible as it was."""
+        the same contract again is no work. An unfinished capture of it is resumed under its number and with its batch size: spans of batches
+        that are committed stay, what isn't is written again. A bad member, an identity twice, an archive that changes meanwhile or a count
+        that doesn't reconcile fails the capture, a lost machine leaves it unfinished; both leave what is visible as it was."""
         with self.change() as state:
             old = self.published(state, name)
             if old and not force and (old["artifact_sha256"], old["contract_version"]) == (sha, contract):
                 return old["capture_id"]
             same = [c["capture_id"] for c in state["capture"] if c["status"] == "loading" and (c["source_package_id"], c["artifact_sha256"], c["contract_version"]) == (name, sha, contract)]
-            new = max(same) if same and not force else self.add(state, "capture", source_package_id=name, artifact_sha256=sha, contract_version=contract, artifact_bytes=os.path.getsize(rows) if isinstance(rows, str) else None, status="loading", coverage_verified=False, acquired_at=_now(), acquisition_ordinal=max((c["acquisition_ordinal"] for c in state["capture"]), default=0) + 1)
+            new = max(same) if same and not force else self.add(state, "capture", source_package_id=name, artifact_sha256=sha, contract_version=contract, artifact_bytes=os.path.getsize(rows) if isinstance(rows, str) else None, status="loading", coverage_verified=False, acquired_at=_now(), batch_size=BATCH, spans=[], acquisition_ordinal=max((c["acquisition_ordinal"] for c in state["capture"]), default=0) + 1)
             row = self.row(state, "capture", new)
-            row["tries"] = row.get("tries", 0) + 1
             #: What an earlier try has left behind, or still writes, is in another folder.
-            row["folder"] = folder = f"capture_id={new}/try={row['tries']}"
-        path = os.path.join(self.root, folder)
+            row["tries"] = tries = row.get("tries", 0) + 1
         try:
-            source = read_archives(self.spark, [rows], limits=package(name).ceilings) if isinstance(rows, str) else rows()
-            source.drop("archive", "member", "reject", "detail").withColumn("capture_id", F.lit(new).cast("long")).write.mode("overwrite").parquet(path)
-            kept = self.spark.read.parquet(path)
-            n = kept.count()
-            if n == 0 or not duplicate_identities(kept).isEmpty() or not kept.where("publication_number is null or publication_year is null").isEmpty():
-                raise Refused(f"{name}: the capture doesn't reconcile")
+            before = _digest(rows) if isinstance(rows, str) else None
+            self._spans(new, tries, rows, name)
+            if before is not None and _digest(rows) != before:
+                raise BadArchive(f"{name}: the archive changed while it was read")
+            counts = self._reconciled(new, name)
         except Exception as e:
             with self.change() as state:
                 self.row(state, "capture", new).update(failure_reason=str(e)[:REASON], **({} if passing(e) else {"status": "failed"}))
             raise
         with self.change() as state:
-            row = self.row(state, "capture", new)
-            if row["status"] != "loading" or row["folder"] != folder:
-                raise Refused(f"capture {new} went on elsewhere")
+            row = self._own(state, new, tries)
             if (old := self.published(state, name)) is not None:
                 old["status"] = "superseded"
-            row.update(status="published", member_count=n, distinct_notice_count=n, loaded_row_count=n, published_at=_now())
+            row.update(status="published", published_at=_now(), **counts)
             self.put(state, "published", source_package_id=name, capture_id=new)
         return new
 
+    def _own(self, state: dict, capture_id: int, tries: int) -> dict:
+        row = self.row(state, "capture", capture_id)
+        if row["status"] != "loading" or row["tries"] != tries:
+            raise Refused(f"capture {capture_id} went on elsewhere")
+        return row
+
+    def _spans(self, capture_id: int, tries: int, rows: Callable[[], DataFrame] | str, name: str) -> None:
+        """Writes the spans that aren't committed, one job each, and commits every one as it is done."""
+        while True:
+            row = self.row(self.state(), "capture", capture_id)
+            if row["spans"] and row["spans"][-1]["ends"]:
+                return
+            first = row["spans"][-1]["last"] + 1 if row["spans"] else 0
+            last, folder = first + SPAN - 1, f"capture_id={capture_id}/try={tries}/first={first}"
+            if isinstance(rows, str):
+                source = read_archives(self.spark, [rows], limits=package(name).ceilings, batch_size=row["batch_size"], first_batch=first, last_batch=last)
+            else:
+                source = rows()
+                source = source if "batch" in source.columns else source.withColumn("batch", F.lit(0))
+            seen = Observation()
+            #: What was read, counted apart from what is in the files afterwards.
+            source = source.observe(seen, F.count("*").alias("members"), F.coalesce(F.sum(F.size("change_references")), F.lit(0)).cast("long").alias("references"))
+            source.drop(*NOT_OF_A_NOTICE).withColumn("capture_id", F.lit(capture_id).cast("long")).write.mode("overwrite").parquet(os.path.join(self.root, folder))
+            ends = not isinstance(rows, str) or seen.get["members"] < SPAN * row["batch_size"]
+            with self.change() as state:
+                self._own(state, capture_id, tries)["spans"].append({"first": first, "last": last, "folder": folder, "ends": ends} | seen.get)
+
+    def _reconciled(self, capture_id: int, name: str) -> dict:
+        """The counts of a capture, if members read, distinct notices and rows in the files agree, and references read and in the files."""
+        row = self.row(self.state(), "capture", capture_id)
+        kept = self._rows([row])
+        members, references = (sum(x[k] for x in row["spans"]) for k in ("members", "references"))
+        loaded, stored, unnamed = kept.agg(F.count("*"), F.coalesce(F.sum(F.size("change_references")), F.lit(0)), F.count_if(F.col("publication_number").isNull() | F.col("publication_year").isNull())).first()
+        distinct = kept.select("publication_year", "publication_number").distinct().count()
+        spans = self.spark.createDataFrame([(x["first"], x["last"]) for x in row["spans"]], "first int, last int")
+        batches = spans.select(F.explode(F.sequence("first", "last")).alias("batch"))
+        if loaded == 0 or unnamed or not loaded == distinct == members or stored != references or not uncommitted(kept, batches, "batch").isEmpty():
+            raise Refused(f"{name}: the capture doesn't reconcile: {members} members, {distinct} distinct, {loaded} rows; {references} references, {stored} stored")
+        return {"member_count": members, "distinct_notice_count": distinct, "loaded_row_count": loaded}
+
     # Verification -------------------------------------------------------------------------------------------------------------------
 
     def verify(self, capture_id: int, listed: Callable[[Package], Listing]) -> dict:
@@ -187,7 +273,7 @@ class Ledger:
         if capture is None or self.published(state, capture["source_package_id"]) != capture:
             raise Refused(f"capture {capture_id} is not published")
         p = package(capture["source_package_id"])
-        local = self.spark.read.parquet(os.path.join(self.root, capture["folder"]))
+        local = self._rows([capture])
         with self.change() as state:
             attempt_id = self.add(state, "attempt", capture_id=capture_id, artifact_sha256=capture["artifact_sha256"], contract_version=capture["contract_version"], verifier_version=VERSION, query_text=p.search, query_scope="ALL", state="in_progress", started_at=_now(), local_distinct_count=capture["distinct_notice_count"])
             self.row(state, "capture", capture_id)["coverage_verified"] = False

@@ -2,6 +2,7 @@ import datetime as dt
 import gzip
 import io
 import json
+import os
 import tarfile
 
 import pytest
@@ -16,6 +17,9 @@ PUB = "http://publications.europa.eu/resource/schema/ted/R2.0.9/publication"
 MONTH = "monthly/2023-11"
 
 
+LEGACY_ROOT = f"{{{PUB}}}TED_EXPORT"
+
+
 def legacy(n, year=2023, day="20231115", country="PL", codes=("79000000", "79100000"), ns=PUB, inner="", doc_id=None):
     cpv = "".join(f'<ORIGINAL_CPV CODE="{c}"/>' for c in codes)
     return f'<TED_EXPORT xmlns="{ns}" VERSION="R2.0.9.S05" DOC_ID="{doc_id or f"{n}-{year}"}"><CODED_DATA_SECTION{inner}><REF_OJS><DATE_PUB>{day}</DATE_PUB></REF_OJS><NOTICE_DATA><ISO_COUNTRY VALUE="{country}"/>{cpv}</NOTICE_DATA><CODIF_DATA><DS_DATE_DISPATCH>20231110</DS_DATE_DISPATCH></CODIF_DATA></CODED_DATA_SECTION></TED_EXPORT>'.encode()
@@ -89,7 +93,7 @@ def test_archive_faults(tmp_path):
         (tmp_path / name).write_bytes(raw)
         with pytest.raises(BadArchive):
             read(str(tmp_path / name))
-    for items, tail in (([("../1_2023.xml", b"x")], b""), (one, b"after"), (one + [("i.tar.gz", whole)], b""), ([("i.tar.gz", deep)], b"")):
+    for items, tail in (([("../1_2023.xml", b"x")], b""), ([("c:1_2023.xml", b"x")], b""), (one, b"after"), (one + [("i.tar.gz", whole)], b""), ([("i.tar.gz", deep)], b"")):
         with pytest.raises(BadArchive):
             read(archive(tmp_path / "b.tar.gz", items, tail))
     link = tmp_path / "l.tar.gz"
@@ -182,6 +186,12 @@ def test_scan_survey_and_ledger(spark, tmp_path):
     assert len(rows) == 4 and {(r.publication_number, r.publication_year, r.buyer_country, r.primary_cpv, tuple(r.additional_cpv)) for r in rows} == {(i, 2023, "PL", "79000000", ("79100000",)) for i in (1, 2)}
     assert {(r.reject, r.members) for r in survey(read_archives(spark, [bad], "survey")).collect()} == {(None, 1), ("unsupported_declaration", 1), ("unsupported_root", 1), ("invalid_identity", 1), ("unsupported_member_name", 1)}
     assert {r.archive[-8]: r.loadable for r in archives.inspection(read_archives(spark, [good, bad, twice], "survey")).collect()} == {"a": True, "b": False, "t": False}
+    raw = read_archives(spark, [nested, bad, twice], "survey")
+    kinds = {(r.archive[-8:-7], r.category, r.value): r.members for r in archives.categories(raw).collect()}
+    assert kinds["n", "format", "legacy"] == 2 and kinds["b", "unsupported_root", "other"] == 1 and kinds["b", "reason", "invalid_identity"] == 1 and kinds["t", "root", LEGACY_ROOT] == 2
+    assert {(r.archive[-8:-7], r.what, r.sample) for r in archives.samples(raw).collect()} == {("b", "rejected", x) for x in ("000004_2023.xml unsupported_declaration", "000005_2023.xml unsupported_root", "x.xml invalid_identity", "readme.txt unsupported_member_name")} | {("t", "repeated", "1-2023")}
+    assert {(r.archive[-8:-7], r.layout, r.containers, r.members) for r in archives.inspection(raw).collect()} == {("n", "nested", 1, 2), ("b", "flat", 0, 5), ("t", "flat", 0, 2)}
+    assert {(r.sha256, r.compressed_bytes) for r in archives.facts(spark, [good]).collect()} == {(remote.sha256(good), os.path.getsize(good))}
     with pytest.raises(Exception, match="unsupported_declaration"):
         read_archives(spark, [bad]).collect()
 
@@ -202,10 +212,66 @@ def test_scan_survey_and_ledger(spark, tmp_path):
         with pytest.raises(OSError):
             ledger.load(MONTH, "s5", lost)
     third = ledger.load(MONTH, "s5", good)
-    assert third == second + 1 and ledger.row(ledger.state(), "capture", third)["folder"].endswith("try=3")
+    assert third == second + 1 and "try=3" in ledger.row(ledger.state(), "capture", third)["spans"][0]["folder"]
     assert ledger.load(MONTH, "s5", good, force=True) == third + 1
     t = ledger.tables()
-    assert surfaces.history(t).count() == 8 and surfaces.notices(t).count() == 2 and ledger.violations().isEmpty()
+    assert surfaces.history(t).count() == 8 and t.capture.where("member_count = 2 and distinct_notice_count = 2").count() == 4 and surfaces.notices(t).count() == 2 and ledger.violations().isEmpty()
+
+
+def test_resume_goes_on_after_the_committed_batches(spark, tmp_path, monkeypatch):
+    from capturebase.sources import ledger as module
+
+    monkeypatch.setattr(module, "BATCH", 2)
+    monkeypatch.setattr(module, "SPAN", 2)
+    path = archive(tmp_path / "a.tar.gz", [(f"{i:06d}_2023.xml", legacy(i)) for i in range(1, 11)])
+    ledger, asked, read = Ledger(spark, str(tmp_path / "ledger")), [], module.read_archives
+
+    def breaks(*a, **b):
+        asked.append(b["first_batch"])
+        if len(asked) == 2:
+            raise OSError("the machine is gone")
+        return read(*a, **b)
+
+    monkeypatch.setattr(module, "read_archives", breaks)
+    with pytest.raises(OSError):
+        ledger.load(MONTH, "s", path)
+    monkeypatch.setattr(module, "BATCH", 7)  # the batch size of the capture stays
+    spark.createDataFrame([], "x int").write.parquet(str(tmp_path / "ledger/capture_id=1/try=1/first=2"))  # left behind, named by nothing
+    new = ledger.load(MONTH, "s", path)
+    c = ledger.row(ledger.state(), "capture", new)
+    assert asked == [0, 2, 2, 4] and [(x["first"], x["members"], x["ends"], x["folder"][13:18]) for x in c["spans"]] == [(0, 4, False, "try=1"), (2, 4, False, "try=2"), (4, 2, True, "try=2")]
+    assert (c["member_count"], c["batch_size"], ledger.visible().count(), {r.batch for r in ledger.visible().collect()}) == (10, 2, 10, set(range(5)))
+
+
+def test_counts_that_disagree_are_refused(spark, tmp_path, monkeypatch):
+    from capturebase.sources import ledger as module
+
+    ledger, rows = Ledger(spark, str(tmp_path / "ledger")), Ledger._rows
+    path = archive(tmp_path / "a.tar.gz", [("000001_2023.xml", eforms(["1-2023"])), ("000002_2023.xml", eforms([]))])
+    for broken in (lambda df: df.limit(1), lambda df: df.withColumn("change_references", module.F.slice("change_references", 1, 0))):
+        monkeypatch.setattr(Ledger, "_rows", lambda self, c, broken=broken: broken(rows(self, c)))
+        with pytest.raises(Refused, match="reconcile"):
+            ledger.load(MONTH, f"s{id(broken)}", path)
+    monkeypatch.setattr(module, "_digest", lambda p, n=iter(range(9)): next(n))
+    monkeypatch.setattr(Ledger, "_rows", rows)
+    with pytest.raises(BadArchive, match="changed"):
+        ledger.load(MONTH, "s", path)
+    assert ledger.visible() is None
+
+
+def test_migrations(spark, tmp_path):
+    root = tmp_path / "ledger"
+    root.mkdir()
+    old = {"layout": 1, "capture": [{"capture_id": 1, "status": "published", "folder": "f", "loaded_row_count": 2}]} | {t: [] for t in ("published", "attempt", "run", "checkpoint")}
+    (root / "CURRENT.json").write_text(json.dumps(old))
+    ledger = Ledger(spark, str(root))
+    assert ledger.state()["migrations"] == [1, 2] and ledger.state()["capture"][0]["spans"][0]["folder"] == "f" and ledger.migrate() == []
+    for bad in ([1, 2, 3], [2]):
+        (root / "CURRENT.json").write_text(json.dumps(ledger._read() | {"migrations": bad}))
+        with pytest.raises(Refused):
+            Ledger(spark, str(root))
+        (root / "CURRENT.json").write_text(json.dumps(old))
+        ledger = Ledger(spark, str(root))
 
 
 def test_ingest(spark, tmp_path):
