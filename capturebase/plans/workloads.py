@@ -89,13 +89,13 @@ def monthly_coverage_calendar(spark: SparkSession, t: Tables, first: str, last:
 
 
 def overlap_audit(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Finding: identities in one of two sets of notices only, and shared ones whose content differs."""
-    a, b = left.select(*CONTENT), right.select(*CONTENT)
-    only = lambda x, y, name: x.select("publication_ref").join(y.select("publication_ref"), "publication_ref", "left_anti").select(F.lit(name).alias("finding"), "publication_ref", F.lit(None).cast("string").alias("detail"))
-    differs = a.join(b.select("publication_ref"), "publication_ref", "left_semi").subtract(b.join(a.select("publication_ref"), "publication_ref", "left_semi"))
-    c = F.col
-    detail = F.concat(F.lit("a: format="), text(c("source_format")), F.lit(" date="), text(c("publication_date")), F.lit(" country="), text(F.coalesce("buyer_country_iso", "buyer_country")), F.lit(" cpv="), text(c("primary_cpv")), F.lit(" refs="), text(c("change_reference_status")))
-    found = only(a, b, "only_in_a").unionByName(only(b, a, "only_in_b")).unionByName(differs.select(F.lit("content_differs").alias("finding"), "publication_ref", detail.alias("detail")))
+    """Finding: identities in one of two sets of notices only, and shared ones whose content differs. Each side holds an identity once, as a
+    package does, so both meet in one join."""
+    sides = [df.select("publication_ref", F.struct(*CONTENT[1:]).alias(name)) for df, name in ((left, "a"), (right, "b"))]
+    c = lambda name: F.col(f"a.{name}")
+    detail = F.concat(F.lit("a: format="), text(c("source_format")), F.lit(" date="), text(c("publication_date")), F.lit(" country="), text(F.coalesce(c("buyer_country_iso"), c("buyer_country"))), F.lit(" cpv="), text(c("primary_cpv")), F.lit(" refs="), text(c("change_reference_status")))
+    finding = F.when(F.col("b").isNull(), "only_in_a").when(F.col("a").isNull(), "only_in_b").when(~F.col("a").eqNullSafe(F.col("b")), "content_differs")
+    found = sides[0].join(sides[1], "publication_ref", "full").select(finding.alias("finding"), "publication_ref", F.when(finding == "content_differs", detail).alias("detail")).where("finding is not null")
     return ordered(found, "finding", "publication_ref")
 
 
