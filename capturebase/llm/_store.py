@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from capturebase.sources.shared import shared_dir
+
+
+#: What a side may take in memory to be sent to all; beyond it Spark picks the join.
+BROADCAST_BYTES = 16 << 20
+
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new path under spark.checkpoint.dir. On one machine, as in tests, a temporary folder where that is unset; a cluster must set it, as
-    its executors can't read each other's disks."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="capturebase-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
+def small_side(df: DataFrame, size: int) -> DataFrame:
+    """``df`` marked to be sent to all if its ``size``, an upper bound in bytes that the caller has counted, is small."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 class Store:

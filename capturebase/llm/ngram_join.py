@@ -1,11 +1,15 @@
-"""Near duplicates by an exact Jaccard join of word shingles with partition-and-enumerate signatures.
-
-Sets fall into bands of similar size. A band splits the shingle domain into partitions; what a set has in one partition is a signature.
-Two sets of a band with similarity 3/4 or more differ in k partitions at most, k a seventh of their sizes' sum, so among the first k + 1
-non-empty partitions of either, in one order of all signatures, they share one. That order puts signatures of very frequent shingles
-last; it decides what is compared, never what is found. Members of a signature first meet the smallest of them, then, where they aren't
-in one component yet, each other. Pairs whose parities of shingle counts differ in too many bins can't be linked and go; the others are
-compared by their whole sets, so the links are exact.
+"""Near duplicates by an exact Jaccard join of word shingles with PartEnum signatures.
+
+Sets fall into bands of similar size. A band deals the shingle domain out to groups, and each group to SECOND parts; a signature is what a set
+has in all parts of a group but one, and a set has one for every choice of that part. Two sets of a band with similarity 3/4 or more differ in
+k shingles at most, k a seventh of their sizes' sum. Groups are taken in one order until k // 2 + 1 of them have shingles in two parts or
+more: in one of these the sets differ by one shingle at most, so that all parts but one agree, and what agrees isn't empty. Shingles that a
+notable share of all documents has are left out, which makes no two sets differ more. Sets without so many groups (short ones, and those of
+frequent shingles) have the first shingles in one order as signatures too, frequent ones last.
+
+Equal sets are one from the start. Members of a signature first meet the smallest of them; then members of different components meet, in
+blocks, so that no task holds a whole signature. Pairs whose parities of shingle counts differ in too many bins can't be linked and go; the
+others are compared by their whole sets, so the links are exact.
 """
 
 from __future__ import annotations
@@ -17,16 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._store import Store
-from ._text import LOWER_CODE, SPACE_WORD, mix, slices, span_hashes, utf8, word_bounds
+from ._store import Store, small_side
+from ._text import LOWER_CODE, SPACE_WORD, mix, slices, span_hashes, trim, utf8, word_bounds
 from .components import components
 
 WORDS = 5
+SECOND = 3  # parts of a group
+LEAST = 16  # sizes below which a set's shingles are too few for groups
 FREQUENT = 4000  # a shingle in more than one of so many documents is frequent
 SALT_ROWS = 256
-BROADCAST_ROWS = 400_000
+BLOCK = 512  # members of a signature that a task holds
+FLUSH = 1 << 20  # shingles or signatures that a task holds before it passes them on
+PARITY_BYTES = 4096
 _C = [np.uint64(c | 1) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
-_ROW = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("n", "<i4")])
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,160 +66,248 @@ def _starts(key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _is_frequent(h: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(h), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
+
+
+def _enumerated(h: np.ndarray, row: np.ndarray, n_groups: np.ndarray, need: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of groups and their rows, and whether each row has fewer than ``need`` groups with shingles in two parts."""
+    base = np.cumsum(n_groups) - n_groups
+    total = int(n_groups.sum())
+    code = mix(h ^ np.uint64(0x5851F42D4C957F2D))
+    group = base[row] + (((code >> np.uint64(32)) * n_groups[row].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+    part = (((code & np.uint64(0xFFFFFFFF)) * np.uint64(SECOND)) >> np.uint64(32)).astype(np.int64)
+    place = group * SECOND + part
+    order = np.argsort(place, kind="stable")
+    sums, counts = np.zeros(total * SECOND, np.uint64), np.bincount(place, minlength=total * SECOND)
+    at = _starts(place[order])
+    if len(at):
+        sums[place[order][at]] = np.add.reduceat(mix(h ^ _C[4])[order], at)
+    sums, counts = sums.reshape(-1, SECOND), counts.reshape(-1, SECOND)
+    rich = (counts > 0).sum(1) >= 2
+    owner = np.repeat(np.arange(len(n_groups)), n_groups)
+    before = np.cumsum(rich) - rich
+    before -= before[np.minimum(base, max(total - 1, 0))][owner] if total else 0
+    taken = before < need[owner]
+    short = np.bincount(owner, rich, len(n_groups)) < need
+    whole, many = sums.sum(1, dtype=np.uint64), counts.sum(1)
+    sigs, rows = [], []
+    for left_out in range(SECOND):
+        on = np.flatnonzero(taken & (many > counts[:, left_out]))
+        inner = (on - base[owner[on]]).astype(np.uint64) * np.uint64(SECOND) + np.uint64(left_out)
+        sigs.append(mix(whole[on] - sums[on, left_out] + inner * _C[1] + salt[owner[on]] * _C[2]))
+        rows.append(owner[on])
+    return np.concatenate(sigs), np.concatenate(rows), short
+
+
 def signatures(h: np.ndarray, row: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures and their rows."""
+    """Signatures and their rows, for sets as ``shingle_sets`` gives them."""
     sigs, rows = [], []
     if not len(h):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     n = np.bincount(row)
-    hot = np.zeros(len(h), np.int64)
-    if len(frequent):
-        hot = (frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h).astype(np.int64)
-    band = np.zeros(len(n), np.int64)
-    for j in range(1, 31):
-        band += n >= 4**j
-    code = mix(h ^ np.uint64(0x5851F42D4C957F2D))
+    hot = _is_frequent(h, frequent)
+    band = np.frexp(np.maximum(n, 1).astype(float))[1].astype(np.int64) - 1
     for lower in (0, 1):
         #: A set just above its band's lower end also meets the sets below.
         j = band - lower
-        ok = (n > 0) & (j >= 0) & ((lower == 0) | (3 * n < 4 * 4**band))
-        mine = ok[row]
-        if not mine.any():
+        ok = (n > 0) & (j >= 0) & ((lower == 0) | (3 * n < 4 << band))
+        if not ok.any():
             continue
-        r, x = row[mine], h[mine]
-        #: Small sets could fall into k partitions or fewer, and share none; nearly every shingle of theirs is a partition of its own.
-        parts = np.where(j[r] < 2, 1 << 31, 6 * 4 ** j[r]).astype(np.uint64)
-        p = ((x >> np.uint64(32)) * np.minimum(parts, np.uint64(1 << 31))) >> np.uint64(32)
-        new = np.ones(len(x), bool)
-        new[1:] = (p[1:] != p[:-1]) | (r[1:] != r[:-1])
-        at = np.flatnonzero(new)
-        token = mix(np.add.reduceat(code[mine], at) + p[at] * _C[1] + (j[r[at]] + 1).astype(np.uint64) * _C[2])
-        tame = np.minimum.reduceat(hot[mine], at) == 0
-        tr = r[at]
-        k = (n + np.minimum(4 * n // 3, 4 * 4 ** (j + 1) // 3)) // 7
-        begin = _starts(tr)
-        upto = lambda flag: np.cumsum(flag) - np.repeat((np.cumsum(flag) - flag)[begin], np.diff(np.append(begin, len(tr))))  # noqa: B023, E731
-        rank = upto(tame.astype(np.int64))
-        tames = np.bincount(tr, tame, len(n)).astype(np.int64)
-        rank = np.where(tame, rank, tames[tr] + upto((~tame).astype(np.int64)))
-        take = rank <= k[tr] + 1
-        sigs.append(token[take])
-        rows.append(tr[take])
-    return np.concatenate(sigs), np.concatenate(rows)
-
-
-def _frequent(docs: DataFrame) -> np.ndarray:
-    """Hashes of frequent shingles, counted over all texts, equal sets of a batch once; shingles that a batch hardly has aren't counted.
-    Their number is at most FREQUENT times the mean set size, whatever the input."""
+        top = np.left_shift(2, np.maximum(j, 0))
+        k = (n + (np.minimum(4 * n // 3, 4 * top // 3) if lower == 0 else top)) // 7
+        grouped = ok & (top > LEAST)
+        short = ok.copy()
+        if grouped.any():
+            mine = grouped[row] & ~hot
+            s, r, few = _enumerated(h[mine], row[mine], np.where(grouped, top // 4, 0), np.where(grouped, k // 2 + 1, 0), (j + 1).astype(np.uint64))
+            sigs.append(s)
+            rows.append(r)
+            short &= ~grouped | few
+        #: The first shingles in one order; sets that differ in k shingles share one of their first k + 1.
+        mine = short[row]
+        if mine.any():
+            r, x, late = row[mine], mix(h[mine] + _C[3]), hot[mine]
+            order = np.lexsort((x, late, r))
+            r, x = r[order], x[order]
+            begin = _starts(r)
+            rank = np.arange(len(r)) - np.repeat(begin, np.diff(np.append(begin, len(r))))
+            take = rank <= k[r]
+            sigs.append(mix(x[take] + (j[r[take]] + 1).astype(np.uint64) * _C[0]))
+            rows.append(r[take])
+    return np.concatenate([*sigs, np.zeros(0, np.uint64)]), np.concatenate([*rows, np.zeros(0, np.int64)])
+
+
+def parities(h: np.ndarray, row: np.ndarray, n_rows: int) -> list[bytes]:
+    """For each row a bit a bin: whether an odd number of its shingles falls there. Bins that differ between two sets are at most as many
+    as the shingles that do, so this bounds the difference from below."""
+    n = np.bincount(row, minlength=n_rows)
+    band = np.zeros(n_rows, np.int64)
+    for j in range(1, 8):
+        band += n >= 4**j
+    size = np.clip(4**band // 2, 1, PARITY_BYTES)
+    begin = np.cumsum(size) - size
+    bit = begin[row] * 8 + (h & (size[row] * 8 - 1).astype(np.uint64)).astype(np.int64)
+    bits = np.packbits((np.bincount(bit, minlength=int(size.sum()) * 8) & 1).astype(np.uint8), bitorder="little")
+    return [bits[a : a + k].tobytes() for a, k in zip(begin, size, strict=True)]
+
+
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    """The same parities with fewer bins, for each row of x."""
+    return np.bitwise_xor.reduce(x.reshape(len(x), -1, size), axis=1)
+
+
+def _described(docs: DataFrame) -> DataFrame:
+    """A row for every document: doc, n and two hashes of its set, and its parities, those of a set that a task sees again left null. And
+    (doc null, a shingle, its count): how often a task met shingles that may be frequent, equal sets counted once."""
+    schema = "kind int, doc long, a long, b long, n long, p binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = n_docs = 0
+
+        def counts() -> pa.RecordBatch:
+            h = np.concatenate([*held, np.zeros(0, np.uint64)])
+            h.sort()
+            at = _starts(h) if len(h) else np.zeros(0, np.int64)
+            count = np.diff(np.append(at, len(h)))
+            some = count >= max(3, n_docs // (2 * FREQUENT))
+            k = int(some.sum())
+            none = pa.nulls(k, pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), none, pa.array(h[at][some].view(np.int64)), none, pa.array(count[some]), pa.nulls(k, pa.binary())], names=["kind", "doc", "a", "b", "n", "p"])
+
         for whole in batches:
-            parts = []
+            seen: set[tuple] = set()
             for batch in slices(whole, "text"):
                 h, row = shingle_sets(*utf8(batch.column("text")))
+                n = np.bincount(row, minlength=batch.num_rows)
+                a, b = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)
+                new = np.zeros(batch.num_rows, bool)
                 if len(h):
                     at = _starts(row)
-                    _, first = np.unique(np.add.reduceat(mix(h), at), return_index=True)
-                    size = np.diff(np.append(at, len(h)))
-                    parts.append(h[np.repeat(np.isin(np.arange(len(at)), first), size)])
-            h = np.concatenate([*parts, np.zeros(0, np.uint64)])
-            h.sort()
-            at = _starts(h) if len(h) else np.zeros(0, np.int64)
-            count = np.diff(np.append(at, len(h)))
-            some = count >= max(3, whole.num_rows // (2 * FREQUENT))
-            yield pa.RecordBatch.from_arrays([pa.array(h[at][some].view(np.int64)), pa.array(count[some])], names=["h", "c"])
-
-    counts = docs.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-    kept = counts.where((F.col("c") >= 12) & (F.col("c") > docs.count() / FREQUENT)).select("h")
-    return np.sort(np.array([r.h for r in kept.collect()], np.int64).view(np.uint64))
+                    a[row[at]], b[row[at]] = np.add.reduceat(mix(h), at), np.add.reduceat(mix(h ^ _C[0]), at)
+                    for i in row[at].tolist():
+                        key = (int(a[i]), int(b[i]))
+                        new[i] = key not in seen
+                        seen.add(key)
+                    mine = new[row]
+                    held.append(h[mine])
+                    size, n_docs = size + len(held[-1]), n_docs + int(new.sum())
+                    own = np.cumsum(new) - 1
+                    p = iter(parities(h[mine], own[row[mine]], int(new.sum())))
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(batch.num_rows, np.int32)), batch.column("doc_id"), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n.astype(np.int64)), pa.array([next(p) if x else None for x in new], pa.binary())], names=["kind", "doc", "a", "b", "n", "p"])
+                if size > 2 * FLUSH:
+                    yield counts()
+                    held.clear()
+                    size = n_docs = 0
+        yield counts()
+        held.clear()
+        trim()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+
+
+def _frequent(described: DataFrame) -> np.ndarray:
+    """Hashes of frequent shingles. Their number is at most FREQUENT times the mean set size, whatever the input."""
+    n = described.where("kind = 0").count()
+    counts = described.where("kind = 1").groupBy("a").agg(F.sum("n").alias("c"))
+    kept = counts.where((F.col("c") >= 12) & (F.col("c") > n / FREQUENT)).select("a")
+    return np.sort(np.array([r.a for r in kept.collect()], np.int64).view(np.uint64))
 
 
 def _emit(docs: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """Blocks of signature rows by bucket, and links between equal sets of a batch, which have negative buckets."""
+    """Blocks of (signature, set) by bucket, one set a signature and block, and in negative buckets blocks of (signature, set, smallest set)
+    for the signatures that several sets of a block have: these members never travel, whatever their number."""
+
+    def packed(sig: np.ndarray, own: np.ndarray, turn: int) -> pa.RecordBatch:
+        order = np.lexsort((own, sig))
+        sig, own = sig[order], own[order]
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (own[1:] != own[:-1])
+        sig, own = sig[new], own[new]
+        at = _starts(sig) if len(sig) else np.zeros(0, np.int64)
+        count = np.diff(np.append(at, len(sig)))
+        many = np.repeat(count > 1, count)
+        local = np.stack([sig[many].view(np.int64), own[many], np.repeat(own[at], count)[many]])
+        sig, own = sig[at], own[at]
+        to = (((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+        cut = _starts(to) if len(to) else np.zeros(0, np.int64)
+        ends = np.append(cut[1:], len(to)).astype(np.int64)[: len(cut)]
+        blobs = [sig[x:y].tobytes() + own[x:y].tobytes() for x, y in zip(cut, ends, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(np.append(to[cut], -1 - turn % buckets)), pa.array([*blobs, local.tobytes()], pa.binary())], names=["bucket", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sigs, sets, size, turn = [], [], 0, None
+        seen: set[int] = set()
         for whole in batches:
-            #: Copies can be a third of all rows, so their links are dealt out too.
-            spare = -1 - int(whole.column("doc_id")[0].as_py() if whole.num_rows else 0) % buckets
-            seen: dict[tuple, int] = {}
-            parts, links = [], []
             for batch in slices(whole, "text"):
                 h, row = shingle_sets(*utf8(batch.column("text")))
                 if not len(h):
                     continue
+                turn = int(batch.column("doc_id")[0].as_py()) if turn is None else turn + 1
                 at = _starts(row)
-                n = np.diff(np.append(at, len(row)))
-                a, b = np.add.reduceat(mix(h), at), np.add.reduceat(mix(h ^ _C[0]), at)
-                ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-                own = np.zeros(batch.num_rows, bool)
-                for i, key in zip(row[at], zip(a.tolist(), b.tolist(), n.tolist(), strict=True), strict=True):
-                    rep = seen.setdefault(key, int(ids[i]))
-                    own[i] = rep == ids[i]
-                    if not own[i]:
-                        links.append((int(ids[i]), rep))
-                size = np.bincount(row, minlength=batch.num_rows)
-                mine = own[row]
+                a = np.add.reduceat(mix(h), at)
+                new = np.zeros(batch.num_rows, bool)
+                name = np.zeros(batch.num_rows, np.uint64)
+                name[row[at]] = a
+                for i, key in zip(row[at].tolist(), a.tolist(), strict=True):
+                    new[i] = key not in seen
+                    seen.add(key)
+                mine = new[row]
                 sig, r = signatures(h[mine], row[mine], frequent)
-                out = np.empty(len(sig), _ROW)
-                out["sig"], out["doc"], out["n"] = sig, ids[r], size[r]
-                parts.append(out)
-            rows = np.concatenate([*parts, np.zeros(0, _ROW)])
-            to = (rows["sig"] % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            rows, to = rows[order], to[order]
-            at = _starts(to) if len(to) else np.zeros(0, np.int64)
-            ends = np.append(at[1:], len(to)).astype(np.int64)[: len(at)]
-            blobs = [b"".join(np.ascontiguousarray(rows[c][a:b]).tobytes() for c in _ROW.names) for a, b in zip(at, ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(to[at], spare)), pa.array([*blobs, np.array(links, np.int64).tobytes()], pa.binary())], names=["bucket", "blob"])
+                sigs.append(sig)
+                sets.append(name[r].view(np.int64))
+                size += len(sig)
+                if size > FLUSH:
+                    yield packed(np.concatenate(sigs), np.concatenate(sets), turn)
+                    sigs, sets, size, seen = [], [], 0, set()
+        if sigs:
+            yield packed(np.concatenate(sigs), np.concatenate(sets), turn)
+        del sigs, sets
+        trim()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "bucket long, blob binary")
+    return docs.mapInArrow(run, "bucket long, blob binary")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of documents with one signature; equal groups of a partition once."""
-    parts, links = [], []
+    """sig, own and center for each set that shares a signature: its smallest set is the center. Rows come by bucket; a task holds one."""
+    names = ["sig", "own", "center"]
+    parts: list[np.ndarray] = []
+    last = None
+
+    def grouped() -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(parts, axis=1)
+        rows = rows[:, np.lexsort((rows[1], rows[0]))]
+        new = np.ones(rows.shape[1], bool)
+        new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)
+        rows = rows[:, new]
+        at = _starts(rows[0])
+        count = np.diff(np.append(at, rows.shape[1]))
+        many = np.repeat(count > 1, count)
+        if many.any():
+            yield from told(np.stack([rows[0][many], rows[1][many], np.repeat(rows[1][at], count)[many]]))
+
+    def told(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, rows.shape[1], 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[k : k + 50_000])) for x in rows], names=names)
+
     for batch in batches:
-        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
+            raw = np.frombuffer(blob.as_buffer(), np.int64)
             if bucket < 0:
-                links.append(np.frombuffer(blob, np.int64))
+                yield from told(raw.reshape(3, -1))
                 continue
-            n, at, out = len(blob) // _ROW.itemsize, 0, None
-            out = np.empty(n, _ROW)
-            for c in _ROW.names:
-                wide = _ROW[c].itemsize
-                out[c] = np.frombuffer(blob, _ROW[c], n, at)
-                at += n * wide
-            parts.append(out)
-    docs, sizes = [], []
+            if bucket != last and parts:
+                yield from grouped()
+                parts.clear()
+            last = bucket
+            parts.append(raw.reshape(2, -1).copy())
     if parts:
-        rows = np.concatenate(parts)
-        rows = rows[np.argsort(rows["sig"])]
-        at = _starts(rows["sig"])
-        count = np.diff(np.append(at, len(rows)))
-        rows = rows[np.repeat(count > 1, count)]
-        rows = rows[np.lexsort((rows["doc"], rows["sig"]))]
-        if len(rows):
-            new = np.ones(len(rows), bool)
-            new[1:] = (rows["sig"][1:] != rows["sig"][:-1]) | (rows["doc"][1:] != rows["doc"][:-1])
-            rows = rows[new]
-            at = _starts(rows["sig"])
-            end = np.append(at[1:], len(rows))
-            name = np.add.reduceat(mix(rows["doc"].view(np.uint64) + _C[3]), at)
-            _, once = np.unique(name, return_index=True)
-            for k in once:
-                if end[k] - at[k] > 1:
-                    docs.append(rows["doc"][at[k] : end[k]])
-                    sizes.append(rows["n"][at[k] : end[k]])
-    for k in range(0, len(docs), 5000):
-        yield pa.RecordBatch.from_arrays([pa.array(docs[k : k + 5000], pa.list_(pa.int64())), pa.array(sizes[k : k + 5000], pa.list_(pa.int32()))], names=["docs", "sizes"])
-    for pairs in links:
-        pairs = pairs.reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(list(pairs), pa.list_(pa.int64())), pa.array([[0, 0]] * len(pairs), pa.list_(pa.int32()))], names=["docs", "sizes"])
-
-
-def _wide(docs: DataFrame, by: DataFrame) -> DataFrame:
-    """Joins by doc_id; a small right side is sent to all."""
-    return docs.join(F.broadcast(by) if by.count() <= BROADCAST_ROWS else by, "doc_id")
+        yield from grouped()
+        parts.clear()
+    trim()
 
 
 def _verify(store: Store, docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
@@ -222,6 +317,7 @@ def _verify(store: Store, docs: DataFrame, pairs: DataFrame, name: str) -> DataF
     go = pairs.join(busy, "a").select(F.col("b").alias("doc_id"), F.struct("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("part")).alias("to"))
     own = busy.select(F.col("a").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).select("doc_id", F.struct(F.col("doc_id").alias("a"), "salt", F.lit(0).alias("part")).alias("to"))
     routes = store.put(go.unionAll(own).groupBy("doc_id").agg(F.collect_list("to").alias("to")), f"{name}routes")
+    wide = routes.agg(F.sum(64 + 48 * F.size("to"))).first()[0] or 0
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -230,8 +326,8 @@ def _verify(store: Store, docs: DataFrame, pairs: DataFrame, name: str) -> DataF
                 begin = np.searchsorted(row, np.arange(batch.num_rows + 1))
                 ids, to = batch.column("doc_id").to_pylist(), batch.column("to").to_pylist()
                 out = [(t["a"], t["salt"], t["part"], ids[i], h[begin[i] : begin[i + 1]].tobytes()) for i in range(batch.num_rows) for t in to[i]]
-                for k in range(0, len(out), 500):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 500], strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["a", "salt", "part", "b", "h"])
+                for k in range(0, len(out), 100):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 100], strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["a", "salt", "part", "b", "h"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, mine = None, []
@@ -256,43 +352,12 @@ def _verify(store: Store, docs: DataFrame, pairs: DataFrame, name: str) -> DataF
                         b.append(y)
                         break
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        trim()
 
-    sent = _wide(docs.select("doc_id", "text"), routes).select("doc_id", "text", "to").mapInArrow(sets, "a long, salt int, part int, b long, h binary")
+    sent = docs.select("doc_id", "text").join(small_side(routes, wide), "doc_id").select("doc_id", "text", "to").mapInArrow(sets, "a long, salt int, part int, b long, h binary")
     return store.put(sent.repartition(int(n), "a", "salt").sortWithinPartitions("a", "salt", "part").mapInArrow(compare, "a long, b long"), f"{name}links")
 
 
-def parities(h: np.ndarray, row: np.ndarray, n_rows: int) -> list[bytes]:
-    """For each row a bit a bin: whether an odd number of its shingles falls there. Bins that differ between two sets are at most as many
-    as the shingles that do, so this bounds the difference from below."""
-    n = np.bincount(row, minlength=n_rows)
-    band = np.zeros(n_rows, np.int64)
-    for j in range(1, 31):
-        band += n >= 4**j
-    size = np.maximum(1, 4**band // 2)
-    begin = np.cumsum(size) - size
-    bit = begin[row] * 8 + (h & (size[row] * 8 - 1).astype(np.uint64)).astype(np.int64)
-    bits = np.packbits((np.bincount(bit, minlength=int(size.sum()) * 8) & 1).astype(np.uint8), bitorder="little")
-    return [bits[a : a + k].tobytes() for a, k in zip(begin, size, strict=True)]
-
-
-def _folded(x: np.ndarray, size: int) -> np.ndarray:
-    """The same parities with fewer bins, for each row of x."""
-    return np.bitwise_xor.reduce(x.reshape(len(x), -1, size), axis=1)
-
-
-def _bounds(docs: DataFrame, by: DataFrame) -> DataFrame:
-    """doc, n and p, the parities, for the doc_ids of ``by``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                h, row = shingle_sets(*utf8(batch.column("text")))
-                n = np.bincount(row, minlength=batch.num_rows)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(parities(h, row, batch.num_rows), pa.binary())], names=["doc", "n", "p"])
-
-    return _wide(docs, by).select("doc_id", "text").mapInArrow(run, "doc long, n long, p binary")
-
-
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose parities differ in no more bins than linked sets may."""
     for batch in batches:
@@ -305,74 +370,92 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a group's members in different components that may be linked; the first member has met the others.
-
-    Rows come by the group's smallest document and by group, so what similar groups repeat is told once.
-    """
-    last: tuple = (None, None)
+    """Pairs of a signature's members in different components that may be linked. Rows come by signature and block: first the block's members,
+    which are held, then those that ask for it, which pass by."""
+    key: tuple | None = None
     held: list[tuple] = []
-    told: set[int] = set()
-
-    def done() -> pa.RecordBatch | None:
-        m = sorted(held)
-        doc, n, c = (np.array([x[k] for x in m], np.int64) for k in (0, 1, 2))
-        size = min(len(x[3]) for x in m)
-        p = np.concatenate([_folded(np.frombuffer(x[3], np.uint8)[None], size) for x in m])
-        a, b = [], []
-        for i in range(1, len(doc) - 1):
-            fit = np.flatnonzero((c[i + 1 :] != c[i]) & (4 * np.minimum(n[i + 1 :], n[i]) >= 3 * np.maximum(n[i + 1 :], n[i]))) + i + 1
-            fit = fit[7 * np.bitwise_count(p[fit] ^ p[i]).sum(1) <= n[fit] + n[i]]
-            for j in fit:
-                key = hash((m[i][0], m[j][0]))
-                if key not in told or len(told) > 5_000_000:
-                    told.add(key)
-                    a.append(m[i][0])
-                    b.append(m[j][0])
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]) if a else None
+    doc = n = c = p = main = None
 
     for batch in batches:
-        for center, g, *row in zip(*(batch.column(x).to_pylist() for x in ("center", "g", "doc", "n", "c", "p")), strict=True):
-            if (center, g) != last:
-                if held and (out := done()):
-                    yield out
-                if center != last[0]:
-                    told.clear()
-                held, last = [], (center, g)
-            held.append(tuple(row))
-    if held and (out := done()):
-        yield out
-
-
-def links(docs: DataFrame, store: Store) -> DataFrame:
-    """a, b: links that connect exactly the documents which the links of similarity 3/4 or more connect."""
+        a, b = [], []
+        for sig, block, asks, d, size, comp, is_main, bits in zip(*(batch.column(x).to_pylist() for x in ("sig", "block", "asks", "doc", "n", "c", "main", "p")), strict=True):
+            if (sig, block) != key:
+                key, held, doc = (sig, block), [], None
+            if not asks:
+                held.append((d, size, comp, is_main, bits))
+                continue
+            if not held:
+                continue
+            if doc is None:
+                doc, n, c, main = (np.array([x[k] for x in held]) for k in range(4))
+                least = min(len(x[4]) for x in held)
+                p = np.concatenate([_folded(np.frombuffer(x[4], np.uint8)[None], least) for x in held])
+            fit = (c != comp) & (4 * np.minimum(n, size) >= 3 * np.maximum(n, size)) & (main | (doc > d))
+            fit = np.flatnonzero(fit)
+            if len(fit):
+                q = np.frombuffer(bits, np.uint8)[None]
+                width = min(q.shape[1], p.shape[1])
+                fit = fit[7 * np.bitwise_count(_folded(p[fit], width) ^ _folded(q, width)).sum(1, dtype=np.int64) <= n[fit] + size]
+                a += np.minimum(doc[fit], d).tolist()
+                b += np.maximum(doc[fit], d).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _open_pairs(store: Store, groups: DataFrame, sets: DataFrame, root: DataFrame, parts: int) -> DataFrame:
+    """a, b: members of a signature in different components, but those that the first meeting has told of. Signatures with the same members
+    count once. Members outside the component that most belong to ask every block of the signature's members."""
+    member = groups.select("sig", F.col("own").alias("a")).distinct().join(sets.select("a", "doc"), "a").join(root, "doc", "left")
+    member = store.put(member.select("sig", "doc", F.coalesce("root", "doc").alias("c")).distinct(), "member")
+    many = member.groupBy("sig").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("name")).where("lo < hi and k > 2")
+    once = many.groupBy("name", "k").agg(F.min("sig").alias("sig")).select("sig", "k")
+    #: Of the components of a signature, the one with most members.
+    each = member.join(once, "sig").groupBy("sig", "k", "c").count().groupBy("sig", "k").agg(F.max_by("c", F.struct("count", "c")).alias("most"))
+    rows = member.join(each, "sig").join(sets.groupBy("doc").agg(F.min("n").alias("n"), F.max_by("p", "n").alias("p")), "doc")
+    rows = rows.withColumn("main", F.col("c") == F.col("most")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+    held = rows.select("sig", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"), F.lit(False).alias("asks"), "doc", "n", "c", "main", "p")
+    asking = rows.where("not main").select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "doc", "n", "c", "main", "p")
+    return held.unionAll(asking).repartition(parts, "sig", "block").sortWithinPartitions("sig", "block", "asks").mapInArrow(_cross, "a long, b long").distinct()
+
+
+def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
+    """The description of all rows, and links a, b between documents that stand for their sets, and between the sets of one document: they
+    connect exactly what the links of similarity 3/4 or more connect."""
     spark: SparkSession = docs.sparkSession
-    docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = _emit(docs, _frequent(docs), parts)
-    groups = store.put(rows.repartition(parts, "bucket").mapInArrow(_groups, "docs array<long>, sizes array<int>"), "groups")
-    equal = groups.where("sizes[0] = 0").select(F.col("docs")[0].alias("a"), F.col("docs")[1].alias("b"))
-    groups = groups.where("sizes[0] > 0")
-    star = groups.select(F.col("docs")[0].alias("a"), F.col("sizes")[0].alias("n"), F.explode(F.slice(F.arrays_zip("docs", "sizes"), 2, 1 << 30)).alias("m"))
-    star = star.where("4 * least(n, m.sizes) >= 3 * greatest(n, m.sizes)").select("a", F.col("m.docs").alias("b")).distinct()
-    star = store.put(star, "star")
-    named = groups.where("size(docs) > 2").select(F.explode("docs").alias("doc_id")).unionAll(star.select(F.explode(F.array("a", "b")))).distinct()
-    bounds = store.put(_bounds(docs, store.put(named, "named")), "bounds")
-    met = star.join(bounds.select(F.col("doc").alias("a"), "n", "p"), "a").join(bounds.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("p").alias("q")), "b")
-    met = store.put(met.select("a", "b", "n", "m", "p", "q").mapInArrow(_possible, "a long, b long").distinct(), "met")
+    described = store.put(_described(docs), "described")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+    #: A set is its smallest document.
+    known = described.where("kind = 0 and n > 0 and doc is not null")
+    sets = store.put(known.groupBy("a", "b", "n").agg(F.min("doc").alias("doc"), F.max("p").alias("p")), "sets")
+    buckets = max(parts, min(8 * parts, 2048))
+    emitted = _emit(docs, _frequent(described), buckets).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    groups = store.put(emitted.mapInArrow(_groups, "sig long, own long, center long"), "groups")
+    star = groups.where("own <> center").select("own", "center").distinct()
+    low, high = (sets.select(F.col("a").alias(k), F.col("doc").alias(x), F.col("n").alias(y), F.col("p").alias(z)) for k, x, y, z in (("center", "a", "n", "p"), ("own", "b", "m", "q")))
+    met = star.join(low, "center").join(high, "own").where("a <> b and 4 * least(n, m) >= 3 * greatest(n, m)")
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n", "m", "p", "q").mapInArrow(_possible, "a long, b long").distinct()
+    met = store.put(met, "met")
     near = _verify(store, docs, met, "star")
-    large = groups.where("size(docs) > 2")
-    if large.isEmpty():
-        return equal.unionAll(near)
-    root = components(store, near.unionAll(equal), "first")
-    member = large.select(F.xxhash64("docs").alias("g"), F.size("docs").alias("k"), F.explode(F.arrays_zip("docs", "sizes")).alias("m")).select("g", "k", F.col("m.docs").alias("doc"), F.col("m.sizes").alias("n")).distinct()
-    member = member.join(root, "doc", "left").withColumn("c", F.coalesce("root", "doc"))
-    mixed = member.groupBy("g", "k").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("doc").alias("center")).where("lo < hi")
-    open_ = member.select("g", "k", "doc", "c").join(mixed.select("g", "k", "center"), ["g", "k"]).join(bounds, "doc").select("center", F.xxhash64("g", "k").alias("g"), "doc", "n", "c", "p")
-    more = open_.repartition(parts, "center").sortWithinPartitions("center", "g").mapInArrow(_cross, "a long, b long").distinct().join(met, ["a", "b"], "left_anti")
+    #: A doc_id with several texts is all of their sets.
+    several = known.select("doc", "a", "b", "n").join(sets.select("a", "b", "n", F.col("doc").alias("own")), ["a", "b", "n"]).select("doc", "own").distinct()
+    several = several.groupBy("doc").agg(F.collect_set("own").alias("own")).where(F.size("own") > 1).select("doc", F.explode("own").alias("own"))
+    near = near.unionAll(store.put(several.select(F.col("doc").alias("a"), F.col("own").alias("b")), "several"))
+    more = _open_pairs(store, groups, sets, components(store, near, "first"), parts).join(met, ["a", "b"], "left_anti")
     more = store.put(more, "cross")
-    if more.isEmpty():
-        return equal.unionAll(near)
-    return equal.unionAll(near).unionAll(_verify(store, docs, more, "cross"))
+    if not more.isEmpty():
+        near = near.unionAll(_verify(store, docs, more, "cross"))
+    return described, near
+
+
+def _labelled(docs: DataFrame, store: Store) -> DataFrame:
+    """doc, n and the smallest document of its component, for every row."""
+    described, near = _links(docs, store)
+    root = components(store, near, "all")
+    rows = described.where("kind = 0")
+    sets = rows.where("n > 0 and doc is not null").groupBy("a", "b", "n").agg(F.min("doc").alias("own"))
+    sets = sets.join(root.withColumnRenamed("doc", "own"), "own", "left").select("a", "b", "n", F.coalesce("root", "own").alias("root"))
+    joined = rows.select("doc", "a", "b", "n").join(sets, ["a", "b", "n"], "left")
+    return joined.select("doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("root", "doc")).alias("root"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -381,22 +464,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     A null, empty or blank text has no shingles and is linked with nothing. Rows with one doc_id are one document, linked as any of them
     is; a null doc_id is linked with nothing and has a null component_id. An empty table gives no rows.
     """
-    store = Store(docs.sparkSession)
-    root = components(store, links(docs, store), "all")
-
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                _, row = shingle_sets(*utf8(batch.column("text")))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.bincount(row, minlength=batch.num_rows))], names=["doc_id", "n_shingles"])
-
-    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sizes, "doc_id long, n_shingles long")
-    return counted.join(root.withColumnRenamed("doc", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    return _labelled(docs, Store(docs.sparkSession)).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component stays, that with the smallest doc_id; columns as they are. Rows without doc_id stay, and so
-    do all rows that state the doc_id which stays."""
+    """One document of each component stays, that with the smallest doc_id; columns as they are. Rows without doc_id stay, and so do rows with
+    a null or blank text, and all rows that state the doc_id which stays. An empty table gives no rows."""
     store = Store(docs.sparkSession)
-    root = components(store, links(docs, store), "all").select(F.col("doc").alias("doc_id"))
-    return docs.join(root, "doc_id", "left_anti").select(*docs.columns)
+    gone = store.put(_labelled(docs, store).where("doc <> root").select("doc").distinct(), "gone")
+    gone = gone.select(F.col("doc").alias("doc_id"))
+    return docs.join(small_side(gone, 64 * gone.count()), "doc_id", "left_anti").select(*docs.columns)
