@@ -7,8 +7,8 @@ more: in one of these the sets differ by one shingle at most, so that all parts
 notable share of all documents has are left out, which makes no two sets differ more. Sets without so many groups (short ones, and those of
 frequent shingles) have the first shingles in one order as signatures too, frequent ones last.
 
-Equal sets are one from the start. Members of a signature first meet the smallest of them; then members of different components meet, in
-blocks, so that no task holds a whole signature. Pairs whose parities of shingle counts differ in too many bins can't be linked and go; the
+Equal sets are one from the start. Members of a signature first meet the smallest of them; then, where they are in several components, that
+with most links; what is still apart meets in blocks, so that no task holds a whole signature. Pairs whose parities of shingle counts differ in too many bins can't be linked and go; the
 others are compared by their whole sets, so the links are exact.
 """
 
@@ -30,6 +30,7 @@ SECOND = 3  # parts of a group
 LEAST = 16  # sizes below which a set's shingles are too few for groups
 FREQUENT = 4000  # a shingle in more than one of so many documents is frequent
 SALT_ROWS = 256
+HUBS = 3  # rounds in which a signature's members meet the one with most links
 BLOCK = 512  # members of a signature that a task holds
 FLUSH = 1 << 20  # shingles or signatures that a task holds before it passes them on
 PARITY_BYTES = 4096
@@ -401,16 +402,35 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _open_pairs(store: Store, groups: DataFrame, sets: DataFrame, root: DataFrame, parts: int) -> DataFrame:
-    """a, b: members of a signature in different components, but those that the first meeting has told of. Signatures with the same members
-    count once. Members outside the component that most belong to ask every block of the signature's members."""
-    member = groups.select("sig", F.col("own").alias("a")).distinct().join(sets.select("a", "doc"), "a").join(root, "doc", "left")
-    member = store.put(member.select("sig", "doc", F.coalesce("root", "doc").alias("c")).distinct(), "member")
-    many = member.groupBy("sig").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("name")).where("lo < hi and k > 2")
+def _possible_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b: documents that stand for sets, of several if they have several texts) which may be linked, each once."""
+    low, high = (sets.select(F.col("doc").alias(x), F.col("n").alias(y), F.col("p").alias(z)) for x, y, z in (("a", "n", "p"), ("b", "m", "q")))
+    fit = pairs.join(low, "a").join(high, "b").where("4 * least(n, m) >= 3 * greatest(n, m)")
+    return fit.select("a", "b", "n", "m", "p", "q").mapInArrow(_possible, "a long, b long").distinct()
+
+
+def _open(store: Store, member: DataFrame, root: DataFrame, name: str) -> DataFrame:
+    """sig, doc, c, k of the members of signatures with more than two members in several components; c is the component. Signatures with the
+    same members count once."""
+    now = member.join(root, "doc", "left").select("sig", "doc", F.coalesce("root", "doc").alias("c"))
+    many = now.groupBy("sig").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("name")).where("lo < hi and k > 2")
     once = many.groupBy("name", "k").agg(F.min("sig").alias("sig")).select("sig", "k")
-    #: Of the components of a signature, the one with most members.
-    each = member.join(once, "sig").groupBy("sig", "k", "c").count().groupBy("sig", "k").agg(F.max_by("c", F.struct("count", "c")).alias("most"))
-    rows = member.join(each, "sig").join(sets.groupBy("doc").agg(F.min("n").alias("n"), F.max_by("p", "n").alias("p")), "doc")
+    return store.put(now.join(once, "sig"), name)
+
+
+def _hub_pairs(open_: DataFrame, near: DataFrame) -> DataFrame:
+    """a, b: in each signature the member with most links, and those in other components than its own."""
+    degree = near.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count("*").alias("links"))
+    best = F.max_by(F.struct("doc", "c"), F.struct(F.coalesce("links", F.lit(0)), -F.col("doc"))).alias("hub")
+    hubs = open_.join(degree, "doc", "left").groupBy("sig").agg(best).select("sig", "hub.doc", "hub.c").toDF("sig", "hub", "hub_c")
+    return open_.join(hubs, "sig").where("c <> hub_c").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
+
+
+def _crossed(open_: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
+    """a, b: members of a signature in different components which may be linked. Those outside the component that most belong to ask every
+    block of the signature's members."""
+    each = open_.groupBy("sig", "k", "c").count().groupBy("sig", "k").agg(F.max_by("c", F.struct("count", "c")).alias("most"))
+    rows = open_.drop("k").join(each, "sig").join(sets.select("doc", "n", "p"), "doc")
     rows = rows.withColumn("main", F.col("c") == F.col("most")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
     held = rows.select("sig", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"), F.lit(False).alias("asks"), "doc", "n", "c", "main", "p")
     asking = rows.where("not main").select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "doc", "n", "c", "main", "p")
@@ -430,18 +450,26 @@ def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     buckets = max(parts, min(8 * parts, 2048))
     emitted = _emit(docs, _frequent(described), buckets).repartition(parts, "bucket").sortWithinPartitions("bucket")
     groups = store.put(emitted.mapInArrow(_groups, "sig long, own long, center long"), "groups")
-    star = groups.where("own <> center").select("own", "center").distinct()
-    low, high = (sets.select(F.col("a").alias(k), F.col("doc").alias(x), F.col("n").alias(y), F.col("p").alias(z)) for k, x, y, z in (("center", "a", "n", "p"), ("own", "b", "m", "q")))
-    met = star.join(low, "center").join(high, "own").where("a <> b and 4 * least(n, m) >= 3 * greatest(n, m)")
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n", "m", "p", "q").mapInArrow(_possible, "a long, b long").distinct()
-    met = store.put(met, "met")
-    near = _verify(store, docs, met, "star")
+    low, high = (sets.select(F.col("a").alias(k), F.col("doc").alias(x)) for k, x in (("center", "a"), ("own", "b")))
+    star = groups.where("own <> center").select("own", "center").distinct().join(low, "center").join(high, "own").where("a <> b")
+    tested = store.put(_possible_pairs(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets), "star")
+    near = _verify(store, docs, tested, "star")
     #: A doc_id with several texts is all of their sets.
     several = known.select("doc", "a", "b", "n").join(sets.select("a", "b", "n", F.col("doc").alias("own")), ["a", "b", "n"]).select("doc", "own").distinct()
     several = several.groupBy("doc").agg(F.collect_set("own").alias("own")).where(F.size("own") > 1).select("doc", F.explode("own").alias("own"))
     near = near.unionAll(store.put(several.select(F.col("doc").alias("a"), F.col("own").alias("b")), "several"))
-    more = _open_pairs(store, groups, sets, components(store, near, "first"), parts).join(met, ["a", "b"], "left_anti")
-    more = store.put(more, "cross")
+    member = groups.select("sig", F.col("own").alias("a")).distinct().join(sets.select("a", "doc"), "a").select("sig", "doc").distinct()
+    open_ = _open(store, member, components(store, near, "first"), "open0")
+    store.drop("groups")
+    for k in range(HUBS):
+        if open_.isEmpty():
+            return described, near
+        pairs = store.put(_possible_pairs(_hub_pairs(open_, near).join(tested, ["a", "b"], "left_anti"), sets), f"hub{k}")
+        if pairs.isEmpty():
+            break
+        near, tested = near.unionAll(_verify(store, docs, pairs, f"hub{k}")), tested.unionAll(pairs)
+        open_ = _open(store, open_.select("sig", "doc"), components(store, near, f"near{k}"), f"open{k + 1}")
+    more = store.put(_crossed(open_, sets, parts).join(tested, ["a", "b"], "left_anti"), "cross")
     if not more.isEmpty():
         near = near.unionAll(_verify(store, docs, more, "cross"))
     return described, near
