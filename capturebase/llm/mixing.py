@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._store import Store
+from ._store import Store, small_side
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -35,22 +35,38 @@ def sizes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", size_of("text").alias("size"))
 
 
-def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+def ranked(store: Store, by: DataFrame) -> DataFrame:
+    """``by`` (one row a source) with k, the place of each source in order of code points, null last. Sources are sorted over all tasks; only
+    the number of rows of each task meet in one place."""
+    dealt = by.repartitionByRange(F.asc_nulls_last("source")).sortWithinPartitions(F.asc_nulls_last("source"))
+    at = F.monotonically_increasing_id()
+    placed = store.put(dealt.select("*", F.shiftright(at, 33).cast("int").alias("task"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("inner")), "placed")
+    before, total = {}, 0
+    for r in sorted(placed.groupBy("task").count().collect()):  # one row a task
+        before[r.task], total = total, total + r["count"]
+    starts = by.sparkSession.createDataFrame(list(before.items()), "task int, before long")
+    return placed.join(F.broadcast(starts), "task").withColumn("k", F.col("before") + F.col("inner")).drop("task", "inner", "before")
+
+
+def targets(store: Store, sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """source, n, source_size, target: shares by weight, none above ``most`` times its source.
 
-    A source stays at its cap if its part of what the sources before it leave, in order of cap by weight, would exceed the cap.
+    Sources above their cap stay at it, and what that leaves is shared by weight among the others, again and again until none is above. A
+    round is one sum over all sources; a source that is capped once stays so, as the others' rate only grows.
     """
     by = sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
-    named = by.withColumn("k", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    named = ranked(store, by)
     w = F.get(F.array(*map(F.lit, weights)), F.pmod("k", F.lit(len(weights))).cast("int")).cast("double")
-    named = named.withColumn("w", w).withColumn("cap", F.col("source_size") * F.lit(most))
-    whole = Window.orderBy((F.col("cap") / F.col("w")), "k")
-    before, everything = whole.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    z = lambda c: F.coalesce(c, F.lit(0.0))
-    left = named.withColumn("rate", (F.lit(share) * F.sum("source_size").over(everything) - z(F.sum("cap").over(before))) / (F.sum("w").over(everything) - z(F.sum("w").over(before))))
-    left = left.withColumn("free", F.col("rate") * F.col("w") <= F.col("cap"))
-    level = F.min(F.when(F.col("free"), F.struct(F.col("cap") / F.col("w"), "k", "rate"))).over(everything)["rate"]
-    return left.select("source", "n", "source_size", F.when(F.col("free"), level * F.col("w")).otherwise(F.col("cap")).alias("target"))
+    named = store.put(named.withColumn("w", w).withColumn("cap", F.col("source_size") * F.lit(float(most))), "named")
+    due = share * (named.agg(F.sum("source_size")).first()[0] or 0)
+    rate, n_capped = 0.0, -1
+    while True:
+        above = F.col("w") * F.lit(rate) > F.col("cap")
+        capped, caps, weight = named.agg(F.count_if(above), F.coalesce(F.sum(F.when(above, F.col("source_size"))), F.lit(0)), F.sum(F.when(~above, F.col("w")))).first()
+        if capped == n_capped or not weight:
+            break
+        rate, n_capped = max(0.0, due - most * caps) / weight, capped
+    return named.select("source", "n", "source_size", F.when(F.col("w") * F.lit(rate) > F.col("cap"), F.col("cap")).otherwise(F.col("w") * F.lit(rate)).alias("target"))
 
 
 def _coin(*what: object) -> float:
@@ -110,12 +126,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     spark = docs.sparkSession
     store = Store(spark)
     sized = store.put(sizes(docs).withColumn("h", F.xxhash64("doc_id", F.lit(seed))), "sized")
-    due = targets(sized, weights, share)
+    due = targets(store, sized, weights, share)
     due = due.withColumn("due", F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))).withColumn("buckets", F.ceil(F.col("n") / bucket_rows))
     due = store.put(due, "due")
-    few = due.count() <= 100_000  # sources; else Spark picks the join
+    wide = due.agg(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) * 2 + 128)).first()[0] or 0
     rows = sized.withColumn("s", F.coalesce("source", F.lit(""))).withColumn("none", F.col("source").isNull())
-    rows = rows.join((F.broadcast if few else lambda x: x)(due.select(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("none"), "source_size", "target", "due", "buckets")), ["s", "none"])
+    rows = rows.join(small_side(due.select(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("none"), "source_size", "target", "due", "buckets"), wide), ["s", "none"])
     rows = rows.withColumn("whole", F.floor(F.col("due") + 1e-12).cast("long"))
     rows = rows.select("doc_id", "source", "s", "none", "size", "source_size", "target", "h", "whole", F.greatest(F.col("due") - F.col("whole"), F.lit(0.0)).alias("p"), F.pmod("h", F.col("buckets")).alias("bucket"))
     schema = f"{rows._jdf.schema().toDDL()}, open boolean"
