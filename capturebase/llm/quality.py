@@ -7,13 +7,12 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import Store
+from ._store import Store, small_side
 
 BUCKETS = 1 << 15
 WINDOW = 8
 #: Mean log-likelihood ratio an n-gram below which a document goes.
 THRESHOLD = -0.25
-BROADCAST_ROWS = 4_000_000
 
 
 def words(text: Column) -> Column:
@@ -34,8 +33,7 @@ def ratios(docs: DataFrame, trusted: DataFrame, store: Store) -> DataFrame:
     The trusted multinomial is smoothed towards the raw one with as many counts as there are buckets.
     """
     ids = store.put(trusted.select("doc_id").where("doc_id is not null").distinct(), "trusted")
-    small = ids.count() <= BROADCAST_ROWS  # 8 bytes each; beyond that a sort-merge join
-    marked = docs.select("doc_id", "text").join((F.broadcast if small else lambda x: x)(ids.withColumn("on", F.lit(1))), "doc_id", "left")
+    marked = docs.select("doc_id", "text").join(small_side(ids.withColumn("on", F.lit(1)), 64 * ids.count()), "doc_id", "left")
     grams = marked.select("on", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h")).select("on", F.explode(_grams("h")).alias("b"))
     counts = grams.groupBy("b").agg(F.count("*").alias("raw"), F.count("on").alias("own"))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b"))
