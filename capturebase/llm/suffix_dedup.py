@@ -1,8 +1,8 @@
 """Removal of repeated passages by suffix arrays.
 
 Every string of LENGTH bytes holds one anchor: the leftmost of its GRAM-byte pieces with the smallest hash, which equal strings choose
-alike. Neighbouring strings with one anchor form a segment. Equal segments are settled by comparison of hashes; segments that share an
-anchor but differ go, with their bytes, to the anchor's shard. There a two-stage suffix sort orders all suffixes: those smaller than
+alike. Neighbouring strings with one anchor form a segment. Equal segments are settled by comparison of hashes, or by the sort if that is
+asked for; segments that share an anchor but differ go, with their bytes, to the anchor's shard. There a two-stage suffix sort orders all suffixes: those smaller than
 their successor are sorted directly, the others are induced by a scan of the buckets; common prefixes of neighbours of LENGTH bytes or
 more then show the repeats. A string whose anchor occurs once can't repeat, so nothing is lost.
 """
@@ -18,16 +18,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import Store
-from ._text import BASE, BYTE_CODE, mix, slices, span_hashes, utf8
+from ._store import Store, small_side
+from ._text import BASE, BYTE_CODE, mix, slices, span_hashes, trim, utf8
 
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1  # pieces in a string
 SIDE = (LENGTH - GRAM) // 2
 SHARD_BYTES = 1 << 20
 BUSY = 20_000  # segments of one anchor, beyond which its strings are dealt out by their own hashes
-_PLACE = np.uint64((1 << 28) - 1)
-_ROW = np.dtype([("a", "<u8"), ("g", "<u8"), ("doc", "<i8"), ("s", "<i4"), ("n", "<i2"), ("l", "<u4"), ("r", "<u4")])
+_PLACE = np.uint64((1 << 31) - 1)  # Arrow holds no longer text
+_ROW = np.dtype([("a", "<u8"), ("g", "<u8"), ("doc", "<i8"), ("t", "<i8"), ("s", "<i4"), ("n", "<i2"), ("l", "<u4"), ("r", "<u4")])
 NULL_ID = -(1 << 63)
 
 
@@ -73,24 +73,24 @@ def segments(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     return h[at], g, row, s - off[row], stop - s, *sides
 
 
-def merge(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ranges of starts, those that touch or overlap made one."""
+def merge(doc: np.ndarray, t: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of starts, those that touch or overlap made one; t tells texts of one document apart."""
     if not len(doc):
-        return doc, a, b
-    order = np.lexsort((a, doc))
-    doc, a, b = doc[order], a[order], b[order]
+        return doc, t, a, b
+    order = np.lexsort((a, t, doc))
+    doc, t, a, b = doc[order], t[order], a[order], b[order]
     change = np.ones(len(doc), bool)
-    change[1:] = doc[1:] != doc[:-1]
+    change[1:] = (doc[1:] != doc[:-1]) | (t[1:] != t[:-1])
     part = np.cumsum(change)
     reach = np.maximum.accumulate(b + part * (1 << 32)) - part * (1 << 32)
     new = change.copy()
     new[1:] |= a[1:] > reach[:-1]
     at = np.flatnonzero(new)
-    return doc[at], a[at], np.maximum.reduceat(b, at)
+    return doc[at], t[at], a[at], np.maximum.reduceat(b, at)
 
 
-def _anchors(docs: DataFrame, buckets: int) -> DataFrame:
-    """Blocks of segment rows by bucket; blocks of starts already known to repeat have negative buckets."""
+def _anchors(docs: DataFrame, buckets: int, sort_all: bool) -> DataFrame:
+    """Blocks of segment rows by bucket; blocks of starts already known to repeat have negative buckets. With ``sort_all`` none is known yet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for turn, whole in enumerate(batches):
@@ -99,17 +99,18 @@ def _anchors(docs: DataFrame, buckets: int) -> DataFrame:
                 a, g, row, s, n, left, right = segments(*utf8(batch.column("text")))
                 out = np.empty(len(a), _ROW)
                 out["a"], out["g"], out["doc"], out["s"], out["n"] = a, g, batch.column("doc_id").to_numpy(zero_copy_only=False)[row], s, n
-                out["l"], out["r"] = left, right
+                out["l"], out["r"], out["t"] = left, right, batch.column("t").to_numpy()[row]
                 parts.append(out)
             rows = np.concatenate([*parts, np.zeros(0, _ROW)])
-            rows, again = _first(rows)
+            parts.clear()
+            rows, again = (rows, rows[:0]) if sort_all else _first(rows)
             to = (rows["a"] % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             rows, to = rows[order], to[order]
             at = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, np.int64)
             ends = np.append(at[1:], len(to)).astype(np.int64)[: len(at)]
             blobs = [b"".join(np.ascontiguousarray(rows[c][x:y]).tobytes() for c in _ROW.names) for x, y in zip(at, ends, strict=True)]
-            dead = np.stack(merge(again["doc"].copy(), again["s"].astype(np.int64), again["s"].astype(np.int64) + again["n"])).astype(np.int64)
+            dead = np.stack(merge(again["doc"].copy(), again["t"].copy(), again["s"].astype(np.int64), again["s"].astype(np.int64) + again["n"])).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.append(to[at], -1 - turn % buckets)), pa.array([*blobs, dead.tobytes()], pa.binary())], names=["bucket", "blob"])
 
     return docs.mapInArrow(run, "bucket long, blob binary")
@@ -117,51 +118,62 @@ def _anchors(docs: DataFrame, buckets: int) -> DataFrame:
 
 def _first(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The earliest row of each segment, ordered by anchor, and the others."""
-    rows = rows[np.lexsort((rows["s"], rows["doc"], rows["g"], rows["a"]))]
+    rows = rows[np.lexsort((rows["s"], rows["t"], rows["doc"], rows["g"], rows["a"]))]
     new = np.ones(len(rows), bool)
     new[1:] = (rows["a"][1:] != rows["a"][:-1]) | (rows["g"][1:] != rows["g"][:-1])
     #: A row stated twice is no repeat of itself.
     rep = np.flatnonzero(new)[np.cumsum(new) - 1] if len(rows) else np.zeros(0, np.int64)
-    same = (rows["doc"] == rows["doc"][rep]) & (rows["s"] == rows["s"][rep])
+    same = (rows["doc"] == rows["doc"][rep]) & (rows["t"] == rows["t"][rep]) & (rows["s"] == rows["s"][rep])
     return rows[new], rows[~new & ~same]
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges of repeated starts (kind 0), and segments that may share a string with another (kind 1)."""
-    parts = []
-    for batch in batches:
-        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-            if bucket < 0:
-                d, a, b = np.frombuffer(blob, np.int64).reshape(3, -1)
-                yield _found(0, d, a, b, np.zeros(len(d), np.int64))
-                continue
-            n, at = len(blob) // _ROW.itemsize, 0
-            out = np.empty(n, _ROW)
-            for c in _ROW.names:
-                out[c] = np.frombuffer(blob, _ROW[c], n, at)
-                at += n * _ROW[c].itemsize
-            parts.append(out)
-    if not parts:
-        return
-    rows, again = _first(np.concatenate(parts))
-    start = again["s"].astype(np.int64)
-    d, a, b = merge(again["doc"].copy(), start, start + again["n"])
-    yield _found(0, d, a, b, np.zeros(len(d), np.int64))
-    other = np.zeros(len(rows), bool)
-    for side in ("l", "r"):
-        key = mix(rows["a"] + mix(rows[side].astype(np.uint64)))
-        order = np.argsort(key)
-        same = np.append(False, key[order][1:] == key[order][:-1])[: len(key)]
-        same[:-1] |= same[1:]
-        other[order[same]] = True
-    rows = rows[other]
-    start = rows["s"].astype(np.int64)
-    yield _found(1, rows["doc"], start, start + rows["n"], rows["a"].view(np.int64))
-
-
-def _found(kind: int, doc: np.ndarray, a: np.ndarray, b: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-    columns = [np.full(len(doc), kind, np.int32), doc, a.astype(np.int32), b.astype(np.int32), key]
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["kind", "doc_id", "a", "b", "key"])
+def _settle(sort_all: bool):
+    """Ranges of repeated starts (kind 0), and segments that may share a string with another (kind 1): with ``sort_all`` every one whose
+    anchor occurs twice, else those that differ and have a side in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for batch in batches:
+            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
+                raw = blob.as_buffer()
+                if bucket < 0:
+                    d, t, a, b = np.frombuffer(raw, np.int64).reshape(4, -1)
+                    yield _found(0, d, t, a, b, np.zeros(len(d), np.int64))
+                    continue
+                n, at = len(raw) // _ROW.itemsize, 0
+                out = np.empty(n, _ROW)
+                for c in _ROW.names:
+                    out[c] = np.frombuffer(raw, _ROW[c], n, at)
+                    at += n * _ROW[c].itemsize
+                parts.append(out)
+        if not parts:
+            return
+        rows = np.concatenate(parts)
+        parts.clear()
+        other = np.zeros(len(rows), bool)
+        if not sort_all:
+            rows, again = _first(rows)
+            start = again["s"].astype(np.int64)
+            d, t, a, b = merge(again["doc"].copy(), again["t"].copy(), start, start + again["n"])
+            yield _found(0, d, t, a, b, np.zeros(len(d), np.int64))
+            other = np.zeros(len(rows), bool)
+        for key in [rows["a"]] if sort_all else [mix(rows["a"] + mix(rows[side].astype(np.uint64))) for side in ("l", "r")]:
+            order = np.argsort(key)
+            same = np.append(False, key[order][1:] == key[order][:-1])[: len(key)]
+            same[:-1] |= same[1:]
+            other[order[same]] = True
+        rows = rows[other]
+        start = rows["s"].astype(np.int64)
+        yield _found(1, rows["doc"], rows["t"], start, start + rows["n"], rows["a"].view(np.int64) if len(rows) else np.zeros(0, np.int64))
+        del rows
+        trim()
+
+    return run
+
+
+def _found(kind: int, doc: np.ndarray, t: np.ndarray, a: np.ndarray, b: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    columns = [np.full(len(doc), kind, np.int32), doc, t, a.astype(np.int32), b.astype(np.int32), key]
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["kind", "doc_id", "t", "a", "b", "key"])
 
 
 def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
@@ -239,8 +251,8 @@ def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int = LENGTH)
     return out
 
 
-def repeats(doc: np.ndarray, start: np.ndarray, n: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Documents and starts of strings in ``parts`` that also start earlier; each part holds n strings from ``start``."""
+def repeats(doc: np.ndarray, t: np.ndarray, start: np.ndarray, n: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, their texts and starts of strings in ``parts`` that also start earlier; each part holds n strings from ``start``."""
     raw = np.frombuffer(b"\0".join(parts), np.uint8)
     size = np.array([len(p) for p in parts])
     begin = np.cumsum(size + 1) - size - 1
@@ -255,13 +267,13 @@ def repeats(doc: np.ndarray, start: np.ndarray, n: np.ndarray, parts: list[bytes
     same = np.zeros(len(sa), bool)
     same[1:] = common(text, sa[:-1], sa[1:]) >= LENGTH
     group, who = np.cumsum(~same), owner[sa]
-    d, s = doc[own][who], (start[own] + inner)[who]
-    order = np.lexsort((s, d, group))
-    d, s, group = d[order], s[order], group[order]
+    d, v, s = doc[own][who], t[own][who], (start[own] + inner)[who]
+    order = np.lexsort((s, v, d, group))
+    d, v, s, group = d[order], v[order], s[order], group[order]
     new = np.append(True, group[1:] != group[:-1])
     rep = np.flatnonzero(new)[np.cumsum(new) - 1]
-    late = (d != d[rep]) | (s != s[rep])
-    return d[late], s[late]
+    late = (d != d[rep]) | (v != v[rep]) | (s != s[rep])
+    return d[late], v[late], s[late]
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,33 +282,40 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size, last = 0, None
 
     def done(rows: list[tuple]) -> pa.RecordBatch:
-        doc, s, n, parts = (list(x) for x in zip(*rows, strict=True))
-        d, a = repeats(np.array(doc, np.int64), np.array(s, np.int64), np.array(n, np.int64), parts)
-        d, a, b = merge(d, a, a + 1)
-        return _found(0, d, a, b, np.zeros(len(d), np.int64))
+        doc, t, s, n, parts = (list(x) for x in zip(*rows, strict=True))
+        d, t, a = repeats(*(np.array(x, np.int64) for x in (doc, t, s, n)), parts)
+        d, t, a, b = merge(d, t, a, a + 1)
+        return _found(0, d, t, a, b, np.zeros(len(d), np.int64))
 
     for batch in batches:
-        for key, doc, s, n, part in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "s", "n", "part")), strict=True):
+        for key, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "t", "s", "n", "part")), strict=True):
             if size >= SHARD_BYTES and key != last:
                 yield done(held)
                 held, size = [], 0
-            held.append((doc, s, n, part))
-            size, last = size + len(part), key
+            held.append(tuple(row))
+            size, last = size + len(row[-1]), key
     if held:
         yield done(held)
+    held.clear()
+    trim()
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, and t, a hash of the text: together they are a document. Texts under one doc_id, or under none, come in order of t."""
+    return docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
 
 
-def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
-    """doc_id and ranges [a, b) of starts of strings that also start earlier."""
+def repeated_ranges(docs: DataFrame, store: Store, sort_all: bool = False) -> DataFrame:
+    """doc_id, t and ranges [a, b) of starts of strings that also start earlier."""
     spark = docs.sparkSession
-    docs = docs.where("text is not null").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
+    docs = _keyed(docs.where("text is not null"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = "kind int, doc_id long, a int, b int, key long"
-    found = store.put(_anchors(docs, parts).repartition(parts, "bucket").mapInArrow(_settle, schema), "found")
-    open_ = found.where("kind = 1")
-    n_open = open_.count()
-    busy = np.array([r[0] for r in open_.groupBy("key").count().where(f"count > {BUSY}").select("key").collect()], np.int64) if n_open > BUSY else np.zeros(0, np.int64)
-    lists = open_.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b", "key")).alias("to"))
+    schema = "kind int, doc_id long, t long, a int, b int, key long"
+    found = store.put(_anchors(docs, parts, sort_all).repartition(parts, "bucket").mapInArrow(_settle(sort_all), schema), "found")
+    open_ = found.where("kind = 1").select("doc_id", "t", "a", "b", "key")
+    busy = store.put(open_.groupBy("key").count().where(F.col("count") > BUSY).select("key", F.lit(True).alias("spread")), "busy")
+    marked = open_.join(small_side(busy, 64 * busy.count()), "key", "left").withColumn("spread", F.coalesce("spread", F.lit(False)))
+    lists = marked.groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b", "key", "spread")).alias("to"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -309,37 +328,38 @@ def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
                 begin = off[row] + a
                 end = np.minimum(off[row] + b - 1 + LENGTH, off[row + 1])
                 n = end - begin - LENGTH + 1
-                spread = np.isin(key, busy) & (n > 0)
+                spread = flat.field("spread").to_numpy(zero_copy_only=False) & (n > 0)
                 if spread.any():  # one string a row
                     k = n[spread]
                     at = np.repeat(begin[spread], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
                     key = np.concatenate([key[~spread], span_hashes(data, at, at + LENGTH).view(np.int64)])
                     row = np.concatenate([row[~spread], np.repeat(row[spread], k)])
                     begin, end, n = np.concatenate([begin[~spread], at]), np.concatenate([end[~spread], at + LENGTH]), np.concatenate([n[~spread], np.ones(len(at), np.int64)])
-                doc = batch.column("doc_id").to_numpy()[row]
-                for k in range(0, len(n), 20_000):
-                    m = slice(k, k + 20_000)
+                doc, t = batch.column("doc_id").to_numpy()[row], batch.column("t").to_numpy()[row]
+                for k in range(0, len(n), 10_000):
+                    m = slice(k, k + 10_000)
                     raw = pa.array([data[x:y].tobytes() for x, y in zip(begin[m].tolist(), end[m].tolist(), strict=True)], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(key[m]), pa.array(doc[m]), pa.array((begin - off[row])[m].astype(np.int32)), pa.array(n[m].astype(np.int32)), raw], names=["key", "doc_id", "s", "n", "part"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key[m]), pa.array(doc[m]), pa.array(t[m]), pa.array((begin - off[row])[m].astype(np.int32)), pa.array(n[m].astype(np.int32)), raw], names=["key", "doc_id", "t", "s", "n", "part"])
 
-    joined = docs.join(lists, "doc_id").select("doc_id", "text", "to")
-    sent = joined.mapInArrow(cut, "key long, doc_id long, s int, n int, part binary")
+    joined = docs.join(lists, ["doc_id", "t"]).select("doc_id", "t", "text", "to")
+    sent = joined.mapInArrow(cut, "key long, doc_id long, t long, s int, n int, part binary")
     late = store.put(sent.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_shards, schema), "late")
-    return found.where("kind = 0").unionAll(late).select("doc_id", "a", "b")
+    return found.where("kind = 0").unionAll(late).select("doc_id", "t", "a", "b")
 
 
-def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep_text: bool = False, sort_all: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row, and with ``keep_text`` the bytes left as kept.
 
     A byte goes if a string of LENGTH bytes that covers it also starts earlier: in a smaller doc_id, or before in the same one. A null
-    text is empty; a null doc_id is the smallest. Rows that repeat a doc_id are one document stated again: they don't repeat each other,
-    and if their texts differ, each loses the ranges found for any. An empty table gives no rows.
+    text is empty; a null doc_id is the smallest. Rows that agree in doc_id and text are one document stated again: they don't repeat each
+    other. Different texts under one doc_id, or without one, are different documents, in order of a hash of the text. An empty table gives no
+    rows. ``sort_all`` sends equal segments through the suffix sort too, where else their hashes settle them; the results are the same.
     """
     store = Store(docs.sparkSession)
-    ranges = repeated_ranges(docs, store)
-    lists = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("to")).withColumnRenamed("doc_id", "k")
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(NULL_ID)).alias("k"))
-    rows = rows.join(lists, "k", "left").select("doc_id", "text", "to")
+    ranges = repeated_ranges(docs, store, sort_all)
+    lists = ranges.groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b")).alias("to")).withColumnRenamed("doc_id", "k")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(NULL_ID)).cast("long").alias("k"), F.xxhash64("text").alias("t"))
+    rows = rows.join(lists, ["k", "t"], "left").select("doc_id", "text", "to")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

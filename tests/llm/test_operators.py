@@ -74,9 +74,23 @@ def test_suffix_dedup_matches_brute_force(spark):
         spans = sum(dead[p] and not (p and dead[p - 1]) for p in range(len(b)))
         want[i] = (len(b), sum(dead), spans, hashlib.sha256(bytes(c for c, d in zip(b, dead, strict=True) if not d)).hexdigest())
     assert got == want
+    assert {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup.remove_repeats(make(spark, texts), sort_all=True).collect()} == want
     assert suffix_dedup.remove_repeats(make(spark, texts).limit(0)).count() == 0
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    g = np.random.default_rng(5)
+    say = lambda n: "".join(chr(x) for x in g.integers(33, 127, n))
+    passage, unique = say(300), say(600)
+    rows = [(1, passage), (7, unique), (7, say(100) + passage), (None, say(200) + passage), (None, say(50) + passage + "x"), (None, say(400)), (7, unique)]
+    out = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), keep_text=True).collect()
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in out)
+    #: The null ids are smallest; of their two passages the one whose text has the smaller hash is first.
+    assert [x for x in got if x[0] == "7"] == [("7", 400, 300), ("7", 600, 0), ("7", 600, 0)] and ("1", 300, 300) in got
+    assert sorted(x[2] for x in got if x[0] == "None") == [0, 0, 300]
+    assert {r.kept.decode() for r in out if r.doc_id == 7} == {unique, rows[2][1][:100]}
+
+
 def test_busy_anchors_are_dealt_out(spark, monkeypatch):
     texts = odd_texts()
     want = sorted(map(tuple, suffix_dedup.remove_repeats(make(spark, texts)).collect()))
@@ -149,7 +163,7 @@ def test_contamination_matches_brute_force(spark):
     vocabulary = [f"w{i}" for i in range(40)]
     items = [" ".join(g.choice(vocabulary) for _ in range(n)) for n in (30, 20, 13, 5, 1, 0)]
     texts = [" ".join([*(g.choice(vocabulary) for _ in range(20)), *items[i % 4].upper().split()[: g.randint(1, 30)], "é9"]) for i in range(40)] + ["", None, "..."]
-    got = {r.doc_id: tuple(r)[-5:] for r in decontaminate.contamination(make(spark, texts), spark.createDataFrame([*enumerate(items), (9, None)], "item_id long, text string")).collect()}
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.contamination(make(spark, texts), spark.createDataFrame([*enumerate(items), (9, None)], "item_id long, text string")).collect()}
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     windows = defaultdict(set)
     for k, t in enumerate(items):
