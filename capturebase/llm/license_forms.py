@@ -1,7 +1,7 @@
 """Full licence texts in the forms that they are met in.
 
-Whole files lie in license_texts, named by their SPDX id. A canonical form ignores case, punctuation and spacing, but not titles, appendices,
-numbers of clauses, or a wrapped line that happens to begin with "copyright"; each of these gives a form of its own.
+Whole files lie in license_texts, named by their SPDX id. A canonical form ignores case, punctuation, spacing and wrapping, but not titles,
+appendices or numbers of clauses; each of these gives a form of its own.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import re
 from collections.abc import Iterator
 from itertools import product
 from pathlib import Path
-from textwrap import wrap
 
 FOLDER = Path(__file__).parent / "license_texts"
 END = "END OF TERMS AND CONDITIONS"
@@ -26,7 +25,6 @@ TITLES = {
     "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "Modified BSD License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License", "BSD License", "The BSD License"),
     "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"),
 }
-WIDTHS = range(60, 101)
 
 
 def _paragraphs(text: str) -> list[str]:
@@ -34,11 +32,12 @@ def _paragraphs(text: str) -> list[str]:
 
 
 def _unwrapped(text: str) -> str:
+    """Each paragraph in one line; with its first line, one that states a copyright is then gone as a whole."""
     return "\n\n".join(" ".join(x.split()) for x in _paragraphs(text))
 
 
 def _long(text: str) -> Iterator[str]:
-    """With and without the appendix and the line before it, the title, the publisher's addresses, and line breaks within paragraphs."""
+    """With and without the appendix and the line before it, the title, and the publisher's addresses."""
     ends = {text}
     if at := APPENDIX.search(text):
         ends.add(text[: at.start()])
@@ -50,26 +49,19 @@ def _long(text: str) -> Iterator[str]:
             bare = "\n\n".join(parts[k:])
             for y in {bare, *(ADDRESS.sub(a, bare) for a in ADDRESSES)}:
                 for z in {y, y.replace("https://", "http://"), y.replace("http://", "https://")}:
-                    yield z
-                    yield _unwrapped(z)
+                    yield from (z, _unwrapped(z))
 
 
 def _short(name: str, text: str) -> Iterator[str]:
-    """With each title and none, with and without numbers of clauses, in lines of any usual width."""
+    """With each title and none, with and without numbers of clauses."""
     body = text.removeprefix("MIT License\n")
     bodies = {body, re.sub(r"(?m)^\d\. ", "", body)}
     bodies |= {x.replace("modify, and/or distribute", "modify, and distribute") for x in bodies}
     for title, x in product(("", *TITLES[name]), sorted(bodies)):
         yield f"{title}\n\n{x}"
-        for width in WIDTHS:
-            yield f"{title}\n\n" + "\n\n".join("\n".join(wrap(p, width)) for p in x.split("\n"))
 
 
-def forms(short: list[tuple[str, str]], copyright_line: str) -> list[tuple[str, str]]:
-    """(licence, text) for every form of the files and of the ``short`` texts that have titles, those alike but for signs and spaces once."""
+def forms(short: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """(licence, text) for every form of the files and of the ``short`` texts that have titles."""
     every = [(p.stem, x) for p in sorted(FOLDER.glob("*.txt")) for x in _long(p.read_text(encoding="utf-8"))]
-    every += [(name, x) for name, text in short if name in TITLES for x in _short(name, text)]
-    once: dict[tuple[str, str], tuple[str, str]] = {}
-    for name, text in every:
-        once.setdefault((name, " ".join(re.findall(r"\w+", re.sub(copyright_line, r"\1", text.lower())))), (name, text))
-    return list(once.values())
+    return sorted({*every, *((name, x) for name, text in short if name in TITLES for x in _short(name, text))})

@@ -1,19 +1,26 @@
-"""Whole texts that are known licences, by digest of a canonical form."""
+"""Whole texts that are known licences, by digest of a canonical form.
+
+Lines that state a copyright go first, the one step that looks at lines; then case, then all that is neither letter nor digit becomes one
+space, so that neither wrapping nor punctuation matters; spellings are made one in what is left.
+"""
 
 from __future__ import annotations
 
+import re
+from hashlib import sha256
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .license_forms import forms
 
-# Spellings that count as the same, after lower-casing.
+# Spellings that count as the same, in lower case and with single spaces.
 SPELLINGS = [
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"), ("authorisation", "authorization"),
     ("authorise", "authorize"), ("calibre", "caliber"), ("cancelled", "canceled"), ("catalogue", "catalog"), ("centre", "center"), ("copyright owner", "copyright holder"),
     ("favour", "favor"), ("fulfilment", "fulfillment"), ("initialise", "initialize"), ("judgement", "judgment"), ("labelling", "labeling"), ("licence", "license"),
-    ("maximise", "maximize"), ("minimise", "minimize"), ("modelling", "modeling"), ("non-commercial", "noncommercial"), ("organisation", "organization"),
-    ("per cent", "percent"), ("practise", "practice"), ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"), ("sub-license", "sublicense"),
+    ("maximise", "maximize"), ("minimise", "minimize"), ("modelling", "modeling"), ("non commercial", "noncommercial"), ("organisation", "organization"),
+    ("per cent", "percent"), ("practise", "practice"), ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"), ("sub license", "sublicense"),
     ("utilisation", "utilization"), ("while", "whilst"), ("wilful", "willful"),
 ]
 
@@ -33,29 +40,58 @@ LICENSES = [
     ("CC-BY-NC-4.0-notice", "Licensed under CC BY-NC 4.0."),
 ]
 
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
-RIGHTS = "all rights reserved"
+#: A line that states a copyright: with a sign, a year or a blank for one near its beginning, or "Copyright" and a name and nothing else. A
+#: wrapped line that only begins with the word stays.
+DATED = r"(?im)^[ \t#*/;%>-]*(copyright[ \t:]*)?(\(c\)|\x{a9})[^\n]*|^[ \t#*/;%>-]*copyright[ \t:]+(by[ \t]+)?([\[<{(]|[12][0-9]{3})[^\n]*"
+NAMED = r"(?m)^[ \t#*/;%>-]*Copyright[ \t]+(by[ \t]+)?[A-Z][\w.,&-]*([ \t]+[A-Z][\w.,&-]*){1,5}[ \t.,]*(\n|\z)"
+RIGHTS = " all rights reserved "
+ENDS = "\r\x0b\x0c\x85\u2028\u2029"  # what else ends a line
 
 
 def canonical(text: Column) -> Column:
-    """Lower case, without copyright lines, with one spelling, and single spaces for all that is neither letter nor digit."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "$1")
-    for a, b in [(RIGHTS, ""), *SPELLINGS]:
+    """The canonical form of a text that isn't null."""
+    lines = F.translate(text, ENDS, "\n" * len(ENDS))
+    low = F.lower(lines)
+    states = F.contains(low, F.lit("copyright")) | F.contains(low, F.lit("(c)")) | F.contains(low, F.lit("\xa9"))
+    bare = F.when(states, F.lower(F.regexp_replace(F.regexp_replace(lines, DATED, ""), NAMED, "\n"))).otherwise(low)
+    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    for a, b in [(RIGHTS, " "), *SPELLINGS]:
         out = F.replace(out, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
+    return F.trim(out)
 
 
 def canonical_sql(text: str) -> str:
     """The same in DuckDB SQL."""
-    out = f"regexp_replace(lower({text}), '{COPYRIGHT_LINE}', '\\1', 'g')".replace("\\n", "\n").replace("\\t", "\t")
-    for a, b in [(RIGHTS, ""), *SPELLINGS]:
+    out = f"translate({text}, chr(13) || chr(11) || chr(12) || chr(133) || chr(8232) || chr(8233), repeat(chr(10), 6))"
+    out = f"regexp_replace(regexp_replace({out}, '{DATED}', '', 'g'), '{NAMED}', chr(10), 'g')"
+    out = f"' ' || trim(regexp_replace(lower({out}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' '"
+    for a, b in [(RIGHTS, " "), *SPELLINGS]:
         out = f"replace({out}, '{a}', '{b}')"
-    return f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    return f"trim({out})"
+
+
+def canonical_text(text: str) -> str:
+    """The same in Python, for the list of known texts."""
+    lines = text.translate(str.maketrans(ENDS, "\n" * len(ENDS)))
+    bare = re.sub(NAMED.replace("\\z", "\\Z"), "\n", re.sub(DATED.replace("\\x{a9}", "\xa9"), "", lines), flags=re.ASCII)
+    out = f" {re.sub(r'[\W_]+', ' ', bare.lower()).strip()} "
+    for a, b in [(RIGHTS, " "), *SPELLINGS]:
+        out = out.replace(a, b)
+    return out.strip()
+
+
+def known_digests() -> list[tuple[str, str]]:
+    """(licence, digest) of every known text; of two licences with one form the first by name."""
+    found: dict[str, str] = {}
+    for name, text in known_licenses():
+        digest = sha256(canonical_text(text).encode()).hexdigest()
+        found[digest] = min(name, found.get(digest, name))
+    return sorted((name, digest) for digest, name in found.items())
 
 
 def known_licenses() -> list[tuple[str, str]]:
     """LICENSES, and the usual forms of these and of the full texts beside this module."""
-    return [*LICENSES, *forms(LICENSES, COPYRIGHT_LINE)]
+    return [*LICENSES, *forms(LICENSES)]
 
 
 def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | None = None) -> DataFrame:

@@ -81,8 +81,7 @@ from ranked where k = 1
 """
 
 _LICENSE = """
-with known(license_id, text) as (values %s),
-names as (select sha256(%s) as digest, min(license_id) as license_id from known group by 1),
+with names(license_id, digest) as (values %s),
 own as (select doc_id, sha256(%s) as canonical_sha256 from documents)
 select doc_id, canonical_sha256, license_id from own left join names on digest = canonical_sha256
 """
@@ -94,5 +93,5 @@ def _quoted(x: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": _URL % (", ".join(f"({', '.join(map(_quoted, r))})" for r in RULES), LISTED),
-    "op9_licenses": _LICENSE % (", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in licenses.LICENSES), licenses.canonical_sql("text"), licenses.canonical_sql("coalesce(text, '')")),
+    "op9_licenses": _LICENSE % (", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in licenses.known_digests()), licenses.canonical_sql("coalesce(text, '')")),
 }
