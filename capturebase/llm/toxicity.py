@@ -1,8 +1,10 @@
 """Toxicity by weak supervision.
 
-Voters are lexicon entries (words), patterns (beginnings of words) and a list of common insults that speak for toxicity where they occur;
-a document's given label is a voter of fixed accuracy. A generative model with a hidden label estimates, by expectation maximisation, how
-often each votes in either class, and which voters go together within a class; those share one voice. Its posterior labels train a sparse linear classifier over words and beginnings of words.
+Voters speak for toxicity where they occur and are silent elsewhere: lists of common insults by language, patterns (phrases of dismissal,
+threat and address), and words and beginnings of words that a lexicon induction draws from labelled rows. A generative model with a hidden
+label, which sees votes and how far each voter is trusted but no document's given label, estimates by expectation maximisation how often each
+voter speaks in either class and how far voters go together within a class; voters that do share one voice. Its posterior labels train a sparse linear classifier over words and
+beginnings of words.
 """
 
 from __future__ import annotations
@@ -19,61 +21,127 @@ from ._text import ALNUM_WORD, LOWER_CODE, slices, span_hashes, utf8, word_bound
 SAMPLE_DOCS = 12_000
 SAMPLE_CHARS = 4000  # longer texts aren't learnt from
 SAMPLE_BYTES = 12 << 20
-VOTERS = 256
-SURE = 0.6  # share of a voter's labelled documents that are toxic
+VOTERS = 256  # induced ones
+SURE = 0.75  # share of an induced voter's labelled documents that are toxic
 FEATURES = 4096
 STEM = 5  # bytes of a word's beginning
-GIVEN = 2.5  # log-odds of a given label
+ROUNDS = 40
+ALIKE, NOISE = 0.8, 0.5  # correlations from which voters are one at the start, and up to which they are apart within a class
+BELIEF, SILENCE = 5.0, 3.0
+TRUST = 0.8  # in a list or pattern
 MOST_PRIOR = 0.45  # a text without known features is never called toxic
 
-# Common insults, one voter together; in a corpus where they aren't toxic it has no voice.
-INSULTS = [
-    "abruti", "abschaum", "arschloch", "asqueroso", "asshole", "bastard", "blöd", "clown", "coward", "creep", "crétin", "degenerate", "depp", "dimwit", "disgusting", "dreckig",
-    "dumb", "dumbass", "dumm", "dummkopf", "dégoûtant", "erbärmlich", "escoria", "estúpida", "estúpido", "fathead", "filth", "filthy", "freak", "garbage", "halfwit", "idiot",
-    "idiota", "idiote", "idiotic", "idiots", "imbecile", "imbécil", "imbécile", "inútil", "jerk", "loser", "losers", "lowlife", "minable", "moron", "moronic", "morons", "ordure",
-    "parasite", "pathetic", "patético", "payaso", "pendejo", "pitoyable", "racaille", "repulsive", "retard", "scum", "scumbag", "sickening", "stupid", "stupide", "trash",
-    "trottel", "ugly", "vermin", "versager", "wertlos", "widerlich", "worthless", "wretch",
-]
-_INSULTED = np.uint64(0x1D107)
+# Common insults by language; each list is one voter.
+INSULTS = {
+    "de": "abschaum arschloch blöd blödmann depp dreckig dreckskerl dumm dummkopf ekelhaft erbärmlich feigling hohlkopf hurensohn idiot idioten mistkerl missgeburt nichtsnutz pfeife schwachkopf spinner trottel unfähig versager vollidiot wertlos widerlich wichser".split(),
+    "en": "airhead asshole bastard blockhead bonehead buffoon clown coward creep cretin degenerate dimwit dipshit disgusting dolt dope douchebag dullard dumb dumbass dunce fathead filth filthy fool freak garbage halfwit idiot idiotic idiots imbecile jackass jerk lowlife loser losers lunatic maggot moron moronic morons nitwit numbskull parasite pathetic pig prick repulsive retard scum scumbag shithead sickening simpleton slob snob stupid swine tool trash twit ugly vermin weirdo wimp worthless wretch".split(),
+    "es": "asqueroso asquerosa basura bobo cabrón cobarde cretino escoria estúpida estúpido gilipollas idiota idiotas imbécil inútil mierda patético payaso pendejo perdedor repugnante ridículo tarado tonto".split(),
+    "fr": "abruti abrutie bouffon connard connasse crétin débile dégoûtant déchet idiot idiote imbécile incapable lâche minable nul ordure parasite pitoyable racaille raté salaud stupide vermine".split(),
+    "it": "cretino deficiente disgustoso fannullone idiota imbecille patetico scemo schifoso stronzo stupido verme".split(),
+    "nl": "achterlijk dom eikel idioot klootzak loser nutteloos sukkel walgelijk waardeloos".split(),
+    "pt": "burro covarde cretino estúpido idiota imbecil inútil lixo nojento otário patético ridículo".split(),
+}
+# Phrases, as words in a row; each list is one voter.
+PHRASES = {
+    "dismissal": ["shut up", "get lost", "go to hell", "piss off", "fuck off", "drop dead", "nobody likes you", "no one likes you", "halt die klappe", "halt den mund", "verpiss dich", "ferme la", "ta gueule", "va te faire", "cállate", "vete a la mierda", "vete al infierno"],
+    "threat": ["kill yourself", "i will kill you", "i will hurt you", "hope you die", "you should die", "you will regret", "ich bring dich um", "je vais te tuer", "te voy a matar", "stirb"],
+    "contempt": ["you are nothing", "you are worthless", "you are useless", "you are so stupid", "piece of shit", "piece of garbage", "waste of space", "du bist nichts", "du bist wertlos", "tu es nul", "tu es rien", "eres un inútil", "no vales nada", "no sirves para nada"],
+}
+_LIST, _PHRASE = np.uint64(0x1D107), np.uint64(0x9A5E)
+
+
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of each text, and their rows."""
+    data, off = utf8(pa.array(texts, pa.large_string()))
+    s, e, r = word_bounds(data, off, ALNUM_WORD)
+    return span_hashes(data, s, e, LOWER_CODE), r
+
+
+def _lexicon() -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of listed words, sorted, and the feature of each one's list; a word of several lists counts for the first."""
+    pairs: dict[int, int] = {}
+    for k, lang in enumerate(INSULTS):
+        for h in _words(INSULTS[lang])[0].tolist():
+            pairs.setdefault(h, int(_LIST) + k)
+    keys = np.array(sorted(pairs), np.uint64)
+    return keys, np.array([pairs[int(k)] for k in keys], np.uint64)
 
 
-def _insults() -> np.ndarray:
-    data, off = utf8(pa.array(INSULTS, pa.large_string()))
-    return np.sort(span_hashes(data, off[:-1], off[1:], LOWER_CODE))
+def _phrases() -> list[tuple[np.ndarray, np.uint64]]:
+    out = []
+    for k, name in enumerate(PHRASES):
+        for phrase in PHRASES[name]:
+            out.append((_words([phrase])[0], _PHRASE + np.uint64(k)))
+    return out
 
 
-_LISTED = _insults()
+_LISTED, _OF_LIST = _lexicon()
+_SAID = _phrases()
+VOICES = np.array([*(int(_LIST) + k for k in range(len(INSULTS))), *(int(_PHRASE) + k for k in range(len(PHRASES)))], np.uint64)
 
 
 def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and rows of the words, of the beginnings of the longer ones, and of the voter of listed words where there is one."""
+    """Hashes and rows of the words, of the beginnings of the longer ones, and of the lists and phrases that occur."""
     s, e, r = word_bounds(data, off, ALNUM_WORD)
     word = span_hashes(data, s, e, LOWER_CODE)
-    listed = r[_LISTED[np.minimum(np.searchsorted(_LISTED, word), len(_LISTED) - 1)] == word]
+    at = np.minimum(np.searchsorted(_LISTED, word), len(_LISTED) - 1)
+    listed = np.flatnonzero(_LISTED[at] == word)
+    fs, rs = [word, _OF_LIST[at[listed]]], [r, r[listed]]
     long = np.flatnonzero(e - s > STEM)
-    stems = span_hashes(data, s[long], s[long] + STEM, LOWER_CODE) ^ np.uint64(0xA5A5A5A5)
-    return np.concatenate([word, stems, np.full(len(listed), _INSULTED)]), np.concatenate([r, r[long], listed])
-
-
-def label_model(votes: np.ndarray, prior: float, start: np.ndarray, rounds: int = 25) -> np.ndarray:
-    """Posterior of the hidden label for each row of votes (0/1), from ``start``, the given labels as a first guess."""
-    q = start.astype(float)
-    for _ in range(rounds):
-        on = np.clip((q @ votes + 0.1) / (q.sum() + 1), 1e-4, 1 - 1e-4)
-        off = np.clip(((1 - q) @ votes + 0.01) / ((1 - q).sum() + 1), 1e-5, 1 - 1e-4)
-        one = np.clip(np.log(on / off), 0, None)
-        if not _:
-            voice = np.ones(votes.shape[1])
-        else:
-            hard = q > 0.5
-            c = votes[hard] - on
-            sd = np.sqrt((c * c).mean(0)) + 1e-9 if hard.any() else np.ones(votes.shape[1])
-            together = np.abs((c.T @ c) / max(1, hard.sum()) / np.outer(sd, sd)) > 0.5 if hard.any() else np.eye(votes.shape[1], dtype=bool)
-            voice = 1 / np.maximum(1, together.sum(1))
-        silent = ((1 - votes) * (voice * np.log((1 - on) / (1 - off)))).sum(1)
-        z = np.log(prior / (1 - prior)) + votes @ (voice * one) + np.clip(silent, -3, 0) + np.where(start > 0.5, GIVEN, -GIVEN)
-        q = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    return q
+    fs.append(span_hashes(data, s[long], s[long] + STEM, LOWER_CODE) ^ np.uint64(0xA5A5A5A5))
+    rs.append(r[long])
+    for phrase, name in _SAID:
+        begin = np.flatnonzero(word[: len(word) - len(phrase) + 1] == phrase[0])
+        for j in range(1, len(phrase)):
+            begin = begin[(word[begin + j] == phrase[j]) & (r[begin + j] == r[begin])]
+        fs.append(np.full(len(begin), name))
+        rs.append(r[begin])
+    return np.concatenate(fs), np.concatenate(rs)
+
+
+class LabelModel:
+    """For each voter the shares of documents, given either class, in which it speaks, and its voice; and the share of toxic documents.
+
+    ``trust`` is what is believed beforehand of each voter: which part of the documents that it speaks in is toxic. It counts as much as
+    BELIEF documents. Silence of voters counts against toxicity up to SILENCE log-odds, as each voter knows some kinds of toxicity only.
+    """
+
+    def __init__(self, trust: np.ndarray):
+        n = len(trust)
+        self.trust, self.on, self.off, self.voice, self.prior = trust, np.full(n, 0.5), np.full(n, 0.01), np.ones(n), 0.1
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """Of the hidden label, for each row of votes (0/1)."""
+        speaks, silent = self.voice * np.log(self.on / self.off), self.voice * np.log((1 - self.on) / (1 - self.off))
+        z = np.log(self.prior / (1 - self.prior)) + votes @ speaks + np.maximum((1 - votes) @ silent, -SILENCE)
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+    def together(self, votes: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Correlations of the voters within the classes."""
+        cover, spread = np.zeros((votes.shape[1],) * 2), np.zeros(votes.shape[1])
+        for weight in (q, 1 - q):
+            c = votes - weight @ votes / max(weight.sum(), 1e-9)
+            cover += (c * weight[:, None]).T @ c
+            spread += weight @ (c * c)
+        return cover / np.sqrt(np.outer(spread, spread) + 1e-12)
+
+    def fit(self, votes: np.ndarray, rounds: int = ROUNDS) -> LabelModel:
+        """Begins with the belief in the voters, of which those that nearly always speak together have one voice."""
+        n = votes.shape[1]
+        alike = np.nan_to_num(np.corrcoef(votes.T).reshape(n, -1)) if n > 1 and len(votes) > 1 else np.eye(n)
+        odds = lambda p: np.log(p / (1 - p))
+        z = odds(self.prior) + votes @ ((odds(self.trust) - odds(self.prior)) / np.maximum(1, (alike * (alike > ALIKE)).sum(1)))
+        q = np.where(votes.any(1), 1 / (1 + np.exp(-np.clip(z, -30, 30))), 0.02)
+        for k in range(rounds):
+            one, none = q.sum(), (1 - q).sum()
+            self.prior = float(np.clip(q.mean(), 1e-3, MOST_PRIOR))
+            self.on = np.clip((q @ votes + BELIEF * self.trust) / (one + BELIEF), 1e-4, 1 - 1e-3)
+            self.off = np.clip(((1 - q) @ votes + BELIEF * (1 - self.trust) * self.prior) / (none + BELIEF), 1e-5, self.on)
+            if k:
+                c = self.together(votes, q)
+                self.voice = 1 / np.maximum(1, (c * (c > NOISE)).sum(1))
+            q = self.posterior(votes)
+        return self
 
 
 class Model:
@@ -110,14 +178,20 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
     n, n1 = np.bincount(which, minlength=len(kinds)), np.bincount(which, toxic[r], len(kinds))
     lift = (n1 + 0.5 * prior) / (n + 0.5) / prior
     gain = np.where((n1 >= 3) & (n1 >= SURE * n), n1 * np.log(lift), 0)
+    fixed = np.flatnonzero(np.isin(kinds, VOICES))
+    gain[fixed] = 0
     voters = np.argsort(-gain, kind="stable")[:VOTERS]
-    voters = voters[gain[voters] > 0]
+    voters = np.concatenate([fixed, voters[gain[voters] > 0]])
     votes = np.zeros((len(texts), len(voters)))
     place = np.full(len(kinds), -1)
     place[voters] = np.arange(len(voters))
     mine = place[which] >= 0
     votes[r[mine], place[which[mine]]] = 1
-    q = label_model(votes, prior, np.where(toxic > 0, 0.95, 0.02)) if len(voters) else toxic.astype(float)
+    if not len(voters):
+        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
+    #: The labelled rows have found the induced voters and say how far to trust them; from here on a row's own label has no say.
+    trust = np.clip((n1[voters] + TRUST) / (n[voters] + 1), 0.5, 0.98)
+    q = LabelModel(trust).fit(votes).posterior(votes)
     #: The classifier: what speaks for either class, fitted to the posterior with an L1 penalty.
     q1 = np.bincount(which, q[r], len(kinds))
     rate = float(q.mean())
@@ -144,12 +218,12 @@ def train(texts: list[str], toxic: np.ndarray) -> Model:
     return Model(kinds[chosen][on][order], w[on][order], min(b, float(np.log(MOST_PRIOR / (1 - MOST_PRIOR)))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, limit: int = SAMPLE_BYTES) -> Model:
-    """From labelled rows that aren't held out: ``sample`` of them at most, the first by a hash of doc_id, without texts beyond
-    SAMPLE_CHARS, up to ``limit`` characters in all."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, limit: int = SAMPLE_BYTES, longest: int = SAMPLE_CHARS) -> Model:
+    """From labelled rows that aren't held out: ``sample`` of them at most, the first by a hash of doc_id, without texts of more than
+    ``longest`` characters, up to ``limit`` characters in all."""
     own = labels.where("toxic is not null and doc_id is not null and crc32(cast(doc_id as string)) % 5 != 0")
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample)
-    short = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
+    short = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= longest)
     rows = short.join(F.broadcast(own), "doc_id").select("text", "toxic", F.xxhash64("doc_id", F.lit(11)).alias("h")).collect()
     rows.sort(key=lambda x: (x.h, x.text))
     size, kept = 0, []
@@ -186,7 +260,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows that aren't predicted toxic, with all columns of ``docs`` as they are; nulls and repeats are as in ``classify``."""
+    """The rows that aren't predicted toxic, with all columns of ``docs`` as they are. Null and empty texts stay, repeated rows are judged
+    alike, labels that are null or of no document teach nothing, and an empty table gives no rows."""
     model = fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
