@@ -7,8 +7,9 @@ more: in one of these the sets differ by one shingle at most, so that all parts
 notable share of all documents has are left out, which makes no two sets differ more. Sets without so many groups (short ones, and those of
 frequent shingles) have the first shingles in one order as signatures too, frequent ones last.
 
-Equal sets are one from the start. Members of a signature first meet the smallest of them; then, where they are in several components, that
-with most links; what is still apart meets in blocks, so that no task holds a whole signature. Pairs whose parities of shingle counts differ in too many bins can't be linked and go; the
+Equal sets are one from the start. Members of a signature first meet the smallest of them. Where they are in several components, those outside
+the largest then meet the others block by block, so that no task holds a whole signature: first the nearest of a block, which joins most of
+them, then all of those in other components that are left. Pairs whose parities of shingle counts differ in too many bins can't be linked and go; the
 others are compared by their whole sets, so the links are exact.
 """
 
@@ -30,10 +31,10 @@ SECOND = 3  # parts of a group
 LEAST = 16  # sizes below which a set's shingles are too few for groups
 FREQUENT = 4000  # a shingle in more than one of so many documents is frequent
 SALT_ROWS = 256
-HUBS = 3  # rounds in which a signature's members meet the one with most links
+ROUNDS, NEAREST = 1, 2  # rounds in which those outside meet the nearest members of each block only, and how many of these
 BLOCK = 512  # members of a signature that a task holds
 FLUSH = 1 << 20  # shingles or signatures that a task holds before it passes them on
-PARITY_BYTES = 4096
+PARITY_BYTES = 8192
 _C = [np.uint64(c | 1) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -148,7 +149,7 @@ def parities(h: np.ndarray, row: np.ndarray, n_rows: int) -> list[bytes]:
     band = np.zeros(n_rows, np.int64)
     for j in range(1, 8):
         band += n >= 4**j
-    size = np.clip(4**band // 2, 1, PARITY_BYTES)
+    size = np.clip(4**band, 1, PARITY_BYTES)
     begin = np.cumsum(size) - size
     bit = begin[row] * 8 + (h & (size[row] * 8 - 1).astype(np.uint64)).astype(np.int64)
     bits = np.packbits((np.bincount(bit, minlength=int(size.sum()) * 8) & 1).astype(np.uint8), bitorder="little")
@@ -370,36 +371,44 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a signature's members in different components that may be linked. Rows come by signature and block: first the block's members,
-    which are held, then those that ask for it, which pass by."""
-    key: tuple | None = None
-    held: list[tuple] = []
-    doc = n = c = p = main = None
+def _cross(nearest: int | None):
+    """Pairs of a signature's members in different components that may be linked; of the members of a block only the ``nearest`` to the one
+    that asks, if that is given. Rows come by signature and block: first the block's members, which are held, then those that ask for it,
+    which pass by."""
 
-    for batch in batches:
-        a, b = [], []
-        for sig, block, asks, d, size, comp, is_main, bits in zip(*(batch.column(x).to_pylist() for x in ("sig", "block", "asks", "doc", "n", "c", "main", "p")), strict=True):
-            if (sig, block) != key:
-                key, held, doc = (sig, block), [], None
-            if not asks:
-                held.append((d, size, comp, is_main, bits))
-                continue
-            if not held:
-                continue
-            if doc is None:
-                doc, n, c, main = (np.array([x[k] for x in held]) for k in range(4))
-                least = min(len(x[4]) for x in held)
-                p = np.concatenate([_folded(np.frombuffer(x[4], np.uint8)[None], least) for x in held])
-            fit = (c != comp) & (4 * np.minimum(n, size) >= 3 * np.maximum(n, size)) & (main | (doc > d))
-            fit = np.flatnonzero(fit)
-            if len(fit):
-                q = np.frombuffer(bits, np.uint8)[None]
-                width = min(q.shape[1], p.shape[1])
-                fit = fit[7 * np.bitwise_count(_folded(p[fit], width) ^ _folded(q, width)).sum(1, dtype=np.int64) <= n[fit] + size]
-                a += np.minimum(doc[fit], d).tolist()
-                b += np.maximum(doc[fit], d).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key: tuple | None = None
+        held: list[tuple] = []
+        doc = n = c = p = main = None
+
+        for batch in batches:
+            a, b = [], []
+            for sig, block, asks, d, size, comp, is_main, bits in zip(*(batch.column(x).to_pylist() for x in ("sig", "block", "asks", "doc", "n", "c", "main", "p")), strict=True):
+                if (sig, block) != key:
+                    key, held, doc = (sig, block), [], None
+                if not asks:
+                    held.append((d, size, comp, is_main, bits))
+                    continue
+                if not held:
+                    continue
+                if doc is None:
+                    doc, n, c, main = (np.array([x[k] for x in held]) for k in range(4))
+                    least = min(len(x[4]) for x in held)
+                    p = np.concatenate([_folded(np.frombuffer(x[4], np.uint8)[None], least) for x in held])
+                fit = np.flatnonzero((c != comp) & (4 * np.minimum(n, size) >= 3 * np.maximum(n, size)) & (main | (doc > d)))
+                if len(fit):
+                    q = np.frombuffer(bits, np.uint8)[None]
+                    width = min(q.shape[1], p.shape[1])
+                    apart = 7 * np.bitwise_count(_folded(p[fit], width) ^ _folded(q, width)).sum(1, dtype=np.int64) - n[fit] - size
+                    if nearest is not None and len(fit) > nearest:
+                        some = np.lexsort((doc[fit], apart))[:nearest]
+                        fit, apart = fit[some], apart[some]
+                    fit = fit[apart <= 0]
+                    a += np.minimum(doc[fit], d).tolist()
+                    b += np.maximum(doc[fit], d).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def _possible_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -409,24 +418,22 @@ def _possible_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return fit.select("a", "b", "n", "m", "p", "q").mapInArrow(_possible, "a long, b long").distinct()
 
 
+def _members(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """sig and doc of the members of signatures with more than two members."""
+    wide = groups.groupBy("sig").count().where("count > 2").select("sig")
+    return groups.select("sig", F.col("own").alias("a")).join(wide, "sig").join(sets.select("a", "doc"), "a").select("sig", "doc").distinct()
+
+
 def _open(store: Store, member: DataFrame, root: DataFrame, name: str) -> DataFrame:
-    """sig, doc, c, k of the members of signatures with more than two members in several components; c is the component. Signatures with the
-    same members count once."""
+    """sig, doc, c, k of the members of signatures with members in several components; c is the component. Signatures with the same members
+    count once."""
     now = member.join(root, "doc", "left").select("sig", "doc", F.coalesce("root", "doc").alias("c"))
-    many = now.groupBy("sig").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("name")).where("lo < hi and k > 2")
+    many = now.groupBy("sig").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("name")).where("lo < hi")
     once = many.groupBy("name", "k").agg(F.min("sig").alias("sig")).select("sig", "k")
     return store.put(now.join(once, "sig"), name)
 
 
-def _hub_pairs(open_: DataFrame, near: DataFrame) -> DataFrame:
-    """a, b: in each signature the member with most links, and those in other components than its own."""
-    degree = near.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count("*").alias("links"))
-    best = F.max_by(F.struct("doc", "c"), F.struct(F.coalesce("links", F.lit(0)), -F.col("doc"))).alias("hub")
-    hubs = open_.join(degree, "doc", "left").groupBy("sig").agg(best).select("sig", "hub.doc", "hub.c").toDF("sig", "hub", "hub_c")
-    return open_.join(hubs, "sig").where("c <> hub_c").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
-
-
-def _crossed(open_: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
+def _crossed(open_: DataFrame, sets: DataFrame, parts: int, nearest: int | None = None) -> DataFrame:
     """a, b: members of a signature in different components which may be linked. Those outside the component that most belong to ask every
     block of the signature's members."""
     each = open_.groupBy("sig", "k", "c").count().groupBy("sig", "k").agg(F.max_by("c", F.struct("count", "c")).alias("most"))
@@ -434,7 +441,7 @@ def _crossed(open_: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
     rows = rows.withColumn("main", F.col("c") == F.col("most")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
     held = rows.select("sig", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"), F.lit(False).alias("asks"), "doc", "n", "c", "main", "p")
     asking = rows.where("not main").select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "doc", "n", "c", "main", "p")
-    return held.unionAll(asking).repartition(parts, "sig", "block").sortWithinPartitions("sig", "block", "asks").mapInArrow(_cross, "a long, b long").distinct()
+    return held.unionAll(asking).repartition(parts, "sig", "block").sortWithinPartitions("sig", "block", "asks").mapInArrow(_cross(nearest), "a long, b long").distinct()
 
 
 def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
@@ -458,17 +465,17 @@ def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     several = known.select("doc", "a", "b", "n").join(sets.select("a", "b", "n", F.col("doc").alias("own")), ["a", "b", "n"]).select("doc", "own").distinct()
     several = several.groupBy("doc").agg(F.collect_set("own").alias("own")).where(F.size("own") > 1).select("doc", F.explode("own").alias("own"))
     near = near.unionAll(store.put(several.select(F.col("doc").alias("a"), F.col("own").alias("b")), "several"))
-    member = groups.select("sig", F.col("own").alias("a")).distinct().join(sets.select("a", "doc"), "a").select("sig", "doc").distinct()
+    member = store.put(_members(groups, sets), "member")
     open_ = _open(store, member, components(store, near, "first"), "open0")
     store.drop("groups")
-    for k in range(HUBS):
+    for k in range(ROUNDS):
         if open_.isEmpty():
             return described, near
-        pairs = store.put(_possible_pairs(_hub_pairs(open_, near).join(tested, ["a", "b"], "left_anti"), sets), f"hub{k}")
+        pairs = store.put(_crossed(open_, sets, parts, NEAREST).join(tested, ["a", "b"], "left_anti"), f"near{k}")
         if pairs.isEmpty():
             break
-        near, tested = near.unionAll(_verify(store, docs, pairs, f"hub{k}")), tested.unionAll(pairs)
-        open_ = _open(store, open_.select("sig", "doc"), components(store, near, f"near{k}"), f"open{k + 1}")
+        near, tested = near.unionAll(_verify(store, docs, pairs, f"near{k}")), tested.unionAll(pairs)
+        open_ = _open(store, open_.select("sig", "doc"), components(store, near, f"round{k}"), f"open{k + 1}")
     more = store.put(_crossed(open_, sets, parts).join(tested, ["a", "b"], "left_anti"), "cross")
     if not more.isEmpty():
         near = near.unionAll(_verify(store, docs, more, "cross"))
