@@ -8,8 +8,8 @@ notable share of all documents has are left out, which makes no two sets differ
 frequent shingles) have the first shingles in one order as signatures too, frequent ones last.
 
 Equal sets are one from the start. Members of a signature first meet the smallest of them. Where they are in several components, those outside
-the largest then meet the others block by block, so that no task holds a whole signature: first the nearest of a block, which joins most of
-them, then all of those in other components that are left. Pairs whose parities of shingle counts differ in too many bins can't be linked and go; the
+the largest then meet the others block by block, so that no task holds a whole signature: in large ones first the nearest of a block, which
+joins most of them, then all of those in other components that are left. Pairs whose parities of shingle counts differ in too many bins can't be linked and go; the
 others are compared by their whole sets, so the links are exact.
 """
 
@@ -31,9 +31,9 @@ SECOND = 3  # parts of a group
 LEAST = 16  # sizes below which a set's shingles are too few for groups
 FREQUENT = 4000  # a shingle in more than one of so many documents is frequent
 SALT_ROWS = 256
-ROUNDS, NEAREST = 1, 2  # rounds in which those outside meet the nearest members of each block only, and how many of these
+SMALL, NEAREST = 64, 2  # members of a signature up to which all meet at once, and beyond which the nearest of a block do first
 BLOCK = 512  # members of a signature that a task holds
-FLUSH = 1 << 20  # shingles or signatures that a task holds before it passes them on
+FLUSH = 1 << 19  # shingles or signatures that a task holds before it passes them on
 PARITY_BYTES = 8192
 _C = [np.uint64(c | 1) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -372,8 +372,8 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cross(nearest: int | None):
-    """Pairs of a signature's members in different components that may be linked; of the members of a block only the ``nearest`` to the one
-    that asks, if that is given. Rows come by signature and block: first the block's members, which are held, then those that ask for it,
+    """Pairs of a signature's members in different components that may be linked; in signatures of more than SMALL members only the
+    ``nearest`` of a block to the one that asks, if that is given. Rows come by signature and block: first the block's members, which are held, then those that ask for it,
     which pass by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,7 +383,7 @@ def _cross(nearest: int | None):
 
         for batch in batches:
             a, b = [], []
-            for sig, block, asks, d, size, comp, is_main, bits in zip(*(batch.column(x).to_pylist() for x in ("sig", "block", "asks", "doc", "n", "c", "main", "p")), strict=True):
+            for sig, block, asks, k, d, size, comp, is_main, bits in zip(*(batch.column(x).to_pylist() for x in ("sig", "block", "asks", "k", "doc", "n", "c", "main", "p")), strict=True):
                 if (sig, block) != key:
                     key, held, doc = (sig, block), [], None
                 if not asks:
@@ -392,7 +392,7 @@ def _cross(nearest: int | None):
                 if not held:
                     continue
                 if doc is None:
-                    doc, n, c, main = (np.array([x[k] for x in held]) for k in range(4))
+                    doc, n, c, main = (np.array([x[i] for x in held]) for i in range(4))
                     least = min(len(x[4]) for x in held)
                     p = np.concatenate([_folded(np.frombuffer(x[4], np.uint8)[None], least) for x in held])
                 fit = np.flatnonzero((c != comp) & (4 * np.minimum(n, size) >= 3 * np.maximum(n, size)) & (main | (doc > d)))
@@ -400,7 +400,7 @@ def _cross(nearest: int | None):
                     q = np.frombuffer(bits, np.uint8)[None]
                     width = min(q.shape[1], p.shape[1])
                     apart = 7 * np.bitwise_count(_folded(p[fit], width) ^ _folded(q, width)).sum(1, dtype=np.int64) - n[fit] - size
-                    if nearest is not None and len(fit) > nearest:
+                    if nearest is not None and k > SMALL and len(fit) > nearest:
                         some = np.lexsort((doc[fit], apart))[:nearest]
                         fit, apart = fit[some], apart[some]
                     fit = fit[apart <= 0]
@@ -439,8 +439,8 @@ def _crossed(open_: DataFrame, sets: DataFrame, parts: int, nearest: int | None
     each = open_.groupBy("sig", "k", "c").count().groupBy("sig", "k").agg(F.max_by("c", F.struct("count", "c")).alias("most"))
     rows = open_.drop("k").join(each, "sig").join(sets.select("doc", "n", "p"), "doc")
     rows = rows.withColumn("main", F.col("c") == F.col("most")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
-    held = rows.select("sig", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"), F.lit(False).alias("asks"), "doc", "n", "c", "main", "p")
-    asking = rows.where("not main").select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "doc", "n", "c", "main", "p")
+    held = rows.select("sig", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"), F.lit(False).alias("asks"), "k", "doc", "n", "c", "main", "p")
+    asking = rows.where("not main").select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "k", "doc", "n", "c", "main", "p")
     return held.unionAll(asking).repartition(parts, "sig", "block").sortWithinPartitions("sig", "block", "asks").mapInArrow(_cross(nearest), "a long, b long").distinct()
 
 
@@ -454,8 +454,10 @@ def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     #: A set is its smallest document.
     known = described.where("kind = 0 and n > 0 and doc is not null")
     sets = store.put(known.groupBy("a", "b", "n").agg(F.min("doc").alias("doc"), F.max("p").alias("p")), "sets")
-    buckets = max(parts, min(8 * parts, 2048))
-    emitted = _emit(docs, _frequent(described), buckets).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    #: Blocks are large rows, so that a task gets fewer of them than it would of others.
+    tasks = 4 * parts
+    buckets = max(tasks, min(8 * parts, 4096))
+    emitted = _emit(docs, _frequent(described), buckets).repartition(tasks, "bucket").sortWithinPartitions("bucket")
     groups = store.put(emitted.mapInArrow(_groups, "sig long, own long, center long"), "groups")
     low, high = (sets.select(F.col("a").alias(k), F.col("doc").alias(x)) for k, x in (("center", "a"), ("own", "b")))
     star = groups.where("own <> center").select("own", "center").distinct().join(low, "center").join(high, "own").where("a <> b")
@@ -468,14 +470,15 @@ def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     member = store.put(_members(groups, sets), "member")
     open_ = _open(store, member, components(store, near, "first"), "open0")
     store.drop("groups")
-    for k in range(ROUNDS):
-        if open_.isEmpty():
-            return described, near
-        pairs = store.put(_crossed(open_, sets, parts, NEAREST).join(tested, ["a", "b"], "left_anti"), f"near{k}")
-        if pairs.isEmpty():
-            break
-        near, tested = near.unionAll(_verify(store, docs, pairs, f"near{k}")), tested.unionAll(pairs)
-        open_ = _open(store, open_.select("sig", "doc"), components(store, near, f"round{k}"), f"open{k + 1}")
+    if open_.isEmpty():
+        return described, near
+    pairs = store.put(_crossed(open_, sets, parts, NEAREST).join(tested, ["a", "b"], "left_anti"), "nearest")
+    if not pairs.isEmpty():
+        near, tested = near.unionAll(_verify(store, docs, pairs, "nearest")), tested.unionAll(pairs)
+    open_ = open_.where(F.col("k") > SMALL)
+    if open_.isEmpty():
+        return described, near
+    open_ = _open(store, open_.select("sig", "doc"), components(store, near, "second"), "open1")
     more = store.put(_crossed(open_, sets, parts).join(tested, ["a", "b"], "left_anti"), "cross")
     if not more.isEmpty():
         near = near.unionAll(_verify(store, docs, more, "cross"))
