@@ -1,8 +1,9 @@
 """Personal data by fixed patterns and by a character-level bidirectional LSTM with a conditional random field.
 
-The network is trained from labelled spans: those that the patterns find in a bounded sample, and written variants of them that the
-patterns miss. It reads windows that overlap and together cover every place with a digit or @ in the whole text; each window is decoded,
-and a character's tag comes from the window in which it lies farthest from an end.
+The network is trained from labelled spans: those that the patterns find in a bounded sample of texts, the same and invented ones in written
+variants that the patterns miss, put into windows of the same texts, and numbers that are none of them. It reads windows that overlap and
+together cover every place with a digit, an @ or a word for it in the whole text. What overlapping windows say of a character is averaged,
+those in which it lies farther from an end counting more; then the random field decodes each stretch of windows as one.
 """
 
 from __future__ import annotations
@@ -13,19 +14,24 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._store import first_by_hash
-from ._text import slices, utf8
+from ._text import slices
+from .pii_variants import others, variant
 from .recurrent import Adam, lstm, lstm_back
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 SAMPLE_DOCS = 1200
-SAMPLE_CHARS = 4000
+SAMPLE_CHARS = 4000  # of a text: a window that a hash of its id places
 WINDOW, STRIDE, AROUND = 64, 32, 24
-HIDDEN, BATCH, STEPS = 16, 64, 220
+HELD = 4096  # windows that a task reads at a time
+HIDDEN, BATCH, STEPS = 24, 96, 600
+PLACES = 24  # of a text, for invented examples
+INVENTED = (0, 3, None, 2, 3, None, 1, 0, 3, None)  # kinds of invented examples, in turn; None is a number of no kind
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -33,8 +39,9 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TRIGGER = np.zeros(256, bool)
-TRIGGER[0x30:0x3A] = TRIGGER[0x40] = True
+#: Where personal data can be: a digit, an @, or what is written for it.
+TRIGGER = r"[0-9@]+|[(\[{<]\s?at\s?[)\]}>]|\sat\s[A-Za-z0-9-]+\s(dot\s|\.|[(\[{<]\s?dot)"
+_TRIGGER = re.compile(TRIGGER, re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -74,6 +81,9 @@ SYMBOLS[ord("A") : ord("Z") + 1] = 3
 SYMBOLS[0x30:0x3A] = 4
 for _i, _c in enumerate(" \n@.+-()%_=\"':,;/#*$&|<>[]{}!?~"):
     SYMBOLS[ord(_c)] = 5 + _i
+#: The letters that write @ and . as words are told apart.
+for _i, _c in enumerate("atdo"):
+    SYMBOLS[ord(_c)] = SYMBOLS[ord(_c.upper())] = 40 + _i
 N_SYMBOLS = int(SYMBOLS.max()) + 1
 
 
@@ -81,16 +91,14 @@ def symbols(text: str) -> np.ndarray:
     return SYMBOLS[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 255)]
 
 
-def places(text: str) -> list[int]:
-    """Where windows start: every character within AROUND of a digit or @ is in one at least."""
-    out: list[int] = []
-    until = -1
-    for m in re.finditer(r"[0-9@]+", text):
-        a, b = max(0, m.start() - AROUND), m.end() + AROUND
-        a = max(a, until - STRIDE)
-        while until < b:
-            out.append(a)
-            until, a = a + WINDOW, a + STRIDE
+def stretches(text: str) -> list[tuple[int, int]]:
+    """Start and number of windows of each stretch; every character within AROUND of a trigger is in a window of one at least."""
+    out: list[tuple[int, int]] = []
+    for m in _TRIGGER.finditer(text):
+        a, b, least = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND), 1
+        if out and a < out[-1][0] + STRIDE * (out[-1][1] - 1) + WINDOW:
+            a, least = out.pop()
+        out.append((a, max(1 + max(0, -(-(b - a - WINDOW) // STRIDE)), least)))
     return out
 
 
@@ -111,8 +119,8 @@ class Model:
         h = np.concatenate([lstm(w, u, x, keep and keep[0]), lstm(w2, u2, x[::-1], keep and keep[1])[::-1]], 2)
         return h @ v + b, h
 
-    def step(self, x: np.ndarray, y: np.ndarray, opt: Adam) -> None:
-        """One step on windows x with tags y, both (T, B): forward-backward over the tags, then back through time."""
+    def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
+        """Mean loss over windows x with tags y, both (T, B), and its gradients: forward-backward over the tags, then back through time."""
         keep: tuple = ([], [])
         e, h = self.emissions(x, keep)
         w, u, w2, u2, v, b, tr = self.params
@@ -128,23 +136,29 @@ class Model:
         pair = np.exp(alpha[:-1][:, :, :, None] + tr + (e + beta)[1:][:, :, None, :] - z[:, None, None])
         dt = pair.sum((0, 1))
         np.add.at(dt, (y[:-1].ravel(), y[1:].ravel()), -1)
-        d[np.arange(n_t)[:, None], np.arange(n_b), y] -= 1
-        d, dt = (d / n_b).astype(np.float32), (dt / n_b).astype(np.float32)
+        at = np.arange(n_t)[:, None], np.arange(n_b), y
+        loss = float((z.sum() - e[at].sum() - tr[y[:-1], y[1:]].sum()) / n_b)
+        d[at] -= 1
+        d, dt = (d / n_b).astype(e.dtype), (dt / n_b).astype(e.dtype)
         dh = d @ v.T
-        gw, gu = lstm_back(w, u, x, keep[0], dh[:, :, :HIDDEN])
-        gw2, gu2 = lstm_back(w2, u2, x[::-1], keep[1], dh[::-1, :, HIDDEN:])
-        opt.step([gw, gu, gw2, gu2, np.einsum("tbh,tbc->hc", h, d), d.sum((0, 1)), dt])
-
-    def decode(self, x: np.ndarray) -> np.ndarray:
-        """The best tags (T, B)."""
-        e, tr = self.emissions(x)[0], self.params[-1]
-        back, best = np.zeros(e.shape, np.int8), e[0]
+        gw, gu = lstm_back(w, u, x, keep[0], dh[:, :, : u.shape[0]])
+        gw2, gu2 = lstm_back(w2, u2, x[::-1], keep[1], dh[::-1, :, u.shape[0] :])
+        return loss, [gw, gu, gw2, gu2, np.einsum("tbh,tbc->hc", h, d), d.sum((0, 1)), dt]
+
+    def step(self, x: np.ndarray, y: np.ndarray, opt: Adam) -> None:
+        opt.step(self.gradients(x, y)[1])
+
+    def best(self, e: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The best tags for emissions e (T, B, tags), of which the first ``lengths`` of each column are there."""
+        tr = self.params[-1]
+        back, score = np.zeros(e.shape, np.int8), e[0].copy()
         for t in range(1, len(e)):
-            s = best[:, :, None] + tr
-            back[t] = s.argmax(1)
-            best = s.max(1) + e[t]
+            s = score[:, :, None] + tr
+            on = t < lengths
+            back[t] = np.where(on[:, None], s.argmax(1), np.arange(e.shape[2]))
+            score = np.where(on[:, None], s.max(1) + e[t], score)
         out = np.empty(e.shape[:2], np.int8)
-        out[-1] = best.argmax(1)
+        out[-1] = score.argmax(1)
         for t in range(len(e) - 1, 0, -1):
             out[t - 1] = back[t][np.arange(e.shape[1]), out[t]]
         return out
@@ -165,18 +179,38 @@ def window(x: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
+def examples(texts: list[str], g: np.random.Generator) -> list[tuple[str, list[tuple[int, int, int]]]]:
+    """Pieces of text with their spans: the texts themselves; places of the patterns' finds with the find written otherwise; and places of any
+    kind with an invented find, or a number that is none, between two words."""
+    out = [(t, base_spans(t)) for t in texts]
+    spots = [(t, m.start()) for t in texts for m in list(re.finditer(r"(?<=\S) (?=\S)", t))[:: max(1, len(t) // 400)][:PLACES]]
+    for text, spans in out[: len(texts)]:
+        for kind, a, b in spans:
+            for _ in range(2):
+                out.append(_placed(text[max(0, a - 80) : a], variant(kind, g, text[a:b]), kind, text[b : b + 80]))
+    for k, (text, at) in enumerate(spots or [("", 0)] * 1000):
+        kind = INVENTED[k % len(INVENTED)]
+        #: Some stand at an end of their text, or at a sign.
+        left, right = (0 if g.random() < 0.1 else int(g.integers(1, 81)) for _ in range(2))
+        sign = str(g.choice(["", "", "", ".", ",", ";", ":", ")"]))
+        before, after = text[max(0, at + 1 - left) : at + 1] * (left > 0) + "(" * (sign == ")"), sign + text[at : at + right]
+        out.append(_placed(before, others(g) if kind is None else variant(kind, g), kind, after))
+    return out
+
+
+def _placed(before: str, middle: str, kind: int | None, after: str) -> tuple[str, list[tuple[int, int, int]]]:
+    """A piece of text around ``middle``, which is a span if it has a kind; what the patterns find elsewhere in it is one too."""
+    text, a = before + middle + after, len(before)
+    own = [] if kind is None else [(kind, a, a + len(middle))]
+    return text, own + [(k, x, y) for k, x, y in base_spans(text) if y <= a or x >= a + len(middle) or kind is None]
+
+
 def train(texts: list[str], steps: int = STEPS, seed: int = 9) -> Model:
     g, xs, ys = np.random.default_rng(seed), [], []
-    for text in texts:
-        spans = base_spans(text)
-        versions = [(text, spans)]
-        for kind, a, b in spans:
-            if kind == 3 and text[a:b].startswith("+1 "):  # the same number without its country
-                near = text[max(0, a - 60) : a] + text[a + 3 : b + 60]
-                versions.append((near, [(3, min(60, a), min(60, a) + b - a - 3)]))
-        for t, s in versions:
-            x, y = symbols(t), tags(t, s)
-            for p in places(t):
+    for t, spans in examples(texts, g):
+        x, y = symbols(t), tags(t, spans)
+        for a, n in stretches(t):
+            for p in range(a, a + n * STRIDE, STRIDE):
                 p = max(0, p - int(g.integers(0, 8)))
                 xs.append(window(x, p))
                 ys.append(window(y, p))
@@ -186,65 +220,113 @@ def train(texts: list[str], steps: int = STEPS, seed: int = 9) -> Model:
     x, y = np.array(xs).astype(np.int64), np.array(ys)
     kind = np.where((y > 0).any(1), (y.max(1) + 1) // 2, 0)
     groups = [np.flatnonzero(kind == k) for k in range(len(KINDS) + 1)]
-    groups = [k for k in groups if len(k)]
-    opt = Adam(model.params, 0.01)
+    #: Windows without a find are most of what will be read.
+    weights = [BATCH // 3, BATCH // 6, BATCH // 12, BATCH // 6, BATCH // 4]
+    opt = Adam(model.params, 0.012)
     for k in range(steps):
-        opt.rate = 0.01 * (1 - 0.9 * k / steps)
-        i = np.concatenate([g.choice(rows, BATCH // len(groups) + 1) for rows in groups])
+        opt.rate = 0.012 * (1 - 0.95 * k / steps)
+        i = np.concatenate([g.choice(rows, w) for rows, w in zip(groups, weights, strict=True) if len(rows)])
         model.step(x[i].T, y[i].T, opt)
     return model
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, steps: int = STEPS) -> Model:
-    """From the beginnings of ``sample`` texts at most with two digits or @, the first by a hash of doc_id."""
-    rows = docs.where("text is not null").select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("t")).where(F.rlike("t", F.lit("[0-9]{2}|@")))
+def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, steps: int = STEPS, chars: int = SAMPLE_CHARS) -> Model:
+    """From ``sample`` texts at most with two digits or @, the first by a hash of doc_id; of each a window of ``chars`` characters, anywhere."""
+    at = F.greatest(F.lit(1), F.pmod(F.xxhash64("doc_id", F.lit(29)), F.greatest(F.length("text") - chars + 2, F.lit(1))).cast("int"))
+    rows = docs.where("text is not null").select("doc_id", F.substring("text", at, F.lit(chars)).alias("t")).where(F.rlike("t", F.lit("[0-9]{2}|@")))
     return train([r.t for r in first_by_hash(rows, "doc_id", 13, sample)], steps)
 
 
-def _plausible(kind: int, found: str) -> bool:
+_AT, _DOT = r"(\s?@\s?|\s?[(\[{<]\s?at\s?[)\]}>]\s?|\sat\s)", r"(\s?[(\[{<]\s?dot\s?[)\]}>]\s?|\sdot\s|\.)"
+_MAIL = re.compile(rf"[A-Za-z0-9._%+-]+{_AT}[A-Za-z0-9-]+({_DOT}[A-Za-z0-9-]+)+", re.IGNORECASE)
+_FOUR = re.compile(r"([0-9]{1,3})(\s?[(\[{]?[.][)\]}]?\s?)([0-9]{1,3})\2([0-9]{1,3})\2([0-9]{1,3})")
+_CALL = re.compile(r"[+(]?[0-9][0-9().\x20/-]*[0-9]")
+_OTHER = re.compile(r"[1-9][0-9]*|[0-9]+\.[0-9]+|(19|20)[0-9]{2}[-./\x20][0-9]{1,2}[-./\x20][0-9]{1,2}|[0-9]{1,2}[-./\x20][0-9]{1,2}[-./\x20]([0-9]{2}|[0-9]{4})|(19|20)[0-9]{2}\x20?[-/]\x20?(19|20)[0-9]{2}")
+
+
+def plausible(kind: int, found: str) -> bool:
+    """Whether what the network found can be what it says, however written."""
     digits = re.sub(r"[^0-9]", "", found)
     if kind == 0:
-        return "@" in found and len(found) > 4
+        m = _MAIL.fullmatch(found)
+        return bool(m) and (not re.search(r"\sat\s", found, re.IGNORECASE) or bool(re.search(r"dot", found, re.IGNORECASE)))
     if kind == 1:
-        return found.count(".") == 3 and len(digits) >= 4
+        m = _FOUR.fullmatch(found)
+        return bool(m) and all(int(m[k]) <= 255 for k in (1, 3, 4, 5))
     if kind == 2:
         return 13 <= len(digits) <= 19 and luhn(digits)
-    return 7 <= len(digits) <= 15 and bool(re.fullmatch(r"[+0-9().\x20-]+", found))
+    return 7 <= len(digits) <= 15 and bool(_CALL.fullmatch(found)) and not _OTHER.fullmatch(found)
+
+
+def _tagged(texts: list[str], model: Model) -> Iterator[tuple[int, int, np.ndarray, int, int]]:
+    """Number of the text, start and best tags of each stretch; HELD windows at a time. A longer stretch is read in parts that overlap, each
+    of which answers for what begins between two places."""
+    jobs: list[tuple[int, int, int, int, int]] = []
+
+    def done() -> Iterator[tuple[int, int, np.ndarray, int, int]]:
+        coded = {k: symbols(texts[k]) for k in {j[0] for j in jobs}}
+        x = np.array([window(coded[k], a + i * STRIDE) for k, a, n, _, _ in jobs for i in range(n)]).astype(np.int64)
+        e = np.concatenate([model.emissions(x[i : i + 1024].T)[0].transpose(1, 0, 2) for i in range(0, len(x), 1024)])
+        count = np.array([j[2] for j in jobs])
+        size = (count - 1) * STRIDE + WINDOW
+        first = np.cumsum(size) - size
+        own = np.repeat(np.arange(len(jobs)), count)
+        inner = np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)
+        place = (first[own] + inner * STRIDE)[:, None] + np.arange(WINDOW)
+        #: A stretch's own ends are ends of no window that goes on.
+        ramp = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(np.float32)
+        total, weight = np.zeros((int(size.sum()), TAGS), np.float32), np.zeros(int(size.sum()), np.float32)
+        np.add.at(total, place.ravel(), (e * ramp[None, :, None]).reshape(-1, TAGS))
+        np.add.at(weight, place.ravel(), np.broadcast_to(ramp, place.shape).ravel())
+        total /= weight[:, None]
+        order = np.argsort(size, kind="stable")
+        for k in range(0, len(order), 256):
+            some = order[k : k + 256]
+            there = np.array([min(int(size[s]), len(texts[jobs[s][0]]) - jobs[s][1]) for s in some])
+            grid = np.zeros((int(there.max()), len(some), TAGS), np.float32)
+            for c, s in enumerate(some):
+                grid[: there[c], c] = total[first[s] : first[s] + there[c]]
+            y = model.best(grid, there)
+            for c, s in enumerate(some):
+                yield jobs[s][0], jobs[s][1], y[: there[c], c], *jobs[s][3:]
+
+    held = 0
+    for k, text in enumerate(texts):
+        for a, n in stretches(text):
+            for b in range(0, max(1, n - 3), HELD):
+                m = min(n - b, HELD + 3)
+                if held + m > HELD and jobs:
+                    yield from done()
+                    jobs, held = [], 0
+                #: Parts share three windows; each answers up to their middle.
+                place = lambda w: a + w * STRIDE + WINDOW  # noqa: B023, E731
+                jobs.append((k, a + b * STRIDE, m, place(b) if b else 0, place(b + HELD) if b + m < n else len(text)))
+                held += m
+    if jobs:
+        yield from done()
 
 
 def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], model: Model) -> list[list[tuple[int, int, int]]]:
     """What the network finds besides the base spans."""
-    x, where = [], []
-    for k, text in enumerate(texts):
-        s = symbols(text)
-        for p in places(text):
-            x.append(window(s, p))
-            where.append((k, p))
-    tagged: list[dict[int, tuple[int, int]]] = [{} for _ in texts]  # position: (distance from an end, tag)
-    for at in range(0, len(x), 1024):
-        y = model.decode(np.array(x[at : at + 1024]).astype(np.int64).T).T
-        for (k, p), row in zip(where[at : at + 1024], y, strict=True):
-            first, end = p == 0, len(texts[k]) - p
-            for i in range(min(WINDOW, end)):
-                far = min(i if not first else WINDOW, WINDOW - 1 - i if end > WINDOW else WINDOW)
-                if tagged[k].get(p + i, (-1, 0))[0] < far:
-                    tagged[k][p + i] = (far, int(row[i]))
-    out = []
-    for text, own, marks in zip(texts, base, tagged, strict=True):
-        found, pos = [], sorted(p for p, (_, t) in marks.items() if t)
+    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    for k, start, y, low, high in _tagged(texts, model):
+        text, at = texts[k], np.flatnonzero(y)
         i = 0
-        while i < len(pos):
-            a, kind = pos[i], (marks[pos[i]][1] - 1) // 2
-            j = i
-            while j + 1 < len(pos) and pos[j + 1] == pos[j] + 1 and marks[pos[j + 1]][1] == 2 + 2 * kind:
+        while i < len(at):
+            j, kind = i, (int(y[at[i]]) - 1) // 2
+            while j + 1 < len(at) and at[j + 1] == at[j] + 1 and y[at[j + 1]] == 2 + 2 * kind:
                 j += 1
-            b = pos[j] + 1
-            while b > a and text[b - 1] in " .,;(":
-                b -= 1
-            if b > a and _plausible(kind, text[a:b]) and not any(s < b and a < e for _, s, e in own):
-                found.append((kind, a, b))
+            a, b = start + int(at[i]), start + int(at[j]) + 1
             i = j + 1
-        out.append(found)
+            while b > a and text[b - 1] in " .,;:(\n":
+                b -= 1
+            while a < b and text[a] in " .,;:)\n":
+                a += 1
+            if a and text[a - 1] == "(" and ")" in text[a:b] and "(" not in text[a:b]:
+                a -= 1
+            #: A number is whole, or it is another number.
+            if low <= a < high and a < b and plausible(kind, text[a:b]) and not (kind and (text[a - 1 : a].isdigit() or text[b : b + 1].isdigit())) and not any(s < b and a < e for _, s, e in base[k] + out[k]):
+                out[k].append((kind, a, b))
     return out
 
 
@@ -253,19 +335,20 @@ def _written(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _triggered(column: pa.Array) -> np.ndarray:
-    data, off = utf8(column)
-    rows = np.searchsorted(off, np.flatnonzero(TRIGGER[data]), "right") - 1
-    return np.unique(rows)
+    """Rows with a place to read."""
+    hit = pc.match_substring_regex(column, TRIGGER, ignore_case=True)
+    return np.flatnonzero(hit.fill_null(False).to_numpy(zero_copy_only=False))
 
 
 def find_spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans for every row; the counts are of the base spans.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_added for every row; the counts are of the base spans, n_added is of
+    what the network adds.
 
     A null or empty text has none. Repeated rows stay; an empty table gives no rows. Positions are code points, ends exclusive.
     """
     model = model or fit(docs)
-    names = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
-    schema = f"{docs.select('doc_id')._jdf.schema().toDDL()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    names = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
+    schema = f"{docs.select('doc_id')._jdf.schema().toDDL()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -273,18 +356,22 @@ def find_spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 rows = _triggered(batch.column("text"))
                 texts = [batch.column("text")[int(i)].as_py() for i in rows]
                 base = [base_spans(t) for t in texts]
-                counts, digest, written = np.zeros((len(KINDS), batch.num_rows), np.int64), [sha256(b"").hexdigest()] * batch.num_rows, [""] * batch.num_rows
+                counts, digest, written = np.zeros((len(KINDS) + 1, batch.num_rows), np.int64), [sha256(b"").hexdigest()] * batch.num_rows, [""] * batch.num_rows
                 for i, own, more in zip(rows, base, added_spans(texts, base, model), strict=True):
                     for k, _, _ in own:
                         counts[k, i] += 1
+                    counts[-1, i] = len(more)
                     digest[i], written[i] = sha256(_written(own).encode()).hexdigest(), _written(own + more)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, counts), pa.array(digest), pa.array(written)], names=["doc_id", *names])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, counts[:-1]), pa.array(digest), pa.array(written), pa.array(counts[-1])], names=["doc_id", *names])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def mask(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """The columns of ``docs`` with each span of the text replaced by its kind in brackets; overlapping spans by the first's."""
+    """The columns of ``docs`` with each span of the text replaced by its kind in brackets; overlapping spans by the first's.
+
+    Null and empty texts stay as they are, repeated rows are masked alike, an empty table gives no rows, and no column is added or renamed.
+    """
     model = model or fit(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
