@@ -34,7 +34,8 @@ SALT_ROWS = 256
 SMALL, NEAREST = 64, 2  # members of a signature up to which all meet at once, and beyond which the nearest of a block do first
 BLOCK = 512  # members of a signature that a task holds
 FLUSH = 1 << 19  # shingles or signatures that a task holds before it passes them on
-PARITY_BYTES = 8192
+PARITY_BYTES, SHORT_BYTES = 8192, 128  # of a set's parities; of those that members of a signature meet with
+TASK_ROWS, TOLD = 1 << 16, 200_000  # members about that meet in a task, and pairs that it remembers not to tell twice
 _C = [np.uint64(c | 1) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -164,7 +165,7 @@ def _folded(x: np.ndarray, size: int) -> np.ndarray:
 def _described(docs: DataFrame) -> DataFrame:
     """A row for every document: doc, n and two hashes of its set, and its parities, those of a set that a task sees again left null. And
     (doc null, a shingle, its count): how often a task met shingles that may be frequent, equal sets counted once."""
-    schema = "kind int, doc long, a long, b long, n long, p binary"
+    schema = "kind int, doc long, a long, b long, n long, p binary, f binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -178,7 +179,7 @@ def _described(docs: DataFrame) -> DataFrame:
             some = count >= max(3, n_docs // (2 * FREQUENT))
             k = int(some.sum())
             none = pa.nulls(k, pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), none, pa.array(h[at][some].view(np.int64)), none, pa.array(count[some]), pa.nulls(k, pa.binary())], names=["kind", "doc", "a", "b", "n", "p"])
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), none, pa.array(h[at][some].view(np.int64)), none, pa.array(count[some]), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=["kind", "doc", "a", "b", "n", "p", "f"])
 
         for whole in batches:
             seen: set[tuple] = set()
@@ -199,7 +200,9 @@ def _described(docs: DataFrame) -> DataFrame:
                     size, n_docs = size + len(held[-1]), n_docs + int(new.sum())
                     own = np.cumsum(new) - 1
                     p = iter(parities(h[mine], own[row[mine]], int(new.sum())))
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(batch.num_rows, np.int32)), batch.column("doc_id"), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n.astype(np.int64)), pa.array([next(p) if x else None for x in new], pa.binary())], names=["kind", "doc", "a", "b", "n", "p"])
+                bits = [next(p) if x else None for x in new]
+                short = [x if x is None or len(x) <= SHORT_BYTES else _folded(np.frombuffer(x, np.uint8)[None], SHORT_BYTES).tobytes() for x in bits]
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(batch.num_rows, np.int32)), batch.column("doc_id"), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(bits, pa.binary()), pa.array(short, pa.binary())], names=["kind", "doc", "a", "b", "n", "p", "f"])
                 if size > 2 * FLUSH:
                     yield counts()
                     held.clear()
@@ -373,49 +376,62 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cross(nearest: int | None):
     """Pairs of a signature's members in different components that may be linked; in signatures of more than SMALL members only the
-    ``nearest`` of a block to the one that asks, if that is given. Rows come by signature and block: first the block's members, which are held, then those that ask for it,
-    which pass by."""
+    ``nearest`` of a block to the one that asks, if that is given. Rows come by signature and block: first the block's members, which are
+    held, then those that ask for it, which pass by. Signatures of one cluster follow each other, so that most pairs are told once."""
+    names = ("most", "salt", "block", "sig", "asks", "k", "doc", "n", "c", "f")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cluster: tuple | None = None
         key: tuple | None = None
         held: list[tuple] = []
-        doc = n = c = p = main = None
+        told: set[tuple[int, int]] = set()
+        doc = n = c = f = None
 
         for batch in batches:
             a, b = [], []
-            for sig, block, asks, k, d, size, comp, is_main, bits in zip(*(batch.column(x).to_pylist() for x in ("sig", "block", "asks", "k", "doc", "n", "c", "main", "p")), strict=True):
+            for most, salt, block, sig, asks, k, d, size, comp, bits in zip(*(batch.column(x).to_pylist() for x in names), strict=True):
+                if (most, salt, block) != cluster or len(told) > TOLD:
+                    cluster = (most, salt, block)
+                    told.clear()
                 if (sig, block) != key:
                     key, held, doc = (sig, block), [], None
                 if not asks:
-                    held.append((d, size, comp, is_main, bits))
+                    held.append((d, size, comp, bits))
                     continue
                 if not held:
                     continue
                 if doc is None:
-                    doc, n, c, main = (np.array([x[i] for x in held]) for i in range(4))
-                    least = min(len(x[4]) for x in held)
-                    p = np.concatenate([_folded(np.frombuffer(x[4], np.uint8)[None], least) for x in held])
-                fit = np.flatnonzero((c != comp) & (4 * np.minimum(n, size) >= 3 * np.maximum(n, size)) & (main | (doc > d)))
+                    doc, n, c = (np.array([x[i] for x in held]) for i in range(3))
+                    least = min(len(x[3]) for x in held)
+                    f = np.concatenate([_folded(np.frombuffer(x[3], np.uint8)[None], least) for x in held])
+                #: Two that both ask are one pair.
+                fit = np.flatnonzero((c != comp) & (4 * np.minimum(n, size) >= 3 * np.maximum(n, size)) & ((c == most) | (doc > d)))
                 if len(fit):
                     q = np.frombuffer(bits, np.uint8)[None]
-                    width = min(q.shape[1], p.shape[1])
-                    apart = 7 * np.bitwise_count(_folded(p[fit], width) ^ _folded(q, width)).sum(1, dtype=np.int64) - n[fit] - size
+                    width = min(q.shape[1], f.shape[1])
+                    apart = 7 * np.bitwise_count(_folded(f[fit], width) ^ _folded(q, width)).sum(1, dtype=np.int64) - n[fit] - size
                     if nearest is not None and k > SMALL and len(fit) > nearest:
                         some = np.lexsort((doc[fit], apart))[:nearest]
                         fit, apart = fit[some], apart[some]
-                    fit = fit[apart <= 0]
-                    a += np.minimum(doc[fit], d).tolist()
-                    b += np.maximum(doc[fit], d).tolist()
+                    for other in doc[fit[apart <= 0]].tolist():
+                        pair = (other, d) if other < d else (d, other)
+                        if pair not in told:
+                            told.add(pair)
+                            a.append(pair[0])
+                            b.append(pair[1])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def _possible_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _possible_pairs(store: Store, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """Those of ``pairs`` (a, b: documents that stand for sets, of several if they have several texts) which may be linked, each once."""
-    low, high = (sets.select(F.col("doc").alias(x), F.col("n").alias(y), F.col("p").alias(z)) for x, y, z in (("a", "n", "p"), ("b", "m", "q")))
+    pairs = store.put(pairs, f"{name}pairs")
+    named = store.put(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), f"{name}named")
+    of = store.put(sets.select("doc", "n", "p").join(small_side(named, 64 * named.count()), "doc"), f"{name}of")
+    low, high = (of.select(F.col("doc").alias(x), F.col("n").alias(y), F.col("p").alias(z)) for x, y, z in (("a", "n", "p"), ("b", "m", "q")))
     fit = pairs.join(low, "a").join(high, "b").where("4 * least(n, m) >= 3 * greatest(n, m)")
-    return fit.select("a", "b", "n", "m", "p", "q").mapInArrow(_possible, "a long, b long").distinct()
+    return store.put(fit.select("a", "b", "n", "m", "p", "q").mapInArrow(_possible, "a long, b long").distinct(), name)
 
 
 def _members(groups: DataFrame, sets: DataFrame) -> DataFrame:
@@ -437,11 +453,15 @@ def _crossed(open_: DataFrame, sets: DataFrame, parts: int, nearest: int | None
     """a, b: members of a signature in different components which may be linked. Those outside the component that most belong to ask every
     block of the signature's members."""
     each = open_.groupBy("sig", "k", "c").count().groupBy("sig", "k").agg(F.max_by("c", F.struct("count", "c")).alias("most"))
-    rows = open_.drop("k").join(each, "sig").join(sets.select("doc", "n", "p"), "doc")
-    rows = rows.withColumn("main", F.col("c") == F.col("most")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
-    held = rows.select("sig", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"), F.lit(False).alias("asks"), "k", "doc", "n", "c", "main", "p")
-    asking = rows.where("not main").select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "k", "doc", "n", "c", "main", "p")
-    return held.unionAll(asking).repartition(parts, "sig", "block").sortWithinPartitions("sig", "block", "asks").mapInArrow(_cross(nearest), "a long, b long").distinct()
+    #: Signatures that mostly are of one component are dealt to as many tasks as they need.
+    salts = each.groupBy("most").agg(F.ceil(F.sum("k") / TASK_ROWS).alias("salts"))
+    each = each.join(salts, "most").select("sig", "most", F.pmod(F.xxhash64("sig"), "salts").alias("salt"))
+    rows = open_.join(each, "sig").join(sets.select("doc", "n", "f"), "doc").withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+    kept = ["sig", "asks", "k", "doc", "n", "c", "f"]
+    held = rows.withColumn("asks", F.lit(False)).select("most", "salt", F.pmod(F.xxhash64("doc"), "blocks").cast("int").alias("block"), *kept)
+    asking = rows.where("c <> most").withColumn("asks", F.lit(True)).select("most", "salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *kept)
+    dealt = held.unionAll(asking).repartition(parts, "most", "salt", "block").sortWithinPartitions("most", "salt", "block", "sig", "asks")
+    return dealt.mapInArrow(_cross(nearest), "a long, b long").distinct()
 
 
 def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
@@ -453,7 +473,7 @@ def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     #: A set is its smallest document.
     known = described.where("kind = 0 and n > 0 and doc is not null")
-    sets = store.put(known.groupBy("a", "b", "n").agg(F.min("doc").alias("doc"), F.max("p").alias("p")), "sets")
+    sets = store.put(known.groupBy("a", "b", "n").agg(F.min("doc").alias("doc"), F.max("p").alias("p"), F.max("f").alias("f")), "sets")
     #: Blocks are large rows, so that a task gets fewer of them than it would of others.
     tasks = 4 * parts
     buckets = max(tasks, min(8 * parts, 4096))
@@ -461,7 +481,7 @@ def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     groups = store.put(emitted.mapInArrow(_groups, "sig long, own long, center long"), "groups")
     low, high = (sets.select(F.col("a").alias(k), F.col("doc").alias(x)) for k, x in (("center", "a"), ("own", "b")))
     star = groups.where("own <> center").select("own", "center").distinct().join(low, "center").join(high, "own").where("a <> b")
-    tested = store.put(_possible_pairs(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets), "star")
+    tested = _possible_pairs(store, star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, "star")
     near = _verify(store, docs, tested, "star")
     #: A doc_id with several texts is all of their sets.
     several = known.select("doc", "a", "b", "n").join(sets.select("a", "b", "n", F.col("doc").alias("own")), ["a", "b", "n"]).select("doc", "own").distinct()
@@ -472,14 +492,14 @@ def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     store.drop("groups")
     if open_.isEmpty():
         return described, near
-    pairs = store.put(_crossed(open_, sets, parts, NEAREST).join(tested, ["a", "b"], "left_anti"), "nearest")
+    pairs = _possible_pairs(store, _crossed(open_, sets, parts, NEAREST).join(tested, ["a", "b"], "left_anti"), sets, "nearest")
     if not pairs.isEmpty():
         near, tested = near.unionAll(_verify(store, docs, pairs, "nearest")), tested.unionAll(pairs)
     open_ = open_.where(F.col("k") > SMALL)
     if open_.isEmpty():
         return described, near
     open_ = _open(store, open_.select("sig", "doc"), components(store, near, "second"), "open1")
-    more = store.put(_crossed(open_, sets, parts).join(tested, ["a", "b"], "left_anti"), "cross")
+    more = _possible_pairs(store, _crossed(open_, sets, parts).join(tested, ["a", "b"], "left_anti"), sets, "cross")
     if not more.isEmpty():
         near = near.unionAll(_verify(store, docs, more, "cross"))
     return described, near
