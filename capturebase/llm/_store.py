@@ -18,19 +18,30 @@ def small_side(df: DataFrame, size: int) -> DataFrame:
 
 
 class Store:
-    """Writes tables that cut lineage: a lost executor costs a reread, not a recomputation."""
+    """Writes tables that cut lineage: a lost executor costs a reread, not a recomputation. They stay as long as results may be read from them;
+    whoever has written a result elsewhere may ``sweep`` what was opened for it."""
+
+    opened: list[Store] = []
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, shared_dir(spark)
+        Store.opened.append(self)
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+    def drop(self, name: str = "") -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    @classmethod
+    def sweep(cls, since: int) -> None:
+        """Deletes the tables of all but the first ``since`` that were opened."""
+        for store in cls.opened[since:]:
+            store.drop()
+        del cls.opened[since:]
+
 
 def first_by_hash(rows: DataFrame, key: str, seed: int, n: int) -> list:
     """About the first ``n`` rows by a hash of ``key``, in that order: only hashes meet before the texts of the chosen are fetched."""
