@@ -37,10 +37,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The training corpus: the chosen documents with their columns and copies; every stage is written as Parquet and read by the next."""
+    """The training corpus: the chosen documents with their columns and copies; every stage is written as Parquet and read by the next. What a
+    stage and its operator have written for themselves goes when the next stage has what it needs."""
     store, docs = Store(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
+        since = len(Store.opened)
         docs = store.put(stage(spark, docs, sf_dir), name)
+        Store.sweep(since)
         if k:
             store.drop(STAGES[k - 1][0])
     return docs.where("copies > 0")
