@@ -108,6 +108,39 @@ def test_chains_and_large_groups(spark, monkeypatch):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df).collect()} == want
 
 
+def test_one_group_of_thousands_of_near_copies(spark):
+    """2,500 edited copies of one text, none of which is the text itself, against all pairs."""
+    g = random.Random(40)
+    base, texts = [f"w{i}" for i in range(60)], []
+    for _ in range(2500):
+        now = list(base)
+        for _ in range(g.choice((1, 1, 2, 3))):
+            now[g.randrange(60)] = f"x{g.randrange(300)}"
+        texts.append(" ".join(now))
+    sets = [{" ".join(t[i : i + 5]) for i in range(56)} for t in (x.split() for x in texts)]
+    counts = defaultdict(int)
+    for x in sets:
+        for w in x:
+            counts[w] += 1
+    column = {w: k for k, w in enumerate(w for w, c in counts.items() if c > 1)}
+    m = np.zeros((len(sets), len(column)), np.float32)
+    for i, x in enumerate(sets):
+        m[i, [column[w] for w in x if w in column]] = 1
+    common, n = m @ m.T, np.array([len(x) for x in sets])
+    linked = 100 * common >= 75 * (n[:, None] + n[None] - common)
+    np.fill_diagonal(linked, True)
+    root = np.arange(len(sets))
+    while True:
+        now = np.where(linked, root[None], len(sets)).min(1)
+        now = now[now]
+        if (now == root).all():
+            break
+        root = now
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df).collect()}
+    assert len(set(root)) > 1 and got == dict(enumerate(root.tolist()))
+
+
 def test_a_document_with_several_texts_joins_their_groups(spark):
     a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
     rows = [(5, a), (6, a + " z"), (7, a), (7, b), (8, b + " y"), (9, "alone here"), (None, a), (10, None), (11, " ")]
