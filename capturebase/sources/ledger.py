@@ -12,11 +12,12 @@ import fcntl
 import hashlib
 import json
 import os
+import re
 from collections.abc import Callable
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, ArithmeticException, DateTimeException, IllegalArgumentException, NumberFormatException, ParseException, PySparkException, PySparkTypeError, PySparkValueError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,9 +60,18 @@ class Refused(ValueError):
     """What was asked for is not allowed in the ledger's present state, or the rows don't reconcile."""
 
 
+#: Errors of Spark that the same plan over the same data meets again.
+LASTING = (AnalysisException, ArithmeticException, DateTimeException, IllegalArgumentException, NumberFormatException, ParseException, PySparkTypeError, PySparkValueError)
+
+
 def passing(e: Exception) -> bool:
-    """Whether the machines or the publisher failed, so that the same work may succeed later; else it is about the package."""
-    return isinstance(e, (OSError, Unavailable)) or isinstance(e, (PySparkException, Py4JError)) and BadArchive.__name__ not in str(e)
+    """Whether the machines or the publisher failed, so that the same work may succeed later; else it is about the package or the plan. What a
+    worker raises arrives as text in an error of Spark, after the last of its tries; of these only BadArchive is about the package."""
+    if isinstance(e, LASTING):
+        return False
+    if isinstance(e, (PySparkException, Py4JError)):
+        return re.search(rf"\b{BadArchive.__name__}\b", str(e)) is None
+    return isinstance(e, (OSError, Unavailable))
 
 
 def _digest(path: str) -> str:

@@ -259,6 +259,23 @@ def test_counts_that_disagree_are_refused(spark, tmp_path, monkeypatch):
     assert ledger.visible() is None
 
 
+def test_what_passes_and_what_lasts(spark, tmp_path):
+    from py4j.protocol import Py4JNetworkError
+    from pyspark.errors import PySparkException
+
+    from capturebase.sources.ledger import passing
+
+    def caught(f):
+        with pytest.raises(Exception) as e:
+            f()
+        return e.value
+
+    bad = archive(tmp_path / "b.tar.gz", [("x.xml", b"<a/>")])
+    lasting = [caught(lambda: read_archives(spark, [bad]).collect()), caught(lambda: spark.sql("select nothing")), caught(lambda: spark.sql("selec")), Refused("x"), ValueError("x"), BadArchive("x")]
+    assert [passing(e) for e in lasting] == [False] * len(lasting)
+    assert all(passing(e) for e in (OSError("disk"), ConnectionError(), TimeoutError(), remote.Unavailable("down"), Py4JNetworkError("gone"), PySparkException("Job aborted: ExecutorLostFailure")))
+
+
 def test_migrations(spark, tmp_path):
     root = tmp_path / "ledger"
     root.mkdir()
