@@ -12,6 +12,16 @@ from capturebase.sources.shared import shared_dir
 BROADCAST_BYTES = 16 << 20
 
 
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Makes Arrow batches of at most BATCH_ROWS texts from here on, as both sides of a Python worker hold a whole batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def small_side(df: DataFrame, size: int) -> DataFrame:
     """``df`` marked to be sent to all if its ``size``, an upper bound in bytes that the caller has counted, is small."""
     return F.broadcast(df) if size <= BROADCAST_BYTES else df

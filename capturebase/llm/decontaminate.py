@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._store import small_batches
 from ._text import ALNUM_WORD, LOWER_CODE, slices, span_hashes, utf8, word_bounds
 
 WINDOW = 13
@@ -197,6 +198,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TEST_WOR
                 _, (row, item, place, at, length), known = tests.find(*utf8(batch.column("text")))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row)), pa.array([known[i] for i in item.tolist()], pa.string()), *(pa.array(x.astype(np.int64)) for x in (place, at, length))], names=["doc_id", *names])
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, f"{docs.select('doc_id')._jdf.schema().toDDL()}, item_id string, start long, item_start long, n_words long")
 
 
@@ -228,6 +230,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TE
                 columns = [n_words, n_hit, np.array([len(x) for x in found], np.int64), digest, is_contaminated(n_words, n_hit), n_matches, most]
                 yield pa.RecordBatch.from_arrays([*rest.columns, *map(pa.array, columns)], names=[*rest.schema.names, *kinds])
 
+    small_batches(docs.sparkSession)
     return out.mapInArrow(run, schema)
 
 
@@ -242,4 +245,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_TE
                 n_words, (row, _, place, _, length), _ = tests.find(*utf8(batch.column("text")))
                 yield batch.filter(pa.array(~is_contaminated(n_words, hit_words(batch.num_rows, row, place, length))))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import first_by_hash
+from ._store import first_by_hash, small_batches
 from ._text import mix, slices, span_hashes, trim, utf8
 from .recurrent import Adam, gru, gru_back, gru_states
 
@@ -182,4 +182,5 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(lang.tolist(), pa.string()), pa.array(np.where(ok, p.max(1), 0.0))], names=["doc_id", "held_out", *names])
         trim()
 
+    small_batches(docs.sparkSession)
     return rows.mapInArrow(run, schema)

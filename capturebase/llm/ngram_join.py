@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._store import Store, small_side
+from ._store import Store, small_batches, small_side
 from ._text import LOWER_CODE, SPACE_WORD, mix, slices, span_hashes, trim, utf8, word_bounds
 from .components import components
 
@@ -32,7 +32,7 @@ LEAST = 16  # sizes below which a set's shingles are too few for groups
 FREQUENT = 4000  # a shingle in more than one of so many documents is frequent
 SALT_ROWS = 256
 SMALL, NEAREST = 64, 2  # members of a signature up to which all meet at once, and beyond which the nearest of a block do first
-BLOCK = 512  # members of a signature that a task holds
+BLOCK = 2048  # members of a signature that a task holds
 FLUSH = 1 << 19  # shingles or signatures that a task holds before it passes them on
 PARITY_BYTES, SHORT_BYTES = 8192, 128  # of a set's parities; of those that members of a signature meet with
 TASK_ROWS, TOLD = 1 << 16, 200_000  # members about that meet in a task, and pairs that it remembers not to tell twice
@@ -169,6 +169,7 @@ def _described(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        seen: set[tuple] = set()
         size = n_docs = 0
 
         def counts() -> pa.RecordBatch:
@@ -182,7 +183,6 @@ def _described(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), none, pa.array(h[at][some].view(np.int64)), none, pa.array(count[some]), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=["kind", "doc", "a", "b", "n", "p", "f"])
 
         for whole in batches:
-            seen: set[tuple] = set()
             for batch in slices(whole, "text"):
                 h, row = shingle_sets(*utf8(batch.column("text")))
                 n = np.bincount(row, minlength=batch.num_rows)
@@ -206,6 +206,7 @@ def _described(docs: DataFrame) -> DataFrame:
                 if size > 2 * FLUSH:
                     yield counts()
                     held.clear()
+                    seen.clear()
                     size = n_docs = 0
         yield counts()
         held.clear()
@@ -469,6 +470,7 @@ def _links(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     connect exactly what the links of similarity 3/4 or more connect."""
     spark: SparkSession = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small_batches(spark)
     described = store.put(_described(docs), "described")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     #: A set is its smallest document.

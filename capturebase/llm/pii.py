@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import first_by_hash
+from ._store import first_by_hash, small_batches
 from ._text import slices
 from .pii_variants import others, variant
 from .recurrent import Adam, lstm, lstm_back
@@ -364,6 +364,7 @@ def find_spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
                     digest[i], written[i] = sha256(_written(own).encode()).hexdigest(), _written(own + more)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, counts[:-1]), pa.array(digest), pa.array(written), pa.array(counts[-1])], names=["doc_id", *names])
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -391,4 +392,5 @@ def mask(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 k = batch.schema.get_field_index("text")
                 yield batch.set_column(k, "text", pa.array(column, batch.schema.field(k).type))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

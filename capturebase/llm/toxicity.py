@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._store import small_batches
 from ._text import ALNUM_WORD, LOWER_CODE, slices, span_hashes, utf8, word_bounds
 
 SAMPLE_DOCS = 12_000
@@ -245,6 +246,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], threshold: float = 0.5
                 p = model.score(*utf8(batch.column("__scored")))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 
+    small_batches(docs.sparkSession)
     return rows.mapInArrow(run, schema)
 
 
@@ -269,4 +271,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
             for batch in slices(whole, "text"):
                 yield batch.filter(pa.array(model.score(*utf8(batch.column("text"))) < threshold))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

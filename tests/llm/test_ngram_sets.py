@@ -101,7 +101,7 @@ def test_chains_and_large_groups(spark, monkeypatch):
     want = brute(texts)
     assert 10 < len({r for _, r in want.values()}) - 100 < 200
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
-    for block, flush, small in ((512, 1 << 20, 64), (7, 500, 0), (512, 1 << 20, 0), (20, 500, 10)):
+    for block, flush, small in ((2048, 1 << 20, 64), (7, 500, 0), (2048, 1 << 20, 0), (20, 500, 10)):
         monkeypatch.setattr(ngram_join, "SMALL", small)
         monkeypatch.setattr(ngram_join, "BLOCK", block)
         monkeypatch.setattr(ngram_join, "FLUSH", flush)
