@@ -30,7 +30,7 @@ SAMPLE_CHARS = 4000  # of a text: a window that a hash of its id places
 WINDOW, STRIDE, AROUND = 64, 32, 24
 HELD = 4096  # windows that a task reads at a time
 HIDDEN, BATCH, STEPS = 24, 96, 600
-PLACES = 24  # of a text, for invented examples
+PLACES, MOST_PLACES = 24, 9600  # of a text, and in all, for invented examples
 INVENTED = (0, 3, None, 2, 3, None, 1, 0, 3, None)  # kinds of invented examples, in turn; None is a number of no kind
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -184,6 +184,7 @@ def examples(texts: list[str], g: np.random.Generator) -> list[tuple[str, list[t
     kind with an invented find, or a number that is none, between two words."""
     out = [(t, base_spans(t)) for t in texts]
     spots = [(t, m.start()) for t in texts for m in list(re.finditer(r"(?<=\S) (?=\S)", t))[:: max(1, len(t) // 400)][:PLACES]]
+    spots = spots[:: max(1, len(spots) // MOST_PLACES)]
     for text, spans in out[: len(texts)]:
         for kind, a, b in spans:
             for _ in range(2):
@@ -208,7 +209,7 @@ def _placed(before: str, middle: str, kind: int | None, after: str) -> tuple[str
 def train(texts: list[str], steps: int = STEPS, seed: int = 9) -> Model:
     g, xs, ys = np.random.default_rng(seed), [], []
     for t, spans in examples(texts, g):
-        x, y = symbols(t), tags(t, spans)
+        x, y = symbols(t), tags(t, spans).astype(np.int8)
         for a, n in stretches(t):
             for p in range(a, a + n * STRIDE, STRIDE):
                 p = max(0, p - int(g.integers(0, 8)))
@@ -217,7 +218,9 @@ def train(texts: list[str], steps: int = STEPS, seed: int = 9) -> Model:
     model = Model()
     if not xs:
         return model
-    x, y = np.array(xs).astype(np.int64), np.array(ys)
+    x, y = np.array(xs), np.array(ys)
+    xs.clear()
+    ys.clear()
     kind = np.where((y > 0).any(1), (y.max(1) + 1) // 2, 0)
     groups = [np.flatnonzero(kind == k) for k in range(len(KINDS) + 1)]
     #: Windows without a find are most of what will be read.
@@ -226,7 +229,7 @@ def train(texts: list[str], steps: int = STEPS, seed: int = 9) -> Model:
     for k in range(steps):
         opt.rate = 0.012 * (1 - 0.95 * k / steps)
         i = np.concatenate([g.choice(rows, w) for rows, w in zip(groups, weights, strict=True) if len(rows)])
-        model.step(x[i].T, y[i].T, opt)
+        model.step(x[i].T.astype(np.int64), y[i].T.astype(np.int64), opt)
     return model
 
 
